@@ -207,40 +207,36 @@ def clustered_positions(values: DataFrame, keys, value: str, tol: float) -> Data
     """Single-linkage clusters of a number within ``keys``: each distinct value
     with the mean, upper median, maximum and size of its cluster.
 
-    Works on counts of distinct values, so heavy positions cost one row.
+    The windows run over counts of distinct values.  A page has only so many
+    distinct coordinates, however many elements share them, so a heavy page
+    costs no more than a light one.
     """
     counts = values.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    ranked = rank_in_groups(counts, keys, [F.col("v")], [F.floor(F.col("v") / 64)])
-    w = block_window(keys)
-    gaps = neighbours(ranked, keys, {"_gap": F.col("v") - F.lag("v").over(w)}, behind=1)
-    labelled = running(
-        gaps, keys, (F.col("_gap").isNull() | (F.col("_gap") > tol)).cast("int"), "cluster"
-    )
-    by = [*keys, "cluster"]
-    size = labelled.groupBy(*by).agg(
-        F.sum("n").alias("size"),
-        F.sum(F.col("v") * F.col("n")).alias("_sum"),
-        F.max("v").alias("high"),
-    )
-    cum = running(
-        rank_in_groups(labelled.select(*by, "v", "n"), by, [F.col("v")], [F.floor(F.col("v") / 64)], "crank"),
-        by,
-        F.col("n"),
-        "_upto",
-        rank="crank",
+    along = Window.partitionBy(*keys).orderBy("v")
+    gap = F.col("v") - F.lag("v").over(along)
+    labelled = counts.withColumn("_new", F.coalesce((gap > tol).cast("int"), F.lit(1))).withColumn(
+        "cluster", F.sum("_new").over(along)
+    )
+    whole = Window.partitionBy(*keys, "cluster")
+    upto = F.sum("n").over(whole.orderBy("v"))
+    sized = labelled.withColumns(
+        {
+            "size": F.sum("n").over(whole),
+            "_upto": upto,
+            "_sum": F.sum(F.col("v") * F.col("n")).over(whole),
+            "high": F.max("v").over(whole),
+        }
     )
     # the upper median is the first value whose running count passes size div 2
-    median = (
-        cum.join(size.select(*by, "size"), by)
-        .where(F.col("_upto") > F.floor(F.col("size") / 2))
-        .groupBy(*by)
-        .agg(F.min("v").alias("median"))
-    )
-    return (
-        labelled.select(*by, "v")
-        .join(size, by)
-        .join(median, by)
-        .select(*keys, "cluster", F.col("v").alias(value), "size", (F.col("_sum") / F.col("size")).alias("mean"), "median", "high")
+    median = F.min(F.when(F.col("_upto") > F.floor(F.col("size") / 2), F.col("v"))).over(whole)
+    return sized.select(
+        *keys,
+        "cluster",
+        F.col("v").alias(value),
+        "size",
+        (F.col("_sum") / F.col("size")).alias("mean"),
+        median.alias("median"),
+        "high",
     )
 
 

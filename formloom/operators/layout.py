@@ -124,7 +124,8 @@ def glyph_boxes(spans: DataFrame) -> DataFrame:
     w, h = G.width(b), G.height(b)
     t = F.trim("text")
     square = w.between(4, 14) & h.between(4, 14) & (F.greatest(w, h) <= 1.6 * F.least(w, h))
-    shown = (t == "") | t.rlike(f"^[{BOX_GLYPHS}]$") | t.rlike("[-]")
+    private_use = t.rlike("[\\x{E000}-\\x{F8FF}]")
+    shown = (t == "") | t.rlike(f"^[{BOX_GLYPHS}]$") | private_use
     bins = [F.round(F.col("x0") / 2).alias("bx"), F.round(F.col("y0") / 2).alias("by")]
     return (
         spans.where(square & shown)

@@ -17,6 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "formloom", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():

@@ -133,9 +133,44 @@ class Tables:
                 "y0",
                 (F.col("x0") + 10 + F.col("q") * 2).alias("x1"),
                 (F.col("y0") + 10).alias("y1"),
+                "q",
+                "part",
             )
         )
 
+    @cached_property
+    def span(self) -> DataFrame:
+        """Text spans: underscore blanks, empty box glyphs and plain words."""
+        square = F.col("q") % 4 == 0
+        return self.word.select(
+            "form_id",
+            "page",
+            F.col("line_id").alias("span_id"),
+            F.when(square & (F.col("part") % 2 == 0), "")
+            .when(square, "□")
+            .when(F.col("q") % 4 == 1, F.concat("text", F.expr("repeat('_', CAST(4 + part % 20 AS INT))"), F.lit(" or "), F.expr("repeat('_', CAST(part % 9 AS INT))")))
+            .otherwise(F.col("text"))
+            .alias("text"),
+            "x0",
+            "y0",
+            F.when(square, F.col("x0") + 8 + F.col("part") % 8).otherwise(F.col("x1") + 200).alias("x1"),
+            "y1",
+        )
+
+    @cached_property
+    def drawing(self) -> DataFrame:
+        """All drawn elements of a page: rules, vertical rules and boxes."""
+        cols = ["form_id", "page", "draw_id", "kind", "x0", "y0", "x1", "y1"]
+        parts = [
+            self.rule.withColumnRenamed("rule_id", "draw_id").withColumn("kind", F.lit("line")),
+            self.vrule.withColumnRenamed("vrule_id", "draw_id").withColumn("kind", F.lit("rect")),
+            self.box.withColumnRenamed("box_id", "draw_id").withColumn("kind", F.lit("rect")),
+        ]
+        out = parts[0].select(cols)
+        for p in parts[1:]:
+            out = out.unionByName(p.select(cols))
+        return out
+
     @cached_property
     def box(self) -> DataFrame:
         """Printed choice boxes."""
@@ -292,8 +327,20 @@ FROM rect WHERE q >= 20""",
   CASE WHEN part % 13 = 0 THEN '20__ ' || p_name WHEN part % 11 = 0 THEN '$'
        WHEN part % 7 = 0 THEN CAST(part % 9 AS VARCHAR) || '. ' || p_name || ' information'
        WHEN part % 5 = 0 THEN p_name || ' date of:' ELSE p_name END AS text,
-  x0, y0, x0 + 10 + q * 2 AS x1, y0 + 10 AS y1
+  x0, y0, x0 + 10 + q * 2 AS x1, y0 + 10 AS y1, q, part
 FROM rect JOIN part AS p ON rect.part = p.p_partkey WHERE line_no >= 5""",
+    ),
+    "span": (
+        ("word",),
+        """SELECT form_id, page, line_id AS span_id, CASE WHEN q % 4 = 0 AND part % 2 = 0 THEN '' WHEN q % 4 = 0 THEN '□'
+  WHEN q % 4 = 1 THEN text || repeat('_', CAST(4 + part % 20 AS INT)) || ' or ' || repeat('_', CAST(part % 9 AS INT)) ELSE text END AS text,
+  x0, y0, CASE WHEN q % 4 = 0 THEN x0 + 8 + part % 8 ELSE x1 + 200 END AS x1, y1 FROM word""",
+    ),
+    "drawing": (
+        ("rule", "vrule", "box"),
+        """SELECT form_id, page, rule_id AS draw_id, 'line' AS kind, x0, y0, x1, y1 FROM rule
+UNION ALL SELECT form_id, page, vrule_id, 'rect', x0, y0, x1, y1 FROM vrule
+UNION ALL SELECT form_id, page, box_id, 'rect', x0, y0, x1, y1 FROM box""",
     ),
     "box": (
         ("rect",),
