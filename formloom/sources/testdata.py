@@ -415,6 +415,8 @@ def oracle(uses: str, body: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{name} AS (\n{CTE[name][1]}\n)" for name in needed)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
