@@ -338,8 +338,8 @@ def date_pack(event_date: Column, years: int = 1) -> list[FillRule]:
     return [
         FillRule(r"(^|_)(signature_date|date_signed|signed_date|dated)$", F.date_format(event_date, "yyyy-MM-dd"), 0.85, "signature-date"),
         FillRule(r"(^|_)report_period_end$", F.date_format(V.shift_date(event_date, years=years), "yyyy-MM-dd"), 0.8, "anniversary"),
-        FillRule(r"_day$", V.date_words(F.date_format(event_date, "yyyy-MM-dd"))["day"], 0.8, "date-word"),
-        FillRule(r"_month$", V.date_words(F.date_format(event_date, "yyyy-MM-dd"))["month"], 0.8, "date-word"),
+        FillRule(r"_day$", F.day(event_date).cast("string"), 0.8, "date-word"),
+        FillRule(r"_month$", F.date_format(event_date, "MMMM"), 0.8, "date-word"),
     ]
 
 
