@@ -45,7 +45,7 @@ def rows_of(columns, rows):
 
 NAMES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "float": "FLOAT",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
 }
 
 
