@@ -250,9 +250,8 @@ INVISIBLE = "".join(
 
 def fold_lookalikes(text: Column) -> Column:
     """Hyphen and space look-alikes to ASCII; invisible characters removed."""
-    return F.translate(
-        F.coalesce(text, F.lit("")), HYPHENS + SPACES + INVISIBLE, "-" * len(HYPHENS) + " " * len(SPACES)
-    )
+    t = F.coalesce(text, F.lit(""))
+    return F.translate(t, HYPHENS + SPACES + INVISIBLE, "-" * len(HYPHENS) + " " * len(SPACES))
 
 
 def extract_section(text: Column, heading: str, next_heading: str, markers: Sequence[str]) -> Column:

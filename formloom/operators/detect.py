@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 from formloom.functions import geometry as G
 from formloom.functions import text as X
 from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi
-from formloom.operators.ranking import block_window, neighbours, rank_in_groups, running
+from formloom.operators.ranking import block_window, neighbours, rank_in_groups
+from formloom.session import cut_lineage
 
 GRID_SLACK = 5.0
 
@@ -173,6 +174,7 @@ def table_cells(grid: DataFrame, v: DataFrame, lines: DataFrame) -> DataFrame:
         )
         .where((F.col("x1") - F.col("x0") >= 10) & (F.col("y1") - F.col("y0") >= 5))
     )
+    cells = cut_lineage(cells)  # read three times below
     by = (*PAGE, "row_no", "x0")
     a, b = G.box(), G.box("r_")
     inside = nearest(

@@ -32,15 +32,12 @@ def _lookup(table: Mapping[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
-def _numbered(df: DataFrame, base: str, name: str, id_col: str, keep: Column | None = None) -> DataFrame:
+def _numbered(df: DataFrame, base: str, name: str, id_col: str) -> DataFrame:
     """``base`` for its first use in a form, ``base_N`` for later ones."""
     order, slices = _reading(id_col)
     ranked = rank_in_groups(df, ["form_id", base], order, slices, "_use")
-    plain = F.col("_use") == 1
-    if keep is not None:
-        plain = plain | keep
     return ranked.withColumn(
-        name, F.when(plain, F.col(base)).otherwise(F.concat_ws("_", base, F.col("_use").cast("string")))
+        name, F.when(F.col("_use") == 1, F.col(base)).otherwise(F.concat_ws("_", base, F.col("_use").cast("string")))
     ).drop("_use")
 
 
@@ -61,17 +58,20 @@ def assign_names(
     cleaned = F.nullif(X.clean_label(label), F.lit(""))
     own = F.coalesce(known, cleaned, F.when(F.col("field_type") == "signature", "signature"))
     kind = F.when(own.isNull(), F.when(F.col("field_type") == "checkbox", "checkbox").otherwise("field"))
-    staged = fields.withColumns({"_own": own, "_kind": F.coalesce(kind, F.lit(""))})
+    staged = fields.withColumns({"_own": F.coalesce(_lookup(aliases, own), own), "_kind": F.coalesce(kind, F.lit(""))})
     order, slices = _reading(id_col)
-    numbered = rank_in_groups(staged, ["form_id", "_kind"], order, slices, "_n")
-    base = F.when(F.col("_kind") != "", F.concat_ws("_", "_kind", F.col("_n").cast("string"))).otherwise(F.col("_own"))
-    based = numbered.withColumn("base_name", base).withColumn(
-        "base_name", F.coalesce(_lookup(aliases, F.col("base_name")), F.col("base_name"))
+    # a named field is counted within its name, a nameless one within its kind
+    numbered = rank_in_groups(
+        staged.withColumn("_group", F.coalesce("_own", "_kind")), ["form_id", "_kind", "_group"], order, slices, "_n"
+    )
+    n = F.col("_n").cast("string")
+    base = F.when(F.col("_kind") != "", F.concat_ws("_", "_kind", n)).otherwise(F.col("_own"))
+    plain = (F.col("_n") == 1) | (F.col("_kind") != "") | F.col("_own").rlike(r"^(checkbox|field)_\d+$")
+    name = F.when(plain, base).otherwise(F.concat_ws("_", "_own", n))
+    same = Window.partitionBy("form_id", "field_name")  # one row each, but for clashes
+    return numbered.select(*PAGE, id_col, base.alias("base_name"), name.alias("field_name")).withColumn(
+        "clash", F.count("*").over(same) > 1
     )
-    placeholder = F.col("base_name").rlike(r"^(checkbox|field)_\d+$")
-    named = _numbered(based, "base_name", "field_name", id_col, keep=placeholder).drop("_own", "_kind", "_n")
-    uses = named.groupBy("form_id", "field_name").agg((F.count("*") > 1).alias("clash"))
-    return named.join(uses, ["form_id", "field_name"]).select(*PAGE, id_col, "base_name", "field_name", "clash")
 
 
 def assign_prefixed_names(fields: DataFrame, id_col: str = "rect_id") -> DataFrame:

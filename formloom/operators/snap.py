@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from formloom.functions import geometry as G
 from formloom.operators.detect import clustered_positions
 from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi
+from formloom.session import cut_lineage
 
 WIDGET = (*PAGE, "rect_id")
 BOX = ("x0", "y0", "x1", "y1")
@@ -232,6 +233,8 @@ def blank_snap(widgets: DataFrame, blanks: DataFrame, words: DataFrame, drop: fl
             | (F.abs(F.col("n_y1") - F.col("y1")) >= 1)
         )
     )
+    # the targets are read four times below; written once, they are not recomputed
+    targets = cut_lineage(targets)
     new = targets.select(*WIDGET, "field_id", *[F.col("n_" + c).alias(c) for c in BOX])
     old = _widgets(widgets, "field_id")
     effective = new.unionByName(old.join(new.select(*WIDGET), list(WIDGET), "left_anti"))
