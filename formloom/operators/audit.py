@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
-from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs
+from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, places
 
 WIDGET = (*PAGE, "rect_id")
 SINGLE_LINE = 20.0
@@ -121,11 +121,11 @@ def label_intrusion(widgets: DataFrame, words: DataFrame) -> DataFrame:
     )
     big = widgets.where((F.col("x1") - F.col("x0") > 16) | (F.col("y1") - F.col("y0") > 16))
     return (
-        page_pairs(big.select(*WIDGET, "align", "x0", "y0", "x1", "y1"), words, covered | under)
+        page_pairs(big.select(*WIDGET, "align", "x0", "y0", "x1", "y1"), places(words), covered | under)
         .groupBy(*WIDGET)
         .agg(
-            F.count_if(covered).alias("overlaps"),
-            F.count_if(under).alias("under_label"),
+            F.sum(F.when(covered, F.col("r_n_here")).otherwise(0)).alias("overlaps"),
+            F.sum(F.when(under, F.col("r_n_here")).otherwise(0)).alias("under_label"),
         )
     )
 
@@ -136,7 +136,7 @@ def overruns_rule(widgets: DataFrame, rules: DataFrame, slack: float = 5.0) -> D
     single = widgets.where(F.col("kind").isin("text", "date") & (F.col("y1") - F.col("y0") <= SINGLE_LINE))
     pairs = page_pairs(
         single.select(*WIDGET, "x0", "y0", "x1", "y1"),
-        rules,
+        places(rules, rule_id=F.min("rule_id")),
         (F.abs(b.y0 - a.y1) <= 7) & (G.overlap_x(a, b) >= 15),
         reach=Reach(0, 0, 0, 7),
     )
@@ -161,7 +161,7 @@ def overruns_blank(widgets: DataFrame, blanks: DataFrame, words: DataFrame, slac
     single = widgets.where(F.col("kind").isin("text", "date") & (F.col("y1") - F.col("y0") <= SINGLE_LINE))
     row = page_pairs(
         single.select(*WIDGET, "x0", "y0", "x1", "y1"),
-        blanks.where(F.col("x1") - F.col("x0") >= 18),
+        places(blanks.where(F.col("x1") - F.col("x0") >= 18)),
         (F.abs(b.y0 - a.y1) < 6) & (G.overlap_x(a, b) > 15),
         reach=Reach(0, 0, 0, 6),
     )
@@ -202,12 +202,12 @@ def overruns_blank(widgets: DataFrame, blanks: DataFrame, words: DataFrame, slac
     )
     crossing = page_pairs(
         strip,
-        words.where(~F.trim("text").rlike("^_+$")),
+        places(words.where(~F.trim("text").rlike("^_+$"))),
         (F.abs(G.center_y(b) - (F.col("row_y") - 5)) < 7)
         & (b.x0 < F.col("hi") - 2)
         & (b.x1 > F.col("lo") + 2),
     )
-    crossed = crossing.groupBy(*WIDGET, "edge").agg(F.count("*").alias("n_crossed"))
+    crossed = crossing.groupBy(*WIDGET, "edge").agg(F.sum("r_n_here").alias("n_crossed"))
     return edges.join(crossed, [*WIDGET, "edge"], "left").select(
         *WIDGET,
         "edge",
@@ -223,7 +223,10 @@ def nearest_box(checks: DataFrame, boxes: DataFrame, near: float = 4.5, far: flo
     a, b = G.box(), G.box("r_")
     d = G.chebyshev(a, b)
     pairs = page_pairs(
-        checks.select(*WIDGET, "x0", "y0", "x1", "y1"), boxes, d <= far, reach=Reach.all_round(far)
+        checks.select(*WIDGET, "x0", "y0", "x1", "y1"),
+        places(boxes, box_id=F.min("box_id")),
+        d <= far,
+        reach=Reach.all_round(far),
     )
     claimed = pairs.where(d <= near).select(*PAGE, F.col("r_box_id").alias("box_id")).distinct()
     best = nearest(pairs, WIDGET, {"box_id": F.col("r_box_id"), "offset": d}, [d, b.y0, b.x0, F.col("r_box_id")])

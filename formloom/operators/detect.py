@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.functions import text as X
-from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi
+from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
 from formloom.operators.ranking import block_window, neighbours, rank_in_groups
 from formloom.session import cut_lineage
 
@@ -46,7 +46,7 @@ def nearest_label(
     pairs = (
         page_pairs(
             fields.select(*PAGE, id_col, "x0", "y0", "x1", "y1"),
-            usable.select(*PAGE, "line_id", "text", "x0", "y0", "x1", "y1"),
+            places(usable, text=F.min_by("text", "line_id"), line_id=F.min("line_id")),
             reach=Reach(left, max(above, 10.0), right, max(below, 10.0)),
         )
         .withColumn("side", side)
@@ -115,7 +115,7 @@ def column_header(cells: DataFrame, lines: DataFrame, by: tuple[str, ...], searc
     cost = a.y0 - b.y1 + F.when(centred, 0.0).otherwise(50.0)
     pairs = page_pairs(
         cells.select(*by, "x0", "y0", "x1", "y1"),
-        lines.where(F.length(F.trim("text")) >= 2).select(*PAGE, "line_id", "text", "x0", "y0", "x1", "y1"),
+        places(lines.where(F.length(F.trim("text")) >= 2), text=F.min_by("text", "line_id"), line_id=F.min("line_id")),
         (b.y1 <= a.y0 + 5) & (a.y0 - b.y0 <= search) & (centred | G.x_overlaps(b, a)),
         reach=Reach(0, search, 0, 5),
         cell=(256.0, 128.0),
@@ -180,7 +180,7 @@ def table_cells(grid: DataFrame, v: DataFrame, lines: DataFrame) -> DataFrame:
     inside = nearest(
         page_pairs(
             cells,
-            lines.select(*PAGE, "line_id", "text", "x0", "y0", "x1", "y1"),
+            places(lines, text=F.min_by("text", "line_id"), line_id=F.min("line_id")),
             (b.x0 >= a.x0 - 5) & (b.x1 <= a.x1 + 5) & (b.y0 >= a.y0 - 2) & (b.y1 <= a.y1 + 2),
             reach=Reach(5, 2, 5, 2),
         ),

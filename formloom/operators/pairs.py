@@ -113,13 +113,39 @@ def on_y_axis(df: DataFrame) -> DataFrame:
     return df.withColumn("x0", F.lit(0.0)).withColumn("x1", F.lit(0.0))
 
 
-def page_semi(left: DataFrame, right: DataFrame, predicate: Column, *, id_cols: Sequence[str], **kw) -> DataFrame:
-    """Left rows with at least one partner on their page."""
-    hits = matched_keys(page_pairs(left, right, predicate, **kw), id_cols)
-    return left.join(hits, list(id_cols), "left_semi")
+BOX = ("x0", "y0", "x1", "y1")
 
 
-def page_anti(left: DataFrame, right: DataFrame, predicate: Column, *, id_cols: Sequence[str], **kw) -> DataFrame:
+def places(df: DataFrame, keys: Sequence[str] = PAGE, **aggs: Column) -> DataFrame:
+    """One row per distinct box of a page.
+
+    A page has room for only so many distinct boxes.  Where the answer depends
+    on where things stand, looking at places instead of rows keeps the number
+    of candidate pairs linear even when one page holds a large share of all
+    rows, most of them on top of one another.
+    """
+    named = [c.alias(name) for name, c in aggs.items()] or [F.count("*").alias("n_here")]
+    return df.groupBy(*keys, *BOX).agg(*named)
+
+
+def page_semi(
+    left: DataFrame, right: DataFrame, predicate: Column, *, id_cols: Sequence[str], reads: Sequence[str] = (), **kw
+) -> DataFrame:
+    """Left rows with at least one partner on their page.
+
+    ``reads`` names the right-hand columns, besides the box, that the
+    predicate looks at.
+    """
+    return left.join(_hits(left, right, predicate, id_cols, reads, kw), list(id_cols), "left_semi")
+
+
+def page_anti(
+    left: DataFrame, right: DataFrame, predicate: Column, *, id_cols: Sequence[str], reads: Sequence[str] = (), **kw
+) -> DataFrame:
     """Left rows with no partner on their page."""
-    hits = matched_keys(page_pairs(left, right, predicate, **kw), id_cols)
-    return left.join(hits, list(id_cols), "left_anti")
+    return left.join(_hits(left, right, predicate, id_cols, reads, kw), list(id_cols), "left_anti")
+
+
+def _hits(left, right, predicate, id_cols, reads, kw) -> DataFrame:
+    seen = right.select(*kw.get("keys", PAGE), *BOX, *reads).distinct()
+    return matched_keys(page_pairs(left, seen, predicate, **kw), id_cols)

@@ -318,10 +318,13 @@ def fill_if_blank(answers: DataFrame, rules: Sequence[FillRule]) -> DataFrame:
     Rules are compiled to one expression, so a pack costs no join.  Confidence
     is raised to the rule's floor and the source is appended to provenance.
     """
+    # values become columns first, so that no expression is repeated in the chain
+    answers = answers.withColumns({f"_r{i}": r.value.cast("string") for i, r in enumerate(rules)})
     hit = F.lit(None).cast("struct<value:string,confidence:double,method:string>")
-    for r in reversed(rules):
-        made = F.struct(r.value.cast("string").alias("value"), F.lit(r.confidence).alias("confidence"), F.lit(r.method).alias("method"))
-        hit = F.when(F.col("field_id").rlike(r.pattern) & present(r.value.cast("string")), made).otherwise(hit)
+    for i, r in reversed(list(enumerate(rules))):
+        value = F.col(f"_r{i}")
+        made = F.struct(value.alias("value"), F.lit(r.confidence).alias("confidence"), F.lit(r.method).alias("method"))
+        hit = F.when(F.col("field_id").rlike(r.pattern) & present(value), made).otherwise(hit)
     staged = answers.withColumn("_hit", F.when(~present(F.coalesce("value", F.lit(""))), hit))
     step = F.struct(F.col("value").alias("from"), F.col("_hit.value").alias("to"), F.col("_hit.method").alias("method"))
     return staged.withColumns(
@@ -330,7 +333,7 @@ def fill_if_blank(answers: DataFrame, rules: Sequence[FillRule]) -> DataFrame:
             "confidence": F.when(F.col("_hit").isNotNull(), F.greatest("confidence", "_hit.confidence")).otherwise(F.col("confidence")),
             "provenance": F.when(F.col("_hit").isNotNull(), F.array_append("provenance", step)).otherwise(F.col("provenance")),
         }
-    ).drop("_hit")
+    ).drop("_hit", *[f"_r{i}" for i in range(len(rules))])
 
 
 def date_pack(event_date: Column, years: int = 1) -> list[FillRule]:
@@ -352,6 +355,25 @@ def contact_pack(person: Column, domains: Sequence[str]) -> list[FillRule]:
     ]
 
 
+def constant_pack(rows: Sequence[tuple[str, str, str]], confidence: float = 0.75) -> list[FillRule]:
+    """Fixed text per field pattern: (pattern, text, method)."""
+    return [FillRule(p, F.lit(text), confidence, method) for p, text, method in rows]
+
+
+def copy_pack(rows: Sequence[tuple[str, Column, str]], confidence: float = 0.8) -> list[FillRule]:
+    """Values the record already holds elsewhere: (pattern, column, method).
+
+    Captions, petitioner and closing blocks, printed names and addresses are
+    all rows of this kind.
+    """
+    return [FillRule(p, column, confidence, method) for p, column, method in rows]
+
+
+def age_pack(dob: Column, day: Column, pattern: str = r"(^|_)age$") -> list[FillRule]:
+    """Whole years from a birth date (a date column) on a given day."""
+    return [FillRule(pattern, V.age_on(dob, day).cast("string"), 0.85, "age-from-birth-date")]
+
+
 def derive_totals(answers: DataFrame, slots: str, total: str) -> DataFrame:
     """Blank totals from the numbered rows above them, which stay blank when
     no row is filled.  ``slots`` is the pattern of the row fields."""

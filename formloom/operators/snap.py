@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.operators.detect import clustered_positions
-from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi
+from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
 from formloom.session import cut_lineage
 
 WIDGET = (*PAGE, "rect_id")
@@ -41,7 +41,7 @@ def nearest_rule(widgets: DataFrame, rules: DataFrame, tolerance: float = RULE_Y
     )
     pairs = page_pairs(
         _widgets(widgets),
-        rules,
+        places(rules, rule_id=F.min("rule_id")),
         (F.abs(dy) <= tolerance) & (b.x1 >= a.x0 - RULE_X_SLOP) & (b.x0 <= a.x1 + RULE_X_SLOP),
         reach=Reach(RULE_X_SLOP, tolerance, RULE_X_SLOP, tolerance),
     )
@@ -239,8 +239,8 @@ def blank_snap(widgets: DataFrame, blanks: DataFrame, words: DataFrame, drop: fl
     old = _widgets(widgets, "field_id")
     effective = new.unionByName(old.join(new.select(*WIDGET), list(WIDGET), "left_anti"))
     clash = (F.col("field_id") != F.col("r_field_id")) & (G.overlap_x(a, b) > 2) & (G.overlap_y(a, b) > 2)
-    bumps = page_semi(new, effective, clash, id_cols=WIDGET).select(*WIDGET)
-    was_free = page_anti(targets.select(*WIDGET, "field_id", *BOX), old, clash, id_cols=WIDGET).select(*WIDGET)
+    bumps = page_semi(new, effective, clash, id_cols=WIDGET, reads=("field_id",)).select(*WIDGET)
+    was_free = page_anti(targets.select(*WIDGET, "field_id", *BOX), old, clash, id_cols=WIDGET, reads=("field_id",)).select(*WIDGET)
     dropped = bumps.join(was_free, list(WIDGET), "left_semi")
     return new.join(dropped, list(WIDGET), "left_anti")
 
@@ -356,6 +356,7 @@ def shrink_tall(
         & (G.overlap_area(a, b) >= min_area)
         & (G.height(a) - G.height(b) >= min_taller),
         id_cols=WIDGET,
+        reads=("field_id",),
     )
     ov = F.greatest(F.lit(0.0), G.overlap_x(a, b))
     near = page_pairs(

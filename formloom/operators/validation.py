@@ -477,3 +477,33 @@ def stale_projection(stored: DataFrame, derived: DataFrame, key: Sequence[str],
     s = stored.select(*key, F.col(value).alias("stored"))
     d = derived.select(*key, F.col(value).alias("derived"))
     return s.join(d, list(key), "full").where(~F.col("stored").eqNullSafe(F.col("derived")))
+
+
+def default_validators(fields: DataFrame) -> DataFrame:
+    """Rule tags a field gets from its category and numbered name.
+
+    ``fields``: form_id, field_id, category, subcategory.  Descriptions of one
+    family must not repeat those of the form's other families, which are named
+    in the tag.
+    """
+    slotted = fields.withColumn("_s", slot_parts(F.col("field_id")))
+    is_desc = F.col("_s.attr").isin("desc", "description")
+    families = slotted.where(is_desc).groupBy("form_id").agg(F.collect_set("_s.entity").alias("_all"))
+    own = F.col("_s.entity")
+    others = F.array_sort(F.array_except(F.coalesce("_all", F.array().cast("array<string>")), F.array(own)))
+    slot = F.col("subcategory") == "repeating_slot"
+    tag = lambda ok, c: F.when(F.coalesce(ok, F.lit(False)), c)
+    tags = F.array_compact(
+        F.array(
+            tag((F.col("category") == "legal_choice") & (F.col("subcategory") == "yes_no"), F.lit("value_in(yes, no)")),
+            tag(slot & is_desc, F.concat(F.lit("dedupe_within("), own, F.lit("_desc)"))),
+            tag(
+                slot & is_desc & (F.size(others) > 0),
+                F.concat(F.lit("cross_section_dedupe("), F.array_join(F.transform(others, lambda o: F.concat(o, F.lit("_desc"))), ","), F.lit(")")),
+            ),
+            tag(slot & F.col("_s.attr").isin("val", "value", "amount", "enc", "encumbrance"), F.lit("nonempty_if_desc")),
+            tag(F.col("category") == "computed", F.lit("recompute_from_dependencies")),
+            tag(F.col("category") == "case_constant", F.lit("populate_from_case_dict")),
+        )
+    )
+    return slotted.join(families, "form_id", "left").select("form_id", "field_id", tags.alias("validators"))

@@ -59,6 +59,11 @@ def stream_run_state(t: Tables):
     return reports.latest_by_key(out, ["item"], ["batch_no"]).select("item", "status", "attempts")
 
 
+@query("stream_status_counts", sql=f"{STATES} SELECT status, count(*) AS n FROM states GROUP BY status")
+def stream_status_counts(t: Tables):
+    return logs.status_counts(stream_run_state(t))
+
+
 def _entries(t: Tables) -> DataFrame:
     """Events as log entries; seq counts an item's events by id.
 

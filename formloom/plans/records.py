@@ -380,3 +380,28 @@ def synthesize_cases(t: Tables):
         F.col("c_custkey").alias("case_id"), F.col("c_mktsegment").alias("case_type"), F.concat(F.lit("Brand#"), (F.col("c_custkey") % 25 + 1).cast("string")).alias("form_id")
     )
     return records.synthesize_cases(seeds, ["heir", "owner"], ["Ana", "Ben", "Cleo"], ["Reed", "Stone"], t.field)
+
+
+@query(
+    uses="answer",
+    sql="""WITH b AS (SELECT record_id, form_id, CASE field_id WHEN 'order_date' THEN 'owner_age' WHEN 'priority' THEN 'venue_state' WHEN 'status' THEN 'printed_name' ELSE 'total' END AS field_id,
+  CASE WHEN record_id % 2 = 0 THEN value END AS value, strftime(DATE '1950-01-01' + CAST(record_id % 9000 AS INTEGER), '%Y-%m-%d') AS dob FROM answer),
+f AS (SELECT *, value IS NULL OR trim(value) = '' AS blank, CASE field_id WHEN 'owner_age' THEN CAST(date_diff('year', CAST(dob AS DATE), DATE '2024-06-15') - CASE WHEN strftime(CAST(dob AS DATE), '%m%d') > '0615' THEN 1 ELSE 0 END AS VARCHAR)
+  WHEN 'venue_state' THEN 'Home State' WHEN 'printed_name' THEN 'Rec ' || CAST(record_id AS VARCHAR) END AS made FROM b)
+SELECT record_id, form_id, field_id, CASE WHEN blank THEN coalesce(made, value) ELSE value END AS value FROM f""",
+)
+def fill_packs(t: Tables):
+    """Constant, copy and age packs in one pass."""
+    name = F.expr("CASE field_id WHEN 'order_date' THEN 'owner_age' WHEN 'priority' THEN 'venue_state' WHEN 'status' THEN 'printed_name' ELSE 'total' END")
+    dob = F.date_add(F.lit("1950-01-01").cast("date"), (F.col("record_id") % 9000).cast("int"))
+    a = t.answer.select(
+        "record_id", "form_id", name.alias("field_id"), F.when(F.col("record_id") % 2 == 0, F.col("value")).alias("value"), F.lit(0.5).alias("confidence"),
+        F.array().cast("array<struct<from:string,to:string,method:string>>").alias("provenance"), dob.alias("dob"),
+        F.concat(F.lit("Rec "), F.col("record_id").cast("string")).alias("person"),
+    )
+    rules = (
+        records.age_pack(F.col("dob"), F.lit("2024-06-15").cast("date"))
+        + records.constant_pack([("^venue_state$", "Home State", "venue")])
+        + records.copy_pack([("^printed_name$", F.col("person"), "copied-name")])
+    )
+    return records.fill_if_blank(a, rules).select("record_id", "form_id", "field_id", "value")

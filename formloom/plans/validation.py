@@ -196,3 +196,36 @@ def formula_inputs(t: Tables):
     edges = t.spark.createDataFrame(pairs, "target string, input string")
     used = _line_answers(t).groupBy(F.col("field_id").alias("input")).agg(F.count("*").alias("n_records"))
     return edges.join(used, "input").select("target", "input", "n_records")
+
+
+SLOTTED = """WITH f AS (SELECT form_id, CASE seq % 3 WHEN 0 THEN 'heir' WHEN 1 THEN 'asset' ELSE 'debt' END AS e, CASE WHEN size % 2 = 0 THEN 'desc' ELSE 'amount' END AS a, seq % 5 + 1 AS i, seq, size % 4 AS k FROM field),
+n AS (SELECT DISTINCT form_id, e, a, CASE WHEN k = 3 THEN 'plain_' || CAST(seq AS VARCHAR) || '_x' ELSE e || '_' || CAST(i AS VARCHAR) || '_' || a END AS field_id,
+  CASE k WHEN 0 THEN 'computed' WHEN 1 THEN 'case_constant' WHEN 2 THEN 'narrative_derived' ELSE 'legal_choice' END AS category, k FROM f)"""
+
+
+@query(
+    uses="field",
+    sql=f"""{SLOTTED}, d AS (SELECT form_id, list_sort(list(DISTINCT e)) AS fam FROM n WHERE k < 3 AND a = 'desc' GROUP BY form_id)
+SELECT n.form_id, field_id, category, concat_ws('|', CASE WHEN k = 3 THEN 'value_in(yes, no)' END, CASE WHEN k < 3 AND a = 'desc' THEN 'dedupe_within(' || e || '_desc)' END,
+  CASE WHEN k < 3 AND a = 'desc' AND len(list_filter(fam, lambda x: x <> e)) > 0 THEN 'cross_section_dedupe(' || array_to_string(list_transform(list_filter(fam, lambda x: x <> e), lambda x: x || '_desc'), ',') || ')' END,
+  CASE WHEN k < 3 AND a = 'amount' THEN 'nonempty_if_desc' END, CASE WHEN k = 0 THEN 'recompute_from_dependencies' END, CASE WHEN k = 1 THEN 'populate_from_case_dict' END) AS tags
+FROM n LEFT JOIN d ON n.form_id = d.form_id""",
+)
+def default_validators(t: Tables):
+    k = F.col("size") % 4
+    entity = F.when(F.col("seq") % 3 == 0, "heir").when(F.col("seq") % 3 == 1, "asset").otherwise("debt")
+    attr = F.when(F.col("size") % 2 == 0, "desc").otherwise("amount")
+    name = F.when(k == 3, F.concat(F.lit("plain_"), F.col("seq").cast("string"), F.lit("_x"))).otherwise(
+        F.concat_ws("_", entity, (F.col("seq") % 5 + 1).cast("string"), attr)
+    )
+    fields = t.field.select(
+        "form_id", name.alias("field_id"),
+        F.when(k == 0, "computed").when(k == 1, "case_constant").when(k == 2, "narrative_derived").otherwise("legal_choice").alias("category"),
+        F.when(k == 3, "yes_no").otherwise("repeating_slot").alias("subcategory"),
+    ).distinct()
+    tagged = val.default_validators(fields).distinct()
+    return fields.join(tagged, ["form_id", "field_id"]).where(
+        # a name may carry several categories here; keep the tags made for its own
+        (F.array_contains("validators", "recompute_from_dependencies") == (F.col("category") == "computed"))
+        & (F.array_contains("validators", "populate_from_case_dict") == (F.col("category") == "case_constant"))
+    ).select("form_id", "field_id", "category", F.array_join("validators", "|").alias("tags"))

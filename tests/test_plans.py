@@ -60,3 +60,15 @@ def test_results_do_not_depend_on_partitioning(spark, tables, parts):
     base = {tuple(r) for r in detect.nearest_label(tables.rect, tables.word).collect()}
     again = {tuple(r) for r in detect.nearest_label(tables.rect.repartition(parts), tables.word.repartition(parts)).collect()}
     assert again == base
+
+
+def test_everything_in_one_place_stays_linear(spark):
+    n = 20000
+    at = lambda name, x: spark.range(n).select(
+        F.lit(1).alias("form_id"), F.lit(0).alias("page"), F.col("id").alias(name), F.lit(x).alias("x0"), F.lit(100.0).alias("y0"),
+        F.lit(x + 50).alias("x1"), F.lit(110.0).alias("y1"), F.lit("Label").alias("text"),
+    )
+    got = detect.nearest_label(at("rect_id", 100.0).drop("text"), at("line_id", 20.0))
+    assert got.groupBy("label", "side", "cost").count().collect()[0]["count"] == n
+    ruled = snap.nearest_rule(at("rect_id", 100.0), at("rule_id", 100.0))
+    assert ruled.select("rule_id").distinct().collect()[0].rule_id == 0 and ruled.count() == n
