@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, places
+from formloom.operators.ranking import block_window, neighbours, rank_in_groups
 
 WIDGET = (*PAGE, "rect_id")
 SINGLE_LINE = 20.0
@@ -264,9 +264,16 @@ def split_date_stubs(date_widgets: DataFrame, words: DataFrame) -> DataFrame:
 
 def chain_gaps(widgets: DataFrame, max_gap: float = 22.0) -> DataFrame:
     """Consecutive widgets of one field on a page with a wide gap between."""
-    w = Window.partitionBy(*PAGE, "field_id").orderBy("rect_id")
-    gap = F.col("y0") - F.lag("y1").over(w)
-    return widgets.select(*WIDGET, "field_id", gap.alias("gap")).where(F.col("gap") > max_gap)
+    keys = [*PAGE, "field_id"]
+    ranked = rank_in_groups(
+        widgets.select(*keys, "rect_id", "y0", "y1"), keys, [F.col("rect_id")], [F.floor(F.col("rect_id") / 4096)]
+    )
+    before = F.lag("y1").over(block_window(keys))
+    return (
+        neighbours(ranked, keys, {"gap": F.col("y0") - before}, behind=1)
+        .where(F.col("gap") > max_gap)
+        .select(*WIDGET, "field_id", "gap")
+    )
 
 
 def odd_sizes(widgets: DataFrame) -> DataFrame:

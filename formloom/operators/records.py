@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from formloom.functions import values as V
 from formloom.functions.text import present
 from formloom.operators.naming import _lookup
+from formloom.operators.ranking import block_window, neighbours, rank_in_groups
 
 # Other spellings forms use for a party attribute.
 ATTRIBUTE_NAMES = {
@@ -34,12 +35,20 @@ BLANK_SOURCES = ("wet_ink", "human_decision", "left_blank", "triage")
 
 def widget_mode(widgets: DataFrame) -> DataFrame:
     """How a field's widgets share one value: replicate, first_only or wrap."""
-    w = Window.partitionBy("form_id", "field_id").orderBy("page", "y0", "x0", "rect_id")
-    steps = widgets.select(
-        "form_id", "field_id",
-        (F.col("page") != F.lag("page").over(w)).alias("turns"),
-        (F.col("y0") - F.lag("y0").over(w)).alias("dy"),
-        (F.col("x0") - F.lag("x1").over(w)).alias("dx"),
+    keys = ["form_id", "field_id"]
+    ranked = rank_in_groups(
+        widgets.select(*keys, "page", "rect_id", "x0", "y0", "x1"), keys,
+        [F.col("page"), F.col("y0"), F.col("x0"), F.col("rect_id")], [F.col("page"), F.floor(F.col("y0") / 64)],
+    )
+    w = block_window(keys)
+    steps = neighbours(
+        ranked, keys,
+        {
+            "turns": F.col("page") != F.lag("page").over(w),
+            "dy": F.col("y0") - F.lag("y0").over(w),
+            "dx": F.col("x0") - F.lag("x1").over(w),
+        },
+        behind=1,
     )
     apart = F.max(F.coalesce(F.col("turns") | (F.col("dy") > 60), F.lit(False)))
     beside = F.max(F.coalesce((F.abs("dy") < 5) & (F.col("dx") < 5), F.lit(False)))
