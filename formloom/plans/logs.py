@@ -166,12 +166,13 @@ def findings_rate(t: Tables):
     return logs.findings_rate(t.issue).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("stream_findings_rate")
+@query("stream_findings_rate", sql=f"SELECT * FROM ({RATE}) WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)")
 def stream_findings_rate(t: Tables):
     """Windows closed by the watermark; the last two hours stay open."""
     code = F.expr("CASE event_type WHEN 'click' THEN 'alignment' WHEN 'error' THEN 'naming' WHEN 'purchase' THEN 'missing' ELSE 'other' END")
     events = jobs.table_stream(t.spark, t.folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), code.alias("code"))
-    return jobs.run_to_table(jobs.findings_rate(events), jobs.run_folder(t.spark, "findings_rate"))
+    closed = jobs.run_to_table(jobs.findings_rate(events), jobs.run_folder(t.spark, "findings_rate"))
+    return closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("stream_votes", uses="vote", sql="""WITH l AS (SELECT key, voter, arg_max(verdict, (ts, event_id)) AS verdict FROM vote GROUP BY ALL),
