@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, prefix_counts, token_files
+from . import bpe, prefix_counts, simhash, token_files
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,8 @@ def op4_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), bpe.default_path())
+
+
+@query
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
