@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, prefix_counts, simhash, token_files
+from . import bpe, prefix_counts, repeats, simhash, token_files
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op7_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.removal_digests(read(spark, folder, "documents"))
