@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, prefix_counts, repeats, simhash, token_files
+from . import bpe, decontaminate, prefix_counts, repeats, simhash, token_files
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.removal_digests(read(spark, folder, "documents"))
+
+
+@query
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+ORACLES["op8_decontaminate"] = decontaminate.ORACLE
