@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, prefix_counts, repeats, simhash, token_files
+from . import bpe, decontaminate, prefix_counts, repeats, simhash, tag_paths, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,16 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op8_decontaminate"] = decontaminate.ORACLE
+
+
+@query
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return tag_paths.extract(read(spark, folder, "pages"))
+
+
+@query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_and_read(read(spark, folder, "pages"))
+
+
+ORACLES["op10_warc"] = warc.ORACLE

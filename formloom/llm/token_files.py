@@ -20,6 +20,7 @@ they are written through Spark's committer and outlive lost executors.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from array import array
@@ -54,19 +55,42 @@ ROUNDS, RULES_A_ROUND, LEAST = 8, 1024, 8
 
 class WordEncoder:
     """The ``tokenizers`` library over the pieces between blanks or line ends,
-    which this tokenizer drops and never merges across; pieces are remembered."""
+    which this tokenizer drops and never merges across; pieces are remembered.
+    A full stop or comma after a letter is a word of its own, so a piece that
+    ends in one is put together from the two."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark fills the cores
         self.lib = Tokenizer.from_file(path)
         self.lib.no_padding()
         self.lib.no_truncation()
-        self.memo = Memo(lambda piece: array("I", self.lib.encode(piece, add_special_tokens=False).ids).tobytes())
-
-    def encode(self, text: str) -> bytes:
-        """Packed uint32 ids of a whole text."""
-        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
+        self.memo = Memo(self._piece, limit=600_000)
+
+    def _piece(self, piece: str) -> bytes:
+        if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
+            return self.memo[piece[:-1]] + self.memo[piece[-1]]
+        return array("I", self.lib.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed uint32 ids of whole texts; new pieces go to the library in
+        one call."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        known = [list(map(self.memo.get, pieces)) for pieces in split]
+        gaps = [[i for i, ids in enumerate(found) if ids is None] for found in known]
+        stems = set()
+        for pieces, gap in zip(split, gaps):
+            for i in gap:
+                p = pieces[i]
+                stems.add(p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].isalpha() else p)
+        stems = [p for p in stems if p not in self.memo and p not in self.memo.old]
+        for piece, ids in zip(stems, self.lib.encode_batch_fast(stems, add_special_tokens=False)):
+            self.memo[piece] = array("I", ids.ids).tobytes()
+        for pieces, found, gap in zip(split, known, gaps):
+            for i in gap:
+                found[i] = self.memo[pieces[i]]
+        return list(map(b"".join, known))
 
 
 @lru_cache(maxsize=4)
@@ -78,10 +102,11 @@ def repair(ids: np.ndarray, first_rule: int, end_id: int = END_ID) -> tuple[np.n
     """``symbols, rules`` of a sequence: rule ``r`` stands for symbol
     ``first_rule + r`` and is a row (left, right)."""
     symbols, rules = ids.astype(np.uint32), []
+    narrow = first_rule + ROUNDS * RULES_A_ROUND <= 1 << 16
+    shift, kind = (16, np.uint32) if narrow else (32, np.uint64)
     for _ in range(ROUNDS):
-        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        open_ = symbols[:-1] != end_id
-        ordered = np.sort(pairs[open_])
+        pairs = (symbols[:-1].astype(kind) << kind(shift)) | symbols[1:]
+        ordered = np.sort(pairs[symbols[:-1] != end_id])
         if not len(ordered):
             break
         starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -91,19 +116,24 @@ def repair(ids: np.ndarray, first_rule: int, end_id: int = END_ID) -> tuple[np.n
             break
         best = often[np.argsort(-counts[often], kind="stable")[:RULES_A_ROUND]]
         chosen = np.sort(ordered[starts[best]])
-        at = np.searchsorted(chosen, pairs)
+        left, right = (chosen >> kind(shift)).astype(np.int64), (chosen & kind((1 << shift) - 1)).astype(np.int64)
+        is_left, is_right = (np.zeros(first_rule + len(rules) + 1, bool) for _ in range(2))
+        is_left[left], is_right[right] = True, True
+        where = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
+        at = np.searchsorted(chosen, pairs[where])
         at[at == len(chosen)] = 0
-        hit = open_ & (chosen[at] == pairs)
+        hit = chosen[at] == pairs[where]
+        where, at = where[hit], at[hit]
         # Of overlapping occurrences the first, third, ... of each run are taken.
-        where = np.flatnonzero(hit)
         new_run = np.concatenate([[True], np.diff(where) > 1])
         run_start = where[np.maximum.accumulate(np.where(new_run, np.arange(len(where)), 0))]
-        taken = where[(where - run_start) % 2 == 0]
-        symbols[taken] = first_rule + len(rules) + at[taken]
+        odd = (where - run_start) % 2 == 0
+        taken = where[odd]
+        symbols[taken] = first_rule + len(rules) + at[odd]
         keep = np.ones(len(symbols), bool)
         keep[taken + 1] = False
         symbols = symbols[keep]
-        rules += [(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in chosen]
+        rules += zip(left.tolist(), right.tolist())
     return symbols, np.array(rules, np.uint32).reshape(-1, 2)
 
 
@@ -137,6 +167,7 @@ class Segment:
     """Reads one segment; ``ids(lo, hi)`` expands that range alone."""
 
     def __init__(self, payload: bytes):
+        self._flat = None
         magic, docs, rules, symbols, self.first_rule = HEAD.unpack_from(payload)
         if magic != MAGIC:
             raise ValueError("not a token segment")
@@ -164,15 +195,30 @@ class Segment:
         a = np.searchsorted(self.offsets, lo, "right") - 1
         b = np.searchsorted(self.offsets, hi, "left")
         out = self.symbols[a:b].astype(np.int64)
-        while (made := out >= self.first_rule).any():
-            size = np.where(made, 2, 1)
-            place = np.cumsum(size) - size
-            grown = np.empty(int(size.sum()), np.int64)
-            grown[place] = np.where(made, self.left[np.where(made, out - self.first_rule, 0)] if len(self.left) else 0, out)
-            grown[place[made] + 1] = self.right[out[made] - self.first_rule]
-            out = grown
+        made = np.flatnonzero(out >= self.first_rule)
+        base, size = np.zeros(len(out), np.int64), np.ones(len(out), np.int64)
+        rule = out[made] - self.first_rule
+        flat, places = self.expansions()
+        base[made], size[made] = places[rule], self.length[rule]
+        single = np.repeat(size == 1, size)  # a rule stands for two ids at least
+        place = np.cumsum(size) - size
+        grown = np.empty(int(size.sum()), np.int64)
+        grown[single] = out[size == 1]
+        many = ~single
+        grown[many] = flat[(np.repeat(base - place, size) + np.arange(len(grown)))[many]]
         skip = lo - int(self.offsets[a])
-        return out[skip : skip + hi - lo].astype(np.uint32)
+        return grown[skip : skip + hi - lo].astype(np.uint32)
+
+    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rules one after the other, and where each begins."""
+        if self._flat is None:
+            whole: list[np.ndarray] = []
+            ends = lambda s: whole[s - self.first_rule] if s >= self.first_rule else np.array([s], np.int64)
+            for left, right in zip(self.left.tolist(), self.right.tolist()):
+                whole.append(np.concatenate([ends(left), ends(right)]))
+            lengths = self.length.astype(np.int64)
+            self._flat = np.concatenate([np.zeros(0, np.int64), *whole]), np.cumsum(lengths) - lengths
+        return self._flat
 
     def document(self, k: int) -> np.ndarray:
         return self.ids(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
@@ -192,7 +238,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
     first_rule = _vocabulary_size(path)
 
     def encode(batch):
-        ids = [encoder(path).encode(t) + struct.pack("<I", end_id) for t in batch["text"]]
+        ids = [b + struct.pack("<I", end_id) for b in encoder(path).encode(batch["text"])]
         if first_rule <= 1 << 16:
             ids = [np.frombuffer(b, np.uint32).astype(np.uint16).tobytes() for b in ids]
         shard = np.searchsorted(cuts, [-np.inf if d is None else d for d in batch["doc_id"]], "right")
