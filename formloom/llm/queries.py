@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, prefix_counts, repeats, simhash, tag_paths, token_files, warc
+from . import bpe, decontaminate, impact_search, prefix_counts, repeats, simhash, tag_paths, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,11 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op10_warc"] = warc.ORACLE
+
+
+@query
+def op6_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return impact_search.top_k(read(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+ORACLES["op6_impact_search"] = impact_search.ORACLE
