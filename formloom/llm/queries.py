@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, impact_search, prefix_counts, repeats, simhash, tag_paths, token_files, warc
+from . import bpe, decontaminate, impact_search, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +73,13 @@ def op6_impact_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op6_impact_search"] = impact_search.ORACLE
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

@@ -257,7 +257,7 @@ def _counted(bodies: DataFrame, length: int) -> DataFrame:
 def merge_spans(spans) -> list[list[int]]:
     """Sorted, maximal spans."""
     out: list[list[int]] = []
-    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
+    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans):
         if out and lo <= out[-1][1]:
             out[-1][1] = max(out[-1][1], hi)
         else:
@@ -300,7 +300,7 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     def work(batch):
         size, removed, spans_n, digest = [], [], [], []
         for text, spans in zip(batch["text"], batch["spans"]):
-            data, cut = text.encode(), merge_spans(spans)
+            data, cut = text.encode(), merge_spans(spans or [])
             size.append(len(data))
             removed.append(sum(hi - lo for lo, hi in cut))
             spans_n.append(len(cut))
@@ -317,8 +317,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     """``docs`` with every repeated window cut out of the text.
 
     The text stays valid: a character goes only if all of its bytes are in
-    repeated windows.  All other columns stay as they are; a null text stays
-    null; every row is kept.
+    repeated windows.  ``n_chars``, where there is one, follows the text; all
+    other columns stay as they are; a null text stays null; every row is kept.
     """
     names = docs.columns
     plain = docs.select("*", text_of(text_col).alias("_text"), F.col(id_col).cast("long").alias("_doc"), F.crc32(text_of(text_col)).alias("_code"))
@@ -337,4 +337,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
 
     match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_code") == F.col("_crc"))
     joined = plain.drop("_text").join(spans, match, "left")
-    return joined.withColumn(text_col, cut(F.col(text_col), F.col("_spans"))).select(*names)
+    shorter = joined.withColumn(text_col, cut(F.col(text_col), F.col("_spans")))
+    if "n_chars" in names:
+        shorter = shorter.withColumn("n_chars", F.coalesce(F.char_length(text_col), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return shorter.select(*names)

@@ -137,3 +137,104 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     best = member.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = member.join(best, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# Near copies at a similarity of word shingles.
+#
+# One fingerprint of a whole text is too blunt for a similarity of 0.8 (a pair
+# differs in some ten of 64 bits), so the shingles are dealt by hash to slices
+# of about three and each slice has its own fingerprint.  A pair at 0.8 shares
+# every second slice unchanged, that is all eight positional bytes of it.
+
+SHINGLE, SIMILARITY = 5, 0.8
+#: Slices that are posted, shingles of a slice, and the sketch that verifies.
+SLICES, PER_SLICE, SKETCH = 10, 3, 256
+#: Members of a bucket that all others are compared with.
+LEADERS = 3
+
+
+def slice_keys(shingles: np.ndarray) -> list[int]:
+    """Postings of a sorted set of shingle hashes: (scale, slice, fingerprint)
+    hashed to one number.  The scale follows the set's size; sets near a step
+    are posted on both sides of it, so similar sizes always meet."""
+    if not len(shingles):
+        return []
+    exact = np.log2(len(shingles) / PER_SLICE)
+    room = -np.log2(SIMILARITY)
+    out = []
+    for scale in range(max(0, round(exact - room)), max(0, round(exact + room)) + 1):
+        part = shingles >> np.uint64(64 - scale) if scale else np.zeros(len(shingles), np.uint64)
+        cuts = np.searchsorted(part, np.arange(min(SLICES, 1 << scale) + 1, dtype=np.uint64))
+        for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            if a < b:
+                key = xxhash.xxh64_intdigest(f"{scale}:{s}:{fingerprint(shingles[a:b])}".encode())
+                out.append(key - (1 << 64) if key >= 1 << 63 else key)
+    return out
+
+
+def sketch_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity from the least hashes of both sets; exact for sets
+    of up to ``SKETCH`` shingles."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    both = np.union1d(x, y)[:SKETCH]
+    return float(np.isin(both, x, assume_unique=True).astype(int) @ np.isin(both, y, assume_unique=True)) / max(1, len(both))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: the least id.
+
+    Texts are near copies at a similarity of 0.8 or more of their sets of
+    five-word shingles, and groups are what is reachable over such pairs.
+    Documents of equal sets are one node.  Bucket members are compared with up
+    to three leaders of each of their buckets, not in all pairs; the copies of
+    a pair meet in several buckets.  Empty texts are copies of one another.
+    Null ids come before others; of repeated rows one stays.  All columns are
+    returned as they are.
+    """
+
+    def work(batch):
+        nodes, keys, sketches = [], [], []
+        for text in batch["text"]:
+            found = np.unique(shingle_hashes(words_of(text), SHINGLE))
+            node = xxhash.xxh3_64_intdigest(found.tobytes())
+            nodes.append(node - (1 << 64) if node >= 1 << 63 else node)
+            keys.append(slice_keys(found))
+            sketches.append(np.unique((found[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes())
+        return {
+            "doc_id": pa.array(batch["doc_id"], pa.int64()), "crc": pa.array(batch["crc"], pa.int64()), "node": pa.array(nodes, pa.int64()),
+            "keys": pa.array(keys, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary()),
+        }
+
+    text = text_of(text_col)
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text).alias("crc"), text.alias("text"))
+    rows = written(map_batches(plain, "doc_id long, crc long, node long, keys array<long>, sketch binary", work), "sketches")
+    nodes = rows.select("node", "keys").dropDuplicates(["node"])
+    posted = nodes.select("node", F.explode("keys").alias("key"))
+    leaders = posted.groupBy("key").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]).where("n > 1")
+    pairs = (
+        posted.join(leaders, "key")
+        .select("node", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("other"))
+        .where("node != other")
+        .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
+        .distinct()
+    )
+    sketch = rows.groupBy("node").agg(F.first("sketch").alias("sketch"))
+
+    @F.pandas_udf("double")
+    def similarity(a, b):
+        return a.combine(b, sketch_similarity)
+
+    edges = (
+        pairs.join(sketch.select(F.col("node").alias("u"), F.col("sketch").alias("a")), "u")
+        .join(sketch.select(F.col("node").alias("v"), F.col("sketch").alias("b")), "v")
+        .where(similarity("a", "b") >= SIMILARITY)
+        .select("u", "v")
+    )
+    roots = components(edges)
+    owned = rows.select("doc_id", "crc", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "crc")).alias("d")).select(F.col("d.doc_id").alias("_id"), F.col("d.crc").alias("_crc")), "kept")
+    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.crc32(text) == F.col("_crc"))
+    result = docs.join(kept, match, "left_semi")
+    if not rows.groupBy("doc_id", "crc").count().where("count > 1").isEmpty():
+        result = result.dropDuplicates([id_col, text_col])  # rows given twice
+    return result
