@@ -63,3 +63,14 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], di
 
 def as_array(values) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores in front until ``df`` has none of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

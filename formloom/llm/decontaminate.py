@@ -21,7 +21,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import fresh, text_of
 
 WINDOW = 13
 #: Tokens of a window that may be substituted.
@@ -98,9 +98,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``leaks`` finds; a row with a null id is
     judged by its own text as well."""
-    keys = {"_id": F.col(id_col).cast("long"), "_crc": F.crc32(text_of(text_col))}
+    doc, code = fresh(docs, "_id", "_crc")
+    keys = {doc: F.col(id_col).cast("long"), code: F.crc32(text_of(text_col))}
     found = leaks(docs, benchmark, id_col, text_col, keys).select(*keys).distinct()
-    match = F.col(id_col).cast("long").eqNullSafe(found["_id"]) & (F.crc32(text_of(text_col)) == found["_crc"])
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.crc32(text_of(text_col)) == F.col(code))
     return docs.join(found, match, "left_anti")
 
 

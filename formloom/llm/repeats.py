@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, map_batches, text_of, written
+from .common import drop_written, fresh, map_batches, text_of, written
 
 LENGTH = 200
 GRAM = 32
@@ -321,23 +321,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     other columns stay as they are; a null text stays null; every row is kept.
     """
     names = docs.columns
-    plain = docs.select("*", text_of(text_col).alias("_text"), F.col(id_col).cast("long").alias("_doc"), F.crc32(text_of(text_col)).alias("_code"))
-    keyed = plain.select(F.col("_doc").alias("doc_id"), F.col("_text").alias("text"), F.col("_code").alias("crc"))
-    spans = written(repeated_spans(keyed, length), "repeat-spans").withColumnsRenamed({"doc_id": "_id", "crc": "_crc", "spans": "_spans"})
+    doc, code, found = fresh(docs, "_id", "_crc", "_spans")
+    keyed = _bytes(docs, id_col, text_col)
+    spans = written(repeated_spans(keyed, length), "repeat-spans").withColumnsRenamed({"doc_id": doc, "crc": code, "spans": found})
 
     @F.pandas_udf("string")
     def cut(texts, spans):
-        def one(text, found):
-            if text is None or found is None or not len(found):
+        def one(text, cuts):
+            if text is None or cuts is None or not len(cuts):
                 return text
             data = text.encode()
-            return kept_bytes(data, whole_characters(data, merge_spans(found))).decode()
+            return kept_bytes(data, whole_characters(data, merge_spans(cuts))).decode()
 
         return texts.combine(spans, one)
 
-    match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_code") == F.col("_crc"))
-    joined = plain.drop("_text").join(spans, match, "left")
-    shorter = joined.withColumn(text_col, cut(F.col(text_col), F.col("_spans")))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.crc32(text_of(text_col)) == F.col(code))
+    shorter = docs.join(spans, match, "left").withColumn(text_col, cut(F.col(text_col), F.col(found)))
     if "n_chars" in names:
         shorter = shorter.withColumn("n_chars", F.coalesce(F.char_length(text_col), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return shorter.select(*names)

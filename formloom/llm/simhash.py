@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_of, written
+from .common import fresh, map_batches, text_of, written
 from .components import components
 
 SEED = 42
@@ -148,7 +148,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Slices that are posted, shingles of a slice, and the sketch that verifies.
-SLICES, PER_SLICE, SKETCH = 10, 3, 256
+SLICES, PER_SLICE, SKETCH = 10, 3, 512
 #: Members of a bucket that all others are compared with.
 LEADERS = 3
 
@@ -172,6 +172,11 @@ def slice_keys(shingles: np.ndarray) -> list[int]:
     return out
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """The least hashes of a sorted set, cut to 32 bits."""
+    return np.unique((shingles[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
 def sketch_similarity(a: bytes, b: bytes) -> float:
     """Jaccard similarity from the least hashes of both sets; exact for sets
     of up to ``SKETCH`` shingles."""
@@ -184,7 +189,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with one row of each group of near copies: the least id.
 
     Texts are near copies at a similarity of 0.8 or more of their sets of
-    five-word shingles, and groups are what is reachable over such pairs.
+    five-word shingles (estimated from the 512 least where a set is larger),
+    and groups are what is reachable over such pairs.
     Documents of equal sets are one node.  Bucket members are compared with up
     to three leaders of each of their buckets, not in all pairs; the copies of
     a pair meet in several buckets.  Empty texts are copies of one another.
@@ -199,7 +205,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             node = xxhash.xxh3_64_intdigest(found.tobytes())
             nodes.append(node - (1 << 64) if node >= 1 << 63 else node)
             keys.append(slice_keys(found))
-            sketches.append(np.unique((found[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes())
+            sketches.append(sketch_of(found))
         return {
             "doc_id": pa.array(batch["doc_id"], pa.int64()), "crc": pa.array(batch["crc"], pa.int64()), "node": pa.array(nodes, pa.int64()),
             "keys": pa.array(keys, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary()),
@@ -232,8 +238,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     roots = components(edges)
     owned = rows.select("doc_id", "crc", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "crc")).alias("d")).select(F.col("d.doc_id").alias("_id"), F.col("d.crc").alias("_crc")), "kept")
-    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.crc32(text) == F.col("_crc"))
+    doc, code = fresh(docs, "_id", "_crc")
+    kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "crc")).alias("d")).select(F.col("d.doc_id").alias(doc), F.col("d.crc").alias(code)), "kept")
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.crc32(text) == F.col(code))
     result = docs.join(kept, match, "left_semi")
     if not rows.groupBy("doc_id", "crc").count().where("count > 1").isEmpty():
         result = result.dropDuplicates([id_col, text_col])  # rows given twice

@@ -21,6 +21,7 @@ they are written through Spark's committer and outlive lost executors.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -53,11 +54,28 @@ SHARD_DOCS, MOST_SHARDS = 2048, 1 << 16
 ROUNDS, RULES_A_ROUND, LEAST = 8, 1024, 8
 
 
+#: A stop or comma that stands with another sign, where it is no word of its own.
+SIGN_RUN = re.compile(r"(?:[^\w \n]|_)[.,]|[.,](?:[^\w \n]|_)")
+
+
+def pieces_of(text: str) -> list[str]:
+    """Pieces between blanks or line ends, which the tokenizer drops and never
+    merges across.  Two steps make more pieces alike and change no id: Latin-1
+    text is put in lower case (as the tokenizer does, character by character),
+    and a stop or comma after a word, which it takes as a word, is cut off."""
+    if "<|" not in text:  # special tokens are taken as written
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        if not SIGN_RUN.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
+    return text.replace("\n", " ").split(" ")
+
+
 class WordEncoder:
-    """The ``tokenizers`` library over the pieces between blanks or line ends,
-    which this tokenizer drops and never merges across; pieces are remembered.
-    A full stop or comma after a letter is a word of its own, so a piece that
-    ends in one is put together from the two."""
+    """The ``tokenizers`` library over pieces, which are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -66,26 +84,17 @@ class WordEncoder:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_padding()
         self.lib.no_truncation()
-        self.memo = Memo(self._piece, limit=600_000)
-
-    def _piece(self, piece: str) -> bytes:
-        if len(piece) > 1 and piece[-1] in ".," and piece[-2].isalpha():
-            return self.memo[piece[:-1]] + self.memo[piece[-1]]
-        return array("I", self.lib.encode(piece, add_special_tokens=False).ids).tobytes()
+        self.memo = Memo(lambda piece: array("I", self.lib.encode(piece, add_special_tokens=False).ids).tobytes(), limit=600_000)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed uint32 ids of whole texts; new pieces go to the library in
         one call."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = list(map(pieces_of, texts))
         known = [list(map(self.memo.get, pieces)) for pieces in split]
-        gaps = [[i for i, ids in enumerate(found) if ids is None] for found in known]
-        stems = set()
-        for pieces, gap in zip(split, gaps):
-            for i in gap:
-                p = pieces[i]
-                stems.add(p[:-1] if len(p) > 1 and p[-1] in ".," and p[-2].isalpha() else p)
-        stems = [p for p in stems if p not in self.memo and p not in self.memo.old]
-        for piece, ids in zip(stems, self.lib.encode_batch_fast(stems, add_special_tokens=False)):
+        gaps = list(map(_gaps, known))
+        new = {pieces[i] for pieces, gap in zip(split, gaps) for i in gap}
+        new = [p for p in new if p not in self.memo.old]
+        for piece, ids in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False)):
             self.memo[piece] = array("I", ids.ids).tobytes()
         for pieces, found, gap in zip(split, known, gaps):
             for i in gap:
@@ -93,6 +102,16 @@ class WordEncoder:
         return list(map(b"".join, known))
 
 
+def _gaps(found: list) -> list[int]:
+    out, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
