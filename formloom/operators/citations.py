@@ -8,6 +8,7 @@ functions give no offsets.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -29,61 +30,84 @@ HIT = "doc_id bigint, raw string, cite string, kind string, start int, end int,
 
 
 class Family(NamedTuple):
-    """One citation form: ``cite`` is built from the groups of ``pattern``;
-    with ``each``, every match of it inside is a citation of its own.  Texts
-    without ``needs``, a cheap pattern any match contains, are not searched."""
+    """One citation form.  ``cite`` is put together from pieces over the groups
+    of ``pattern``; a piece whose group is missing is left out.  With ``each``,
+    every match of it inside is a citation of its own.  Texts without
+    ``needs``, a cheap pattern that any match contains, are not searched."""
 
     pattern: str
-    cite: str
+    cite: tuple[str, ...]
     kind: str
     needs: str = ""
     each: str | None = None
 
 
 def families(home: str) -> tuple[Family, ...]:
-    """Citation forms in priority order; bare sections belong to title ``home``.
-
-    Fixed values: the printed forms of statute, reporter and neutral citations.
-    """
-    code = r"M\.?\s?R\.?\s?S\.?(?:A\.?)?"
-    sub = r"(?:\([0-9A-Za-z]+\))?"
-    sec = r"(?:§|[Ss][Ee][Cc](?:[Tt][Ii][Oo][Nn]|\.)?)"
+    """Citation forms in priority order; bare sections belong to title ``home``."""
     title = re.escape(home)
-    own = home + " §{0}"
+    own = (home + " §{0}",)
+    # The printed forms of statute, neutral and reporter citations.
+    titled = rf"(?i)\b{title}\b\s*(?:M\.?\s?R\.?\s?S\.?(?:A\.?)?)?[,\s]*(?:§|sec(?:tion|\.)?)\s*(\d+-\d+)(?:\([0-9A-Za-z]+\))?"
+    reverse = rf"(?i)(?:§|sec(?:tion|\.)?)\s*(\d+-\d+)(?:\([0-9A-Za-z]+\))?\s+of\s+(?:Title\s+)?{title}\b"
+    neutral = r"\b(\d{4})\s+ME\s+(\d+)\b"
+    reporter = r"\b(\d+)\s+A\.?\s?([23])d\s+(\d+)\b"
+    other_title = r"\b(\d+(?:-[A-Z])?)\s*M\.?\s?R\.?\s?S\.?(?:A\.?)?\s*(?:§\s*(\d+(?:-[A-Z])?)(?:\([0-9A-Za-z]+\))?)?"
+    section_list = r"§§?\s*\d+-\d+(?:\s*(?:,|;|&|and)\s*\d+-\d+)+"
+    bare = r"§\s*(\d+-\d+)(?:\([0-9A-Za-z]+\))?"
     return (
-        Family(rf"\b{title}\b\s*(?:{code})?[,\s]*{sec}\s*(\d+-\d+){sub}", own, "statute", title),
-        Family(rf"{sec}\s*(\d+-\d+){sub}\s+of\s+(?:[Tt]itle\s+)?{title}\b", own, "statute", title),
-        Family(r"\b(\d{4})\s+ME\s+(\d+)\b", "{0} ME {1}", "case", "ME"),
-        Family(r"\b(\d+)\s+A\.?\s?([23])d\s+(\d+)\b", "{0} A.{1}d {2}", "case", "[23]d"),
-        Family(rf"\b(?!{title}\b)(\d+(?:-[A-Z])?)\s*{code}\s*§\s*(\d+(?:-[A-Z])?){sub}", "{0} M.R.S. §{1}", "crossref", r"R\.?\s?S"),
-        Family(rf"\b(?!{title}\b)(\d+(?:-[A-Z])?)\s*M\.?\s?R\.?\s?S\.(?:A\.)?", "{0} M.R.S.", "crossref", r"R\.?\s?S\."),
-        Family(r"§§?\s*\d+-\d+(?:\s*(?:,|;|&|and)\s*\d+-\d+)+", own, "statute", "§", r"(\d+-\d+)"),
-        Family(rf"§\s*(\d+-\d+){sub}", own, "statute", "§"),
+        Family(titled, own, "statute", title),
+        Family(reverse, own, "statute", title),
+        Family(neutral, ("{0} ME {1}",), "case", "ME"),
+        Family(reporter, ("{0} A.{1}d {2}",), "case", "[23]d"),
+        Family(rf"(?!\b{title}\b)" + other_title, ("{0} M.R.S.", " §{1}"), "crossref", r"R\.?\s?S"),
+        Family(section_list, own, "statute", "§", r"(\d+-\d+)"),
+        Family(bare, own, "statute", "§"),
     )
 
 
+def name_variants(names: dict[str, str]) -> dict[str, str]:
+    """Case names with their citation; "In re X" is known as "X" as well."""
+    short = {re.sub(r"(?i)^in re\s+", "", name): cite for name, cite in names.items()}
+    return {n: c for n, c in {**short, **names}.items() if n}
+
+
 def scan_mentions(docs: DataFrame, forms: Sequence[Family], names: dict[str, str] | None = None) -> DataFrame:
     """Citation spans of whole texts: raw, cite, kind, start, end.
 
     Families are tried in order; a hit overlapping an earlier one is dropped.
     ``names`` maps known case names to their citation.
     """
-    compiled = [(re.compile(f.pattern), f.cite, f.kind, re.compile(f.needs), re.compile(f.each) if f.each else None) for f in forms]
-    compiled += [(re.compile(re.escape(n), re.I), c, "case", re.compile(""), None) for n, c in sorted((names or {}).items())]
+    compiled = [
+        (re.compile(f.pattern), f.cite, f.kind, re.compile(f.needs, re.I), re.compile(f.each) if f.each else None) for f in forms
+    ]
+    compiled += [
+        (re.compile(re.escape(n), re.I), (c.replace("{", "{{").replace("}", "}}"),), "case", re.compile(""), None)
+        for n, c in sorted(name_variants(names or {}).items())
+    ]
     placeholder = re.compile(PLACEHOLDER)
+
+    def cited(pieces: tuple[str, ...], groups: tuple) -> str:
+        holes = [[int(i) for i in re.findall(r"\{(\d)\}", piece)] for piece in pieces]
+        return "".join(p.format(*groups) for p, need in zip(pieces, holes) if all(groups[i] is not None for i in need))
+
     def hits(text: str) -> Iterator[tuple]:
         refs = [m.span() for m in placeholder.finditer(text)]
-        taken: list[tuple[int, int]] = []
-        for regex, cite, kind, needs, each in compiled:
+        starts: list[int] = []  # of the spans taken, in order; ends beside them
+        ends: list[int] = []
+        for regex, pieces, kind, needs, each in compiled:
             if not needs.search(text):
                 continue
             for outer in regex.finditer(text):
                 for m in each.finditer(text, *outer.span()) if each else (outer,):
                     a, b = m.span()
-                    if all(b <= s or a >= e for s, e in taken):
-                        taken.append((a, b))
-                        inside = any(s <= a and b <= e for s, e in refs)
-                        yield m.group(0).strip(), cite.format(*m.groups()), kind, a, b, inside
+                    at = bisect_left(starts, b)  # those before start left of b
+                    if at and ends[at - 1] > a:
+                        continue
+                    starts.insert(at, a)
+                    ends.insert(at, b)
+                    k = bisect_right(refs, (a, len(text))) - 1
+                    inside = k >= 0 and b <= refs[k][1]
+                    yield m.group(0).strip(), cited(pieces, m.groups()), kind, a, b, inside
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,13 +135,14 @@ def closed_index_lookup(mentions: DataFrame, authorities: DataFrame) -> DataFram
 
 
 def resolve_mentions(mentions: DataFrame, doc_forms: DataFrame, authorities: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Is the cite known, and does the document's form allow it."""
+    """Is the cite known, and does the document's form allow it (null for a
+    document without a form)."""
     v = vocabulary.select("form_id", "cite", F.lit(True).alias("_v")).distinct()
     return (
         closed_index_lookup(mentions, authorities)
-        .join(doc_forms, "doc_id")
+        .join(doc_forms, "doc_id", "left")
         .join(v, ["form_id", "cite"], "left")
-        .withColumn("in_vocab", F.coalesce("_v", F.lit(False)))
+        .withColumn("in_vocab", F.when(F.col("form_id").isNotNull(), F.coalesce("_v", F.lit(False))))
         .drop("_v")
     )
 
@@ -202,38 +227,65 @@ def classify_urls(urls: DataFrame, known: DataFrame, governed_hosts: Sequence[st
     return urls.join(index, "url", "left").select("doc_id", "url", klass.alias("class"))
 
 
-def bucket_report(resolved: DataFrame, urls: DataFrame, docs: DataFrame) -> DataFrame:
-    """Per document: cites leaked outside placeholders, unresolvable ones,
-    ones out of vocabulary, and made-up URLs."""
-    uses = docs.select("doc_id", F.col("text").rlike(PLACEHOLDER).alias("uses_protocol"))
-    names = lambda c: F.array_join(F.array_sort(F.collect_set(F.when(c, F.col("cite")))), ",")
-    cites = (
-        resolved.join(uses, "doc_id")
+#: Bucket and what is said about it, in the order of a guard's reasons.
+REASONS = (
+    ("leaked", "citations written outside the protocol"),
+    ("unresolvable", "citations not in the trusted index"),
+    ("out_of_vocab", "citations outside the form's scope"),
+    ("bad_urls", "made-up URLs"),
+    ("invented_refs", "placeholders that name no authority"),
+    ("dead_refs", "authorities whose link is dead"),
+    ("dead_urls", "URLs that are dead"),
+    ("failed_verdicts", "authorities that failed review"),
+)
+
+
+def bucket_report(
+    resolved: DataFrame,
+    urls: DataFrame,
+    docs: DataFrame,
+    statuses: DataFrame | None = None,
+    audit: DataFrame | None = None,
+    verdicts: DataFrame | None = None,
+) -> DataFrame:
+    """One row per document, clean ones too: cites leaked outside placeholders,
+    unresolvable ones, ones out of vocabulary, made-up and dead URLs, invented
+    and dead placeholders, and authorities that failed review.
+
+    ``statuses`` comes from ``substitute_refs``, ``audit`` from ``link_audit``
+    and ``verdicts`` from ``quote_grounding``.
+    """
+    listed = lambda name, when: F.array_join(F.array_sort(F.collect_set(F.when(when, F.col(name)))), ",")
+    parts = [
+        resolved.join(docs.select("doc_id", F.col("text").rlike(PLACEHOLDER).alias("uses_protocol")), "doc_id")
         .groupBy("doc_id")
         .agg(
-            names(F.col("uses_protocol") & ~F.col("in_placeholder")).alias("leaked"),
-            names(~F.col("resolves")).alias("unresolvable"),
-            names(F.col("resolves") & ~F.col("in_vocab")).alias("out_of_vocab"),
+            listed("cite", F.col("uses_protocol") & ~F.col("in_placeholder")).alias("leaked"),
+            listed("cite", ~F.col("resolves")).alias("unresolvable"),
+            listed("cite", F.col("resolves") & ~F.col("in_vocab")).alias("out_of_vocab"),
         )
-    )
-    bad = (
-        urls.where(F.col("class").isin("placeholder", "fabricated"))
-        .groupBy("doc_id")
-        .agg(F.array_join(F.array_sort(F.collect_set("url")), ",").alias("bad_urls"))
-    )
-    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
-    return cites.join(bad, "doc_id", "full").select("doc_id", *[blank(c) for c in ("leaked", "unresolvable", "out_of_vocab", "bad_urls")])
+    ]
+    fake = F.col("class").isin("placeholder", "fabricated")
+    dead = F.lit(False)
+    if audit is not None:
+        urls = urls.join(audit.select("url", "status"), "url", "left")
+        dead = F.col("status") == "dead"
+    parts.append(urls.groupBy("doc_id").agg(listed("url", fake).alias("bad_urls"), listed("url", dead).alias("dead_urls")))
+    if statuses is not None:
+        of = lambda status: listed("key", F.col("status") == status)
+        parts.append(statuses.groupBy("doc_id").agg(of("invented").alias("invented_refs"), of("dead_link").alias("dead_refs")))
+    if verdicts is not None:
+        parts.append(verdicts.groupBy("doc_id").agg(listed("cite", F.col("verdict") == "fail").alias("failed_verdicts")))
+    out = docs.select("doc_id").distinct()
+    for part in parts:
+        out = out.join(part, "doc_id", "left")
+    have = set(out.columns)
+    return out.select("doc_id", *[(F.coalesce(c, F.lit("")) if c in have else F.lit("")).alias(c) for c, _ in REASONS])
 
 
 def guard_decision(buckets: DataFrame) -> DataFrame:
     """Block flag and reason text per document."""
-    reasons = (
-        ("leaked", "citations written outside the protocol"),
-        ("unresolvable", "citations not in the trusted index"),
-        ("out_of_vocab", "citations outside the form's scope"),
-        ("bad_urls", "made-up URLs"),
-    )
-    said = F.concat_ws("; ", *[F.when(F.col(c) != "", F.concat(F.lit(f"{why}: "), c)) for c, why in reasons])
+    said = F.concat_ws("; ", *[F.when(F.col(c) != "", F.concat(F.lit(f"{why}: "), c)) for c, why in REASONS])
     return buckets.select("doc_id", (said != "").alias("block"), F.when(said != "", F.concat(F.lit("Blocked: "), said, F.lit("."))).otherwise("").alias("reason"))
 
 

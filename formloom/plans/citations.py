@@ -20,7 +20,10 @@ PLANTED = (
     ("Under §§ 5-301 and 9-998.", ("12-B §5-301", "12-B §9-998")),
     ("Hidden 12‑B §9‑9​97.", ("12-B §9-997",)),
     ("Use [[REF: 12-B §3-401]] but §3-403 too.", ("12-B §3-401", "12-B §3-403")),
+    ("Nothing is cited here.", ()),
+    ("SECTION 9-996 OF TITLE 12-B, and 12-b section 3-401.", ("12-B §9-996", "12-B §3-401")),
 )
+KINDS = len(PLANTED)
 KNOWN = (
     ("12-B §3-401", "statute"), ("12-B §3-402", "statute"), ("36 M.R.S. §4107", "crossref"),
     ("2000 ME 17", "case"), ("12-B §5-301", "statute"), ("12-B §3-403", "statute"),
@@ -32,21 +35,23 @@ def _sql_rows(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
 
 
+# Every seventh document belongs to no form.
+FORM = "CASE WHEN doc_id % 7 <> 6 THEN 'F' || (doc_id % 3) END"
 DOCS = (
     "WITH plant(m, cite, inside) AS (VALUES "
     + _sql_rows([(m, c, "true" if "REF" in text and c.endswith("401") else "false") for m, (text, cites) in enumerate(PLANTED) for c in cites]).replace("'true'", "true").replace("'false'", "false")
     + "), known(cite, kind) AS (VALUES " + _sql_rows(KNOWN)
-    + "), m AS (SELECT doc_id, 'F' || CAST(doc_id % 3 AS VARCHAR) AS form_id, cite, inside AS in_placeholder FROM documents JOIN plant ON doc_id % 8 = m),"
+    + f"), m AS (SELECT doc_id, {FORM} AS form_id, cite, inside AS in_placeholder FROM documents JOIN plant ON doc_id % {KINDS} = m),"
     + " vocab AS (SELECT cite, f FROM known, (VALUES ('F0'), ('F1')) v(f) WHERE f = 'F0' OR kind = 'statute'),"
-    + " r AS (SELECT m.*, m.cite IN (SELECT cite FROM known) AS resolves, (m.cite, form_id) IN (SELECT (cite, f) FROM vocab) AS in_vocab FROM m)"
+    + " r AS (SELECT m.*, m.cite IN (SELECT cite FROM known) AS resolves, CASE WHEN form_id IS NOT NULL THEN (m.cite, form_id) IN (SELECT (cite, f) FROM vocab) END AS in_vocab FROM m)"
 )
 
 
 def docs(t: Tables) -> DataFrame:
-    k = F.col("doc_id") % 8
+    k = F.col("doc_id") % KINDS
     plant = F.element_at(F.array(*[F.lit(text) for text, _ in PLANTED]), (k + 1).cast("int"))
     return t.raw("documents").select(
-        "doc_id", F.concat(F.lit("F"), (F.col("doc_id") % 3).cast("string")).alias("form_id"), F.concat_ws("\n", "text", plant).alias("text")
+        "doc_id", F.expr(FORM).alias("form_id"), F.concat_ws("\n", "text", plant).alias("text")
     )
 
 
@@ -64,7 +69,7 @@ def _mentions(t: Tables) -> DataFrame:
 
 
 def _resolved(t: Tables) -> DataFrame:
-    return C.resolve_mentions(_mentions(t), docs(t).select("doc_id", "form_id"), authorities(t), vocabulary(t))
+    return C.resolve_mentions(_mentions(t), docs(t).where("form_id IS NOT NULL").select("doc_id", "form_id"), authorities(t), vocabulary(t))
 
 
 @query(sql=f"{DOCS} SELECT DISTINCT doc_id, cite, in_placeholder FROM m")
@@ -78,7 +83,7 @@ def scan_mentions(t: Tables):
     return _mentions(t)
 
 
-@query(sql=f"{DOCS} SELECT doc_id, cite FROM m WHERE doc_id % 8 = 5")
+@query(sql=f"{DOCS} SELECT doc_id, cite FROM m WHERE doc_id % {KINDS} = 5")
 def expand_section_lists(t: Tables):
     return C.expand_section_lists(docs(t), HOME)
 
@@ -99,7 +104,7 @@ def used_authorities(t: Tables):
     return C.used_authorities([found.where("form_id = 'F1'"), found.where("form_id = 'F2'")], authorities(t))
 
 
-@query(sql="SELECT doc_id, 0 AS pos, '12-B §3-401' AS key FROM documents WHERE doc_id % 8 = 7")
+@query(sql=f"SELECT doc_id, 0 AS pos, '12-B §3-401' AS key FROM documents WHERE doc_id % {KINDS} = 7")
 def placeholder_refs(t: Tables):
     return C.placeholder_refs(docs(t))
 
@@ -169,15 +174,22 @@ def _doc_urls(t: Tables) -> DataFrame:
 
 
 BUCKETS = f"""{DOCS}, {URLS[5:]},
-cb AS (SELECT doc_id, coalesce(string_agg(DISTINCT cite, ',' ORDER BY cite) FILTER (doc_id % 8 = 7 AND NOT in_placeholder), '') AS leaked, coalesce(string_agg(DISTINCT cite, ',' ORDER BY cite) FILTER (NOT resolves), '') AS unresolvable,
+cb AS (SELECT doc_id, coalesce(string_agg(DISTINCT cite, ',' ORDER BY cite) FILTER (doc_id % {KINDS} = 7 AND NOT in_placeholder), '') AS leaked, coalesce(string_agg(DISTINCT cite, ',' ORDER BY cite) FILTER (NOT resolves), '') AS unresolvable,
   coalesce(string_agg(DISTINCT cite, ',' ORDER BY cite) FILTER (resolves AND NOT in_vocab), '') AS out_of_vocab FROM r GROUP BY doc_id),
-ub AS (SELECT doc_id, string_agg(DISTINCT url, ',' ORDER BY url) AS bad_urls FROM cls WHERE class IN ('placeholder', 'fabricated') GROUP BY doc_id),
-bk AS (SELECT coalesce(cb.doc_id, ub.doc_id) AS doc_id, coalesce(leaked, '') AS leaked, coalesce(unresolvable, '') AS unresolvable, coalesce(out_of_vocab, '') AS out_of_vocab, coalesce(bad_urls, '') AS bad_urls
-  FROM cb FULL JOIN ub ON cb.doc_id = ub.doc_id)"""
+ub AS (SELECT doc_id, coalesce(string_agg(DISTINCT url, ',' ORDER BY url) FILTER (class IN ('placeholder', 'fabricated')), '') AS bad_urls FROM cls GROUP BY doc_id),
+du AS (SELECT doc_id, string_agg(DISTINCT url, ',' ORDER BY url) AS dead_urls FROM cls WHERE url IN (SELECT url FROM pages WHERE page_id % 9 = 1) GROUP BY doc_id),
+bk AS (SELECT d.doc_id, coalesce(leaked, '') AS leaked, coalesce(unresolvable, '') AS unresolvable, coalesce(out_of_vocab, '') AS out_of_vocab, coalesce(bad_urls, '') AS bad_urls,
+  CASE WHEN d.doc_id % 4 IN (2, 3) THEN 'fake' ELSE '' END AS invented_refs, CASE WHEN d.doc_id % 4 IN (0, 1) THEN 'gone' ELSE '' END AS dead_refs, coalesce(dead_urls, '') AS dead_urls,
+  CASE WHEN d.doc_id % 6 = 2 THEN 'c' || CAST(d.doc_id AS VARCHAR) ELSE '' END AS failed_verdicts
+  FROM documents d LEFT JOIN cb ON d.doc_id = cb.doc_id LEFT JOIN ub ON d.doc_id = ub.doc_id LEFT JOIN du ON d.doc_id = du.doc_id)"""
 
 
 def _buckets(t: Tables) -> DataFrame:
-    return C.bucket_report(_resolved(t), _doc_urls(t), docs(t))
+    dead = t.raw("pages").where("page_id % 9 = 1").select("url").distinct()
+    statuses = C.substitute_refs(_drafts(t), *_ref_tables(t))[1]
+    cites = F.concat(F.lit("c"), F.col("doc_id").cast("string"))
+    verdicts = t.raw("documents").select("doc_id", cites.alias("cite"), F.expr("CASE WHEN doc_id % 6 = 2 THEN 'fail' ELSE 'pass' END").alias("verdict"))
+    return C.bucket_report(_resolved(t), _doc_urls(t), docs(t), statuses, dead.withColumn("status", F.lit("dead")), verdicts)
 
 
 @query(sql=f"{BUCKETS} SELECT * FROM bk")
@@ -187,7 +199,9 @@ def bucket_report(t: Tables):
 
 @query(
     sql=f"""{BUCKETS}, s AS (SELECT doc_id, concat_ws('; ', CASE WHEN leaked <> '' THEN 'citations written outside the protocol: ' || leaked END, CASE WHEN unresolvable <> '' THEN 'citations not in the trusted index: ' || unresolvable END,
-  CASE WHEN out_of_vocab <> '' THEN 'citations outside the form''s scope: ' || out_of_vocab END, CASE WHEN bad_urls <> '' THEN 'made-up URLs: ' || bad_urls END) AS said FROM bk)
+  CASE WHEN out_of_vocab <> '' THEN 'citations outside the form''s scope: ' || out_of_vocab END, CASE WHEN bad_urls <> '' THEN 'made-up URLs: ' || bad_urls END,
+  CASE WHEN invented_refs <> '' THEN 'placeholders that name no authority: ' || invented_refs END, CASE WHEN dead_refs <> '' THEN 'authorities whose link is dead: ' || dead_refs END,
+  CASE WHEN dead_urls <> '' THEN 'URLs that are dead: ' || dead_urls END, CASE WHEN failed_verdicts <> '' THEN 'authorities that failed review: ' || failed_verdicts END) AS said FROM bk)
 SELECT doc_id, said <> '' AS block, CASE WHEN said <> '' THEN 'Blocked: ' || said || '.' ELSE '' END AS reason FROM s""",
 )
 def guard_decision(t: Tables):

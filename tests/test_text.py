@@ -22,7 +22,7 @@ def cites(spark, text, names=None):
 
 
 def test_surface_forms(spark):
-    for text in ("12-B §3-401", "12-B M.R.S.A. § 3-401(2)", "12-B section 3-401", "Section 3-401 of Title 12-B", "§3-401", "12-B, § 3-401"):
+    for text in ("12-b section 3-401", "SECTION 3-401 OF TITLE 12-B", "12-B m.r.s.a. SEC. 3-401", "12-B §3-401", "12-B M.R.S.A. § 3-401(2)", "12-B section 3-401", "Section 3-401 of Title 12-B", "§3-401", "12-B, § 3-401"):
         assert cites(spark, text) == ["12-B §3-401"], text
     assert cites(spark, "36 M.R.S. §4107 and 19-A M.R.S.") == ["36 M.R.S. §4107", "19-A M.R.S."]
     assert cites(spark, "2000 ME 17; 457 A.2d 1123; 12 A.3d 34") == ["2000 ME 17", "457 A.2d 1123", "12 A.3d 34"]
@@ -42,6 +42,7 @@ def test_spans_do_not_overlap_and_text_is_read_to_its_end(spark):
 
 def test_names_and_placeholders(spark):
     assert cites(spark, "As ESTATE OF REED held", {"Estate of Reed": "1999 ME 5"}) == ["1999 ME 5"]
+    assert cites(spark, "as in re reed and REED say", {"In re Reed": "1999 ME 6"}) == ["1999 ME 6"] * 2
     docs = spark.createDataFrame([(1, "a [[REF: 12-B §3-401]] b §3-402")], "doc_id bigint, text string")
     got = {r.cite: r.in_placeholder for r in citations.scan_mentions(docs, citations.families(HOME)).collect()}
     assert got == {"12-B §3-401": True, "12-B §3-402": False}
