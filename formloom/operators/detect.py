@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from formloom.functions import geometry as G
 from formloom.functions import text as X
 from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
-from formloom.operators.ranking import block_window, neighbours, rank_in_groups
+from formloom.operators.ranking import block_window, neighbours, rank_in_groups, running
 from formloom.session import cut_lineage
 
 GRID_SLACK = 5.0
@@ -92,20 +92,13 @@ def section_span_prefix(fields: DataFrame, lines: DataFrame, id_col: str = "rect
     )
     # one heading per height: the first by place; heights on a page are few
     rows = heads.groupBy(*PAGE, "y0").agg(F.min_by("text", F.struct("x0", "line_id")).alias("text"))
-    w = Window.partitionBy(*PAGE).orderBy("y0")
-    spans = rows.select(
-        *PAGE,
-        F.coalesce(F.lead("y0").over(w), F.lit(1e9)).alias("end_y"),
-        X.slugify(F.col("text")).alias("prefix"),
-        "y0",
-    )
-    spans = on_y_axis(spans.withColumn("y1", F.least(F.col("end_y"), F.col("y0") + 4000)))
-    pairs = page_pairs(
-        on_y_axis(fields.select(*PAGE, id_col, "y0", F.col("y0").alias("y1"))),
-        spans,
-        (F.col("r_y0") <= F.col("y0")) & (F.col("y0") < F.col("r_end_y")),
-    )
-    return pairs.select(*PAGE, id_col, F.col("r_prefix").alias("prefix"))
+    # the last heading at or above each field: headings and fields in one order
+    marks = rows.select(*PAGE, "y0", F.lit(0).alias("kind"), F.lit(None).cast(fields.schema[id_col].dataType).alias(id_col))
+    marks = marks.unionByName(fields.select(*PAGE, "y0", F.lit(1).alias("kind"), id_col))
+    ranked = rank_in_groups(marks, PAGE, [F.col("y0"), F.col("kind"), F.col(id_col)], [F.floor(F.col("y0") / 64)])
+    above = running(ranked, PAGE, F.when(F.col("kind") == 0, F.col("y0")), "head_y", how="max").where("kind = 1 AND head_y IS NOT NULL")
+    named = rows.select(*PAGE, F.col("y0").alias("head_y"), X.slugify(F.col("text")).alias("prefix"))
+    return above.join(named, [*PAGE, "head_y"]).select(*PAGE, id_col, "prefix")
 
 
 def column_header(cells: DataFrame, lines: DataFrame, by: tuple[str, ...], search: float = 200.0) -> DataFrame:
@@ -318,8 +311,7 @@ def case_number_line(lines: DataFrame, rules: DataFrame, keywords, header_y: flo
         labels.select(*PAGE, "line_id", "x0", "y0", "x1", "y1"),
         rules.where(F.col("y0") <= header_y * 1.5),
         beside | under,
-        reach=Reach(10, 10, 2000, 20),
-        cell=(1024.0, 64.0),
+        reach=Reach(None, 10, None, 20),
     )
     return nearest(
         pairs,

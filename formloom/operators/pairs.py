@@ -21,11 +21,12 @@ RIGHT = "r_"
 
 
 class Reach(NamedTuple):
-    """How far, in points, the left rectangle looks on each side."""
+    """How far, in points, the left rectangle looks on each side; None to the
+    left or right: across the whole page, whatever its width."""
 
-    left: float = 0.0
+    left: float | None = 0.0
     up: float = 0.0
-    right: float = 0.0
+    right: float | None = 0.0
     down: float = 0.0
 
     @classmethod
@@ -57,26 +58,21 @@ def page_pairs(
     not touch are not looked at.
     """
     cw, ch = cell
-    grown_x0, grown_y0 = F.col("x0") - reach.left, F.col("y0") - reach.up
-    grown_x1, grown_y1 = F.col("x1") + reach.right, F.col("y1") + reach.down
-    lhs = left.withColumn("_cx", F.explode(_span(grown_x0, grown_x1, cw))).withColumn(
-        "_cy", F.explode(_span(grown_y0, grown_y1, ch))
-    )
+    across = reach.left is None or reach.right is None
+    grown_y0, grown_y1 = F.col("y0") - reach.up, F.col("y1") + reach.down
+    lhs = left.withColumn("_cy", F.explode(_span(grown_y0, grown_y1, ch)))
     rhs = prefixed(right)
-    rhs = rhs.withColumn(
-        "_rcx", F.explode(_span(F.col("r_x0"), F.col("r_x1"), cw))
-    ).withColumn("_rcy", F.explode(_span(F.col("r_y0"), F.col("r_y1"), ch)))
-    on = [F.col(k) == F.col(RIGHT + k) for k in keys]
-    on += [F.col("_cx") == F.col("_rcx"), F.col("_cy") == F.col("_rcy")]
-    touches = (
-        (grown_x0 <= F.col("r_x1"))
-        & (grown_x1 >= F.col("r_x0"))
-        & (grown_y0 <= F.col("r_y1"))
-        & (grown_y1 >= F.col("r_y0"))
-    )
-    owner = (
-        F.col("_cx") == F.floor(F.greatest(grown_x0, F.col("r_x0")) / cw)
-    ) & (F.col("_cy") == F.floor(F.greatest(grown_y0, F.col("r_y0")) / ch))
+    rhs = rhs.withColumn("_rcy", F.explode(_span(F.col("r_y0"), F.col("r_y1"), ch)))
+    on = [F.col(k) == F.col(RIGHT + k) for k in keys] + [F.col("_cy") == F.col("_rcy")]
+    touches = (grown_y0 <= F.col("r_y1")) & (grown_y1 >= F.col("r_y0"))
+    owner = F.col("_cy") == F.floor(F.greatest(grown_y0, F.col("r_y0")) / ch)
+    if not across:
+        grown_x0, grown_x1 = F.col("x0") - reach.left, F.col("x1") + reach.right
+        lhs = lhs.withColumn("_cx", F.explode(_span(grown_x0, grown_x1, cw)))
+        rhs = rhs.withColumn("_rcx", F.explode(_span(F.col("r_x0"), F.col("r_x1"), cw)))
+        on.append(F.col("_cx") == F.col("_rcx"))
+        touches = touches & (grown_x0 <= F.col("r_x1")) & (grown_x1 >= F.col("r_x0"))
+        owner = owner & (F.col("_cx") == F.floor(F.greatest(grown_x0, F.col("r_x0")) / cw))
     condition = on[0]
     for part in [*on[1:], touches, owner]:
         condition = condition & part

@@ -106,9 +106,9 @@ def top_forms(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("place", F.row_number().over(_best_first(scored))).where(F.col("place") <= k)
 
 
-def forms_above(scored: DataFrame, threshold: float = 0.7, max_forms: int = 5, top: int = 10) -> DataFrame:
-    """Forms at or above ``threshold``, at most five; else the best one."""
-    ranked = top_forms(scored, top)
+def forms_above(scored: DataFrame, threshold: float = 0.7, max_forms: int = 5) -> DataFrame:
+    """Forms at or above ``threshold``, at most ``max_forms``; else the best one."""
+    ranked = top_forms(scored, max(1, max_forms))
     # places are in score order, so those above come first
     keep = (F.col("score") >= threshold) & (F.col("place") <= max_forms)
     return ranked.where(keep | (F.col("place") == 1))

@@ -149,7 +149,7 @@ def lone_segment_snap(widgets: DataFrame, rules: DataFrame, words: DataFrame, pa
     on_row = G.overlap_y(a, b) > 0.4 * G.height(b)
     is_left = b.x1.between(F.col("sx0") - 2, a.x0 + 0.5 * G.width(a))
     left = (
-        page_pairs(lone, words, on_row & is_left, reach=Reach(400, 0, 0, 0), cell=(512.0, 64.0))
+        page_pairs(lone, words, on_row & is_left, reach=Reach(None, 0, None, 0))
         .groupBy(*WIDGET)
         .agg(F.max("r_x1").alias("word_x1"))
     )
@@ -157,7 +157,7 @@ def lone_segment_snap(widgets: DataFrame, rules: DataFrame, words: DataFrame, pa
     limited = lone.join(left, list(WIDGET), "left").withColumn("nx0", lim_left)
     is_right = (b.x0 > F.col("nx0") + 6) & (b.x0 <= F.col("sx1") + 4)
     right = (
-        page_pairs(limited, words, on_row & is_right, reach=Reach(0, 0, 400, 0), cell=(512.0, 64.0))
+        page_pairs(limited, words, on_row & is_right, reach=Reach(None, 0, None, 0))
         .groupBy(*WIDGET)
         .agg(F.min("r_x0").alias("word_x0"))
     )
@@ -481,8 +481,7 @@ def equal_columns(widgets: DataFrame, margins: DataFrame, gutter: float = 14.0,
             slim,
             (F.col("rect_id") != F.col("r_rect_id"))
             & (G.overlap_y(a, b) > 0.5 * F.least(G.height(a), G.height(b))),
-            reach=Reach(700, 0, 700, 0),
-            cell=(1024.0, 64.0),
+            reach=Reach(None, 0, None, 0),
         )
         .groupBy(*WIDGET, *BOX)
         .agg((F.count("*") + 1).alias("n_columns"), F.count_if(b.x0 < a.x0).alias("slot"))
