@@ -169,6 +169,11 @@ def seeded_pick(key: Column, n: int) -> Column:
     return (F.conv(F.substring(digest(key), 1, 8), 16, 10).cast("bigint") % n).cast("int")
 
 
+def seeded_order(key: Column, seed: int) -> Column:
+    """What a repeatable sample is ordered by."""
+    return digest(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
+
+
 def seeded_choice(key: Column, bank: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(b) for b in bank]), seeded_pick(key, len(bank)) + 1)
 

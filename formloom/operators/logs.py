@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import hmac
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from formloom.functions import values as V
 from formloom.functions.text import present
@@ -58,7 +56,7 @@ def status_counts(states: DataFrame) -> DataFrame:
 def queue_views(states: DataFrame, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pending items, dead items, and one repeatable random pending item."""
     pending = states.where("status = 'PENDING'")
-    pick = pending.orderBy(F.xxhash64("item", F.lit(seed)), "item").limit(1)
+    pick = pending.orderBy(V.seeded_order(F.col("item"), seed), "item").limit(1)
     return pending, states.where("status = 'DEAD'"), pick
 
 
@@ -111,11 +109,14 @@ def verify_chain(log: DataFrame) -> DataFrame:
 
 
 def signature(key: bytes):
-    """Keyed HMAC-SHA256 of a text column, batched through Arrow."""
-
-    @F.pandas_udf(StringType())
-    def sign(text: pd.Series) -> pd.Series:
-        return text.map(lambda s: hmac.new(key, (s or "").encode(), hashlib.sha256).hexdigest())
+    """Keyed HMAC-SHA256 (RFC 2104) of a text column, from built-in digests."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+
+    def sign(text: str | Column) -> Column:
+        text = F.col(text) if isinstance(text, str) else text
+        message = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+        return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
 
     return sign
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.functions import text as X
+from formloom.functions import values as V
 from formloom.operators.pairs import PAGE
 
 SUFFIX = r"_\d+$"
@@ -281,7 +282,7 @@ def panel_selection(units: DataFrame, votes: DataFrame, controls: DataFrame, str
     picked = units.join(votes, "key", "left").where(F.coalesce(bad, F.lit(False))).select("key", F.lit("unit").alias("why"))
     sample = (
         controls.select("key").distinct()
-        .orderBy(F.xxhash64("key", F.lit(seed)), "key")
+        .orderBy(V.seeded_order(F.col("key"), seed), "key")
         .limit(n_controls)
         .select("key", F.lit("control").alias("why"))
     )
@@ -290,7 +291,7 @@ def panel_selection(units: DataFrame, votes: DataFrame, controls: DataFrame, str
 
 def sampled_controls(rows: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
     """A repeatable ``n`` rows per group."""
-    w = Window.partitionBy(group).orderBy(F.xxhash64(key, F.lit(seed)), key)
+    w = Window.partitionBy(group).orderBy(V.seeded_order(F.col(key), seed), key)
     return rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 

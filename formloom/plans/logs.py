@@ -47,7 +47,7 @@ def queue_views(t: Tables):
     return pending.select(F.lit("pending").alias("view"), "item").unionByName(dead.select(F.lit("dead").alias("view"), "item"))
 
 
-@query()
+@query(sql=f"{STATES} SELECT * FROM states WHERE status = 'PENDING' ORDER BY sha256(item || '|7'), item LIMIT 1")
 def queue_pick(t: Tables):
     return logs.queue_views(logs.run_state(_as_log(t.raw("events"))), seed=7)[2]
 
@@ -108,9 +108,14 @@ def verify_chain(t: Tables):
     return logs.verify_chain(tampered)
 
 
-@query()
+KEY = b"test key"
+INNER, OUTER = ("".join(f"{b ^ pad:02x}" for b in KEY.ljust(64, b"\0")) for pad in (0x36, 0x5C))
+ENTRIES = """e AS (SELECT user_id AS log_key, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS seq, event_id || ':' || event_type AS payload FROM events)"""
+
+
+@query(sql=f"WITH {ENTRIES} SELECT log_key, seq, sha256(unhex('{OUTER}') || unhex(sha256(unhex('{INNER}') || encode(payload)))) AS signature FROM e")
 def signatures(t: Tables):
-    sign = logs.signature(b"test key")
+    sign = logs.signature(KEY)
     return _entries(t).select("log_key", "seq", sign("payload").alias("signature"))
 
 
@@ -121,7 +126,7 @@ def _inspected(t: Tables) -> DataFrame:
 
 
 @query(
-    sql=f"""{cited.BUCKETS}, p AS (SELECT d.doc_id, text || chr(10) || list_extract([{', '.join("'" + x.replace("'", "''") + "'" for x, _ in cited.PLANTED)}], d.doc_id % 8 + 1) AS text, leaked, unresolvable, out_of_vocab, bad_urls FROM documents d JOIN bk ON d.doc_id = bk.doc_id)
+    sql=f"""{cited.BUCKETS}, p AS (SELECT d.doc_id, text || chr(10) || list_extract([{', '.join("'" + x.replace("'", "''") + "'" for x, _ in cited.PLANTED)}], d.doc_id % {cited.KINDS} + 1) AS text, leaked, unresolvable, out_of_vocab, bad_urls FROM documents d JOIN bk ON d.doc_id = bk.doc_id)
 SELECT doc_id, sha256(text) AS input_sha256, sha256('{{"bad_urls":"' || bad_urls || '","leaked":"' || leaked || '","out_of_vocab":"' || out_of_vocab || '","unresolvable":"' || unresolvable || '"}}') AS verdict_digest,
   leaked <> '' OR unresolvable <> '' OR bad_urls <> '' AS needs_review FROM p""",
 )
@@ -130,12 +135,12 @@ def attest(t: Tables):
 
 
 def _messages(df: DataFrame) -> DataFrame:
-    k = (F.col("conv_id") % 8 + 1).cast("int")
+    k = (F.col("conv_id") % cited.KINDS + 1).cast("int")
     plant = F.element_at(F.array(*[F.lit(x) for x, _ in cited.PLANTED]), k)
     return df.withColumn("text", F.concat_ws(" ", "text", plant))
 
 
-GUARD = cited.DOCS.replace("FROM documents JOIN plant ON doc_id % 8 = m", "FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations WHERE role = 'assistant') c JOIN plant ON doc_id % 8 = m")
+GUARD = cited.DOCS.replace("FROM documents JOIN plant", "FROM (SELECT DISTINCT conv_id AS doc_id FROM conversations WHERE role = 'assistant') c JOIN plant")
 
 
 @query(

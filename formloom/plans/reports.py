@@ -228,7 +228,13 @@ def evidence_units(t: Tables):
     return reports.evidence_units(flags(0), flags(1))
 
 
-@query()
+@query(
+    uses="vote issue",
+    sql="""WITH l AS (SELECT key, arg_max(verdict, (ts, event_id)) AS verdict FROM vote WHERE voter = 'click' GROUP BY key),
+u AS (SELECT form_id AS key, arg_max(severity, event_id) AS flag FROM issue GROUP BY form_id),
+c AS (SELECT key FROM (SELECT DISTINCT c_custkey AS key FROM customer) ORDER BY sha256(key || '|20240601'), key LIMIT 40)
+SELECT key, 'unit' AS why FROM u LEFT JOIN l USING (key) WHERE verdict IN ('minor', 'major') OR flag = 'high' UNION ALL SELECT key, 'control' FROM c""",
+)
 def panel_selection(t: Tables):
     latest = reports.latest_by_key(t.vote.where("voter = 'click'"), ["key"], ["ts", "event_id"]).select("key", "verdict")
     units = t.issue.groupBy(F.col("form_id").alias("key")).agg(F.max_by("severity", "event_id").alias("flag"))
@@ -236,7 +242,11 @@ def panel_selection(t: Tables):
     return reports.panel_selection(units, latest, controls, strong=["high"], n_controls=40, seed=20240601)
 
 
-@query()
+@query(
+    uses="rect",
+    sql="""SELECT form_id, page || '-' || rect_id AS key FROM rect
+QUALIFY row_number() OVER (PARTITION BY form_id ORDER BY sha256(page || '-' || rect_id || '|7'), page || '-' || rect_id) <= 2""",
+)
 def sampled_controls(t: Tables):
     rows = t.rect.select("form_id", F.concat_ws("-", "page", "rect_id").alias("key"))
     return reports.sampled_controls(rows, "form_id", "key", n=2, seed=7)
