@@ -8,6 +8,7 @@ reads, so any number of rules costs one aggregation.  Rules over numbered rows
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any, NamedTuple
@@ -37,9 +38,12 @@ PATTERNS = {
 
 
 class Rule(NamedTuple):
+    """A check of one field; ``form_id`` limits it to one form's records."""
+
     field_id: str
     kind: str
     args: tuple = ()
+    form_id: str | None = None
 
 
 TAGS = (
@@ -200,13 +204,16 @@ def formula_levels(formulas: Mapping[str, Mapping]) -> list[list[str]]:
 # ---- rules on one wide row per record --------------------------------------
 
 
-def wide_records(answers: DataFrame, fields: Iterable[str]) -> DataFrame:
-    """One row per record with a column ``v_<field>`` for each named field."""
+def wide_records(answers: DataFrame, fields: Iterable[str], everyone: bool = False) -> DataFrame:
+    """One row per record with a column ``v_<field>`` for each named field.
+
+    Records that hold none of the fields are left out, or with ``everyone``
+    kept with nulls.
+    """
     names = sorted(set(fields))
-    return (
-        answers.where(F.col("field_id").isin(names))
-        .groupBy("record_id", "form_id")
-        .agg(*[F.max(F.when(F.col("field_id") == f, F.col("value"))).alias("v_" + f) for f in names])
+    held = answers if everyone else answers.where(F.col("field_id").isin(names))
+    return held.groupBy("record_id", "form_id").agg(
+        *[F.max(F.when(F.col("field_id") == f, F.col("value"))).alias("v_" + f) for f in names]
     )
 
 
@@ -299,13 +306,54 @@ def _violations(rule: Rule) -> list[tuple[Column, str, str]]:
     raise ValueError(f"unknown rule kind {kind}")
 
 
-def validate(answers: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+#: Columns of one wide row; rules of more fields are worked off form by form.
+FAMILY_FIELDS = 200
+
+
+def rule_families(rules: Sequence[Rule]) -> list[list[Rule]]:
+    """Rules of any form together, then forms whose fields fit one wide row."""
+    by_form: dict[str | None, list[Rule]] = {}
+    for r in rules:
+        by_form.setdefault(r.form_id, []).append(r)
+    out = [by_form.pop(None)] if None in by_form else []
+    family: list[Rule] = []
+    for form in sorted(by_form):
+        grown = {f for r in (*family, *by_form[form]) for f in _rule_fields(r)}
+        if family and len(grown) > FAMILY_FIELDS:
+            out.append(family)
+            family = []
+        family = [*family, *by_form[form]]
+    return [*out, family] if family else out
+
+
+def validate(answers: DataFrame, rules: Sequence[Rule], records: DataFrame | None = None) -> DataFrame:
     """Violations of all wide-row rules: record_id, form_id, field_id,
-    severity, code."""
-    wide = wide_records(answers, {f for r in rules for f in _rule_fields(r)})
+    severity, code.
+
+    A rule with a form is checked on that form's records only.  Every record
+    is judged, also one that answers none of the ruled fields; ``records``
+    (record_id, form_id) adds those without any answer.
+    """
+    if records is not None:
+        none = F.lit(None).cast("string")
+        empty = records.select("record_id", "form_id", none.alias("field_id"), none.alias("value"))
+        answers = answers.select("record_id", "form_id", "field_id", "value").unionByName(empty)
+    out = None
+    for family in rule_families(rules):
+        forms = {r.form_id for r in family}
+        held = answers if None in forms else answers.where(F.col("form_id").cast("string").isin(sorted(forms)))
+        found = _violated(wide_records(held, {f for r in family for f in _rule_fields(r)}, everyone=True), family)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        raise ValueError("no rules")
+    return out
+
+
+def _violated(wide: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    own = lambda r: F.lit(True) if r.form_id is None else F.col("form_id").cast("string") == r.form_id
     checks = [
         F.when(
-            F.coalesce(cond, F.lit(False)),
+            own(r) & F.coalesce(cond, F.lit(False)),
             F.struct(F.lit(r.field_id).alias("field_id"), F.lit(sev).alias("severity"), F.lit(code).alias("code")),
         )
         for r in rules
@@ -316,6 +364,34 @@ def validate(answers: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def rules_from_packages(fields: DataFrame) -> list[Rule]:
+    """The rules that form packages declare, each for its own form.
+
+    ``fields`` is what ``read_form_packages`` gives; there is a row per field
+    of a form (a catalogue, not the corpus), so the declarations are read on the
+    driver.  Trees are JSON; validators are tags in a JSON list or parted by
+    "|" or ";".  Unknown tags give nothing.
+    """
+    declared = ("required_when", "writable_when", "formula", "validators")
+    some = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in declared])
+    out = []
+    for r in fields.select("form_id", "field_id", *declared).where(some.isNotNull()).orderBy("form_id", "field_id").collect():
+        for kind in ("required_when", "writable_when"):
+            if present_text(r[kind]):
+                out.append(Rule(r.field_id, kind, (json.loads(r[kind]),), r.form_id))
+        if present_text(r.formula):
+            out.append(Rule(r.field_id, "recompute", (json.loads(r.formula),), r.form_id))
+        text = (r.validators or "").strip()
+        tags = json.loads(text) if text.startswith("[") else re.split(r"[|;]", text)
+        rules = [parse_tag(r.field_id, str(tag).strip()) for tag in tags]
+        out += [rule._replace(form_id=r.form_id) for rule in rules if rule]
+    return out
+
+
+def present_text(value: str | None) -> bool:
+    return bool(value and value.strip())
+
+
 # ---- rules on numbered rows, long form -------------------------------------
 
 

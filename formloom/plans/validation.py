@@ -72,6 +72,33 @@ def validate_tags(t: Tables):
     return val.validate(t.answer, [val.parse_tag(f, tag) for f, tag in tags])
 
 
+# The first form asks for an email, the second for a priority where the order
+# is open; records of every ninth order answer nothing.
+DECLARED = (
+    ("FX-003", "priority", None, "value_in(1-URGENT)"),
+    ("FX-005", "email", '{"field": "status", "equals": "O"}', None),
+    ("FX-005", "priority", None, "regex_match(bar_number)"),
+    ("FX-007", "email", '{"field": "total", "exists": false}', ""),
+)
+
+
+@query(
+    uses="answer",
+    sql="""WITH r AS (SELECT record_id, form_id, max(field_id) FILTER (record_id % 9 <> 0) AS any_field, max(value) FILTER (field_id = 'total' AND record_id % 9 <> 0) AS total,
+  max(value) FILTER (field_id = 'priority' AND record_id % 9 <> 0) AS pr, max(value) FILTER (field_id = 'status' AND record_id % 9 <> 0) AS st FROM answer GROUP BY ALL)
+SELECT record_id, form_id, 'priority' AS field_id, 'error' AS severity, 'value_not_in_choices' AS code FROM r WHERE form_id = 'FX-003' AND pr <> '' AND pr <> '1-URGENT'
+UNION ALL SELECT record_id, form_id, 'email', 'error', 'missing_required' FROM r WHERE form_id = 'FX-005' AND st = 'O'
+UNION ALL SELECT record_id, form_id, 'priority', 'error', 'regex_match_failed' FROM r WHERE form_id = 'FX-005' AND pr <> ''
+UNION ALL SELECT record_id, form_id, 'email', 'error', 'missing_required' FROM r WHERE form_id = 'FX-007' AND coalesce(total, '') = ''""",
+)
+def validate_by_form(t: Tables):
+    """Rules of form packages, and records that hold nothing."""
+    schema = "form_id string, field_id string, required_when string, validators string"
+    fields = t.spark.createDataFrame(list(DECLARED), schema).selectExpr("*", "CAST(NULL AS STRING) AS writable_when", "CAST(NULL AS STRING) AS formula")
+    held = t.answer.where("record_id % 9 <> 0")
+    return val.validate(held, val.rules_from_packages(fields), t.answer.select("record_id", "form_id").distinct())
+
+
 @query(
     uses="answer",
     sql="""WITH s AS (SELECT l_orderkey AS record_id, CAST(max(l_shipdate) AS DATE) AS ship FROM lineitem GROUP BY ALL),
