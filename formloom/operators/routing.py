@@ -48,6 +48,26 @@ def _boost(event_type: Column) -> Column:
     return F.aggregate(F.filter("boosts", applies), F.lit(0.0), lambda s, b: s + b["delta"])
 
 
+#: Routes (rows of the catalogue) up to which they are broadcast.
+BROADCAST_ROUTES = 100_000
+SALTS = 64
+
+
+def _routed(asked: DataFrame, routes: DataFrame) -> DataFrame:
+    """Events with the routes of their keys.
+
+    Every event asks for the key of "any type, any case", so a plain shuffle
+    would bring all of them to one task.  A catalogue of checked size is
+    broadcast; a larger one is copied to ``SALTS`` shares of the events.
+    """
+    keys = ["route_type", "route_case"]
+    if routes.limit(BROADCAST_ROUTES + 1).count() <= BROADCAST_ROUTES:
+        return asked.join(F.broadcast(routes), keys)
+    salted = asked.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)).cast("int"))
+    copies = routes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
 def score_events(events: DataFrame, routes: DataFrame) -> DataFrame:
     """Scored (event, form) candidates.
 
@@ -65,7 +85,7 @@ def score_events(events: DataFrame, routes: DataFrame) -> DataFrame:
         ]
     )
     asked = events.select("*", F.inline(keys))
-    pairs = asked.join(routes, ["route_type", "route_case"])
+    pairs = _routed(asked, routes)
     filer = F.lower(F.coalesce("filer_role", F.lit("")))
     known = F.col("satisfiers").isNotNull() & (F.size("satisfiers") > 0)
     satisfied = F.arrays_overlap("filers", "satisfiers")

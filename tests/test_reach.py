@@ -47,3 +47,13 @@ def test_as_many_forms_as_asked_for(spark):
     scored = spark.createDataFrame([(1, f"f{i:02d}", 5, 0.9) for i in range(30)], "event_id long, form_id string, n_fields int, score double")
     assert routing.forms_above(scored, max_forms=20).count() == 20
     assert routing.forms_above(scored, threshold=0.95).count() == 1
+
+
+def test_routes_beyond_broadcast_are_salted(spark, tables, monkeypatch):
+    from formloom.plans import routing as plans
+
+    want = sorted(map(tuple, plans.scored(tables).collect()))
+    monkeypatch.setattr(routing, "BROADCAST_ROUTES", 0)
+    salted = plans.scored(tables)
+    assert sorted(map(tuple, salted.collect())) == want
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
