@@ -37,6 +37,10 @@ PATTERNS = {
 }
 
 
+# Jurisdictions whose docket and bar numbers have these shapes.
+JURISDICTIONS = ("ME",)
+
+
 class Rule(NamedTuple):
     """A check of one field; ``form_id`` limits it to one form's records."""
 
@@ -254,8 +258,11 @@ def _violations(rule: Rule) -> list[tuple[Column, str, str]]:
     if kind in ("email", "phone"):
         return [(filled & ~s.rlike(EMAIL if kind == "email" else PHONE), "error", f"bad_{kind}")]
     if kind in ("docket_number", "bar_number"):
-        pattern = PATTERNS["docket" if kind == "docket_number" else "bar_number"]
-        return [(filled & ~s.rlike(pattern), "warn", f"bad_{kind}")]
+        # The shape is a jurisdiction's own; without a known one nothing is said.
+        if args[:1] not in [(place,) for place in JURISDICTIONS]:
+            return []
+        pattern, code = ("docket", "bad_docket") if kind == "docket_number" else ("bar_number", "bad_bar_number")
+        return [(filled & ~s.rlike(PATTERNS[pattern]), "warn", code)]
     if kind == "required_when":
         return [(compile_condition(args[0], col) & ~filled, "error", "missing_required")]
     if kind == "writable_when":
@@ -359,6 +366,8 @@ def _violated(wide: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for r in rules
         for cond, sev, code in _violations(r)
     ]
+    if not checks:
+        checks = [F.lit(None).cast("struct<field_id:string,severity:string,code:string>")]
     return wide.select("record_id", "form_id", F.explode(F.array_compact(F.array(*checks))).alias("v")).select(
         "record_id", "form_id", "v.*"
     )

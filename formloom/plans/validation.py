@@ -28,7 +28,7 @@ def _v(field: str, code: str, cond: str, severity: str = "error") -> str:
         _v("order_date", "impossible_date", "d = '2024-02-31'"),
         _v("priority", "bad_email", "pr <> ''"),
         _v("priority", "bad_phone", "pr <> ''"),
-        _v("status", "bad_docket_number", "st <> ''", "warn"),
+        _v("status", "bad_docket", "st <> ''", "warn"),
         _v("status", "bad_bar_number", "st <> ''", "warn"),
     ]),
 )
@@ -36,7 +36,7 @@ def validate_types(t: Tables):
     r = val.Rule
     return val.validate(
         t.answer,
-        [r("total", "currency", (50000, 400000)), r("order_date", "date"), r("priority", "email"), r("priority", "phone"), r("status", "docket_number"), r("status", "bar_number")],
+        [r("total", "currency", (50000, 400000)), r("order_date", "date"), r("priority", "email"), r("priority", "phone"), r("status", "docket_number", ("ME",)), r("status", "bar_number", ("ME",)), r("priority", "docket_number")],
     )
 
 

@@ -104,3 +104,23 @@ def test_supplied_values_win(spark):
     rule = records.FillRule("_date$", F.lit("2024-05-05"), 0.85, "event")
     got = {r.record_id: (r.value, r.confidence, len(r.provenance)) for r in records.fill_if_blank(df, [rule]).collect()}
     assert got == {1: ("2020-01-01", 0.9, 0), 2: ("2024-05-05", 0.85, 1)}
+
+
+def test_rules_of_one_form_leave_others_alone(spark):
+    answers = spark.createDataFrame([(1, "a", "x", "1"), (2, "b", "y", "2"), (3, "a", "z", "")], "record_id long, form_id string, field_id string, value string")
+    fields = spark.createDataFrame(
+        [("a", "x", '{"any_of": [{"field": "q", "exists": false}]}', None, None, "value_in(5); date_order(x, <)"), ("b", "x", None, None, None, '["regex_match(zip)"]')],
+        "form_id string, field_id string, required_when string, writable_when string, formula string, validators string",
+    )
+    rules = val.rules_from_packages(fields)
+    assert {(r.form_id, r.kind) for r in rules} == {("a", "required_when"), ("a", "value_in"), ("a", "date_order"), ("b", "regex_match")}
+    asked = spark.createDataFrame([(9, "a"), (8, "b")], "record_id long, form_id string")
+    found = {(r.record_id, r.code) for r in val.validate(answers, rules, asked).collect()}
+    assert found == {(1, "value_not_in_choices"), (1, "date_order_unparseable"), (3, "missing_required"), (9, "missing_required")}
+    assert val.validate(answers, [val.Rule("x", "docket_number")]).count() == 0
+
+
+def test_wide_families(monkeypatch):
+    monkeypatch.setattr(val, "FAMILY_FIELDS", 2)
+    rules = [val.Rule(f"f{i}", "date", (), f"form{i % 3}") for i in range(6)] + [val.Rule("any", "date")]
+    assert [len(f) for f in val.rule_families(rules)] == [1, 2, 2, 2]
