@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.functions import text as X
-from formloom.operators.pairs import PAGE, Reach, page_pairs
+from formloom.operators.pairs import BOX, PAGE, Reach, page_pairs
 from formloom.session import cut_lineage
 
 
@@ -61,13 +61,33 @@ def _without(df: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
     return df.join(gone, [*PAGE, id_col], "left_anti")
 
 
+def _first_of_box(df: DataFrame, id_col: str, order: Sequence[str], apart: Column | None = None) -> DataFrame:
+    """The first row of each distinct box.  Equal boxes conflict and share all
+    other conflicts, so the rows after the first are dropped whatever happens
+    to it; k boxes on one spot then need no pairs.  Rows with ``apart`` (boxes
+    that do not conflict with their equals) stay by themselves."""
+    alone = F.when(apart, F.col(id_col)) if apart is not None else F.lit(None)
+    first = F.min(F.struct(*order, id_col)).alias("_f")
+    return (
+        df.groupBy(*PAGE, *BOX, alone.alias("_alone"))
+        .agg(first)
+        .select(*PAGE, *BOX, *[F.col(f"_f.{c}").alias(c) for c in (*order, id_col)])
+    )
+
+
+def _survivors(df: DataFrame, firsts: DataFrame, id_col: str, edges: DataFrame) -> DataFrame:
+    kept = _without(firsts, id_col, dropped_by_better(edges)).select(*PAGE, id_col)
+    return df.join(kept, [*PAGE, id_col], "left_semi")
+
+
 def nms(rects: DataFrame, threshold: float = 0.5, id_col: str = "rect_id") -> DataFrame:
     """Best first by source rank, then by area: drop what overlaps a kept one
     by ``threshold``.  Ties go to the smaller id."""
+    order = ("source_rank", "neg_area")
     ranked = rects.withColumn("neg_area", -G.rect_area(G.box()))
-    a, b = G.box(), G.box("r_")
-    edges = _conflicts(ranked, id_col, ("source_rank", "neg_area"), G.rect_iou(a, b) >= threshold)
-    return _without(rects, id_col, dropped_by_better(edges))
+    firsts = _first_of_box(ranked, id_col, order, ~(G.rect_iou(G.box(), G.box()) >= threshold))
+    edges = _conflicts(firsts, id_col, order, G.rect_iou(G.box(), G.box("r_")) >= threshold)
+    return _survivors(rects, firsts, id_col, edges)
 
 
 def dedupe_fields(fields: DataFrame, tolerance: float = 5.0, id_col: str = "rect_id") -> DataFrame:
@@ -80,8 +100,9 @@ def dedupe_fields(fields: DataFrame, tolerance: float = 5.0, id_col: str = "rect
         & (F.abs(F.col("x1") - F.col("r_x1")) < tolerance)
         & (F.abs(F.col("y1") - F.col("r_y1")) < tolerance)
     )
-    edges = _conflicts(ranked, id_col, ("doubt",), same, Reach.all_round(tolerance))
-    return _without(fields, id_col, dropped_by_better(edges))
+    firsts = _first_of_box(ranked, id_col, ("doubt",), F.lit(tolerance <= 0))
+    edges = _conflicts(firsts, id_col, ("doubt",), same, Reach.all_round(tolerance))
+    return _survivors(fields, firsts, id_col, edges)
 
 
 def row_leaders(rules: DataFrame, tolerance: float = 2.0) -> DataFrame:

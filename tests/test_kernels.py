@@ -56,6 +56,13 @@ def test_nms_is_the_greedy_walk(spark, parts):
     assert len(kept) < len(rows)
 
 
+def test_stacked_boxes_need_no_pairs(spark):
+    df = spark.range(20_000).selectExpr("0L AS form_id", "0 AS page", "id AS rect_id", "1.0D AS x0", "1.0D AS y0", "9.0D AS x1", "9.0D AS y1", "1 AS source_rank", "0.5D AS confidence")
+    flat = df.where("rect_id < 3").selectExpr("form_id", "page", "rect_id + 50000 AS rect_id", "x0", "2.0D AS y0", "x1", "2.0D AS y1", "source_rank", "confidence")
+    assert sorted(r.rect_id for r in greedy.nms(df.unionByName(flat)).collect()) == [0, 50000, 50001, 50002]
+    assert [r.rect_id for r in greedy.dedupe_fields(df).collect()] == [0]
+
+
 def test_dedupe_keeps_the_most_confident(spark):
     rows = [(0, 0, 1, 0.0, 0.0, 10.0, 10.0, 0.5), (0, 0, 2, 3.0, 0.0, 13.0, 10.0, 0.9), (0, 0, 3, 6.0, 0.0, 16.0, 10.0, 0.7), (0, 0, 4, 9.0, 0.0, 19.0, 10.0, 0.6)]
     df = spark.createDataFrame(rows, BOXES + ", confidence double")
