@@ -328,7 +328,7 @@ def read_shards(segments: DataFrame) -> DataFrame:
         "shard int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long",
         work,
     )
-    return found.join(starts, ["shard", "segment"]).select(
+    return found.join(starts.hint("merge"), ["shard", "segment"]).select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
 

@@ -196,8 +196,10 @@ def page_rows(captures: DataFrame) -> DataFrame:
     per capture; a revisit has the size of the response it refers to."""
     flat = captures.select("capture_id", "copies", "response.*", F.col("metadata.page_id").alias("page_id"))
     target = flat.where("record_type = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("to_page"), F.col("payload_bytes").alias("to_bytes"))
+    # Sizes are unknown to Spark here (its only source is the list of files), so
+    # the join is told to shuffle: a broadcast would grow with the pages.
     return (
-        flat.join(target, "refers_to", "left")
+        flat.join(target.hint("merge"), "refers_to", "left")
         .select(
             "page_id",
             F.coalesce("payload_bytes", "to_bytes").alias("payload_bytes"),
