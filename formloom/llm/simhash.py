@@ -142,34 +142,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 # Near copies at a similarity of word shingles.
 #
 # One fingerprint of a whole text is too blunt for a similarity of 0.8 (a pair
-# differs in some ten of 64 bits), so the shingles are dealt by hash to slices
-# of about three and each slice has its own fingerprint.  A pair at 0.8 shares
-# every second slice unchanged, that is all eight positional bytes of it.
+# differs in some ten of 64 bits), so this stage uses a prefix filter on whole
+# shingle sets.  In any one order of all shingles, two sets at 0.8 or more
+# share one of the first ``prefix_length`` shingles of each.  The order (cold
+# shingles first, then by hash) decides the cost, never the result.
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Slices that are posted, shingles of a slice, and the sketch that verifies.
-SLICES, PER_SLICE, SKETCH = 10, 3, 512
-#: Members of a bucket that all others are compared with.
-LEADERS = 3
-
-
-def slice_keys(shingles: np.ndarray) -> list[int]:
-    """Postings of a sorted set of shingle hashes: (scale, slice, fingerprint)
-    hashed to one number.  The scale follows the set's size; sets near a step
-    are posted on both sides of it, so similar sizes always meet."""
-    if not len(shingles):
-        return []
-    exact = np.log2(len(shingles) / PER_SLICE)
-    room = -np.log2(SIMILARITY)
-    out = []
-    for scale in range(max(0, round(exact - room)), max(0, round(exact + room)) + 1):
-        part = shingles >> np.uint64(64 - scale) if scale else np.zeros(len(shingles), np.uint64)
-        cuts = np.searchsorted(part, np.arange(min(SLICES, 1 << scale) + 1, dtype=np.uint64))
-        for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-            if a < b:
-                key = xxhash.xxh64_intdigest(f"{scale}:{s}:{fingerprint(shingles[a:b])}".encode())
-                out.append(key - (1 << 64) if key >= 1 << 63 else key)
-    return out
+#: Postings beyond which a shingle is put behind the others in the order, how
+#: many such shingles are sent to the tasks, and rounds of looking for them.
+COMMON, MOST_COMMON, LOOKS = 64, 1 << 20, 8
+#: Nodes up to which the list of wanted sets is broadcast.
+BROADCAST_NODES = 1 << 20
+#: Hashes of the sketch that verifies.
+SKETCH = 512
 
 
 def sketch_of(shingles: np.ndarray) -> bytes:
@@ -185,58 +170,154 @@ def sketch_similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(both, x, assume_unique=True).astype(int) @ np.isin(both, y, assume_unique=True)) / max(1, len(both))
 
 
+def _among(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted ``y``."""
+    if not len(y):
+        return np.zeros(len(x), bool)
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def prefix_length(size: int) -> int:
+    """A set at 4/5 or more shares at least ceil(4/5 size) shingles."""
+    return size - (4 * size + 4) // 5 + 1 if size else 0
+
+
+def prefix_of(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set, the common ones behind the others."""
+    behind = _among(shingles, common)
+    return np.concatenate([shingles[~behind], shingles[behind]])[: prefix_length(len(shingles))]
+
+
+def _common_shingles(sets: DataFrame) -> np.ndarray:
+    """Sorted shingles with more than ``COMMON`` postings.  Where they are put
+    back, other shingles come to the front and are looked at in turn."""
+    before, common = np.zeros(0, np.uint64), None
+    for _ in range(LOOKS):
+
+        def work(batch, before=before, common=common):
+            keys = []
+            for s in batch["shingles"]:
+                x = np.frombuffer(s, np.uint64)
+                if common is None:
+                    keys.append(prefix_of(x, before).view(np.int64))
+                elif not (_among((old := prefix_of(x, before)), common) & ~_among(old, before)).any():
+                    continue
+                else:
+                    new = prefix_of(x, common)
+                    keys.append(new[~_among(new, common)].view(np.int64))
+            return {"key": pa.array(np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64())}
+
+        found = map_batches(sets.select("shingles"), "key long", work).groupBy("key").count().where(F.col("count") > COMMON)
+        known = np.zeros(0, np.uint64) if common is None else common
+        room = MOST_COMMON - len(known)
+        fresh_keys = [r.key for r in found.orderBy(F.desc("count"), "key").limit(room).collect()] if room > 0 else []
+        if not fresh_keys:
+            return known
+        before, common = known, np.union1d(known, np.array(fresh_keys, np.int64).view(np.uint64))
+    return common
+
+
+def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` that are alike."""
+    wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    own = written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    @F.pandas_udf("boolean")
+    def verified(a, b):
+        return a.combine(b, lambda x, y: sketch_similarity(sketch_of(np.frombuffer(x, np.uint64)), sketch_of(np.frombuffer(y, np.uint64))) >= SIMILARITY)
+
+    return (
+        pairs.join(own.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+        .join(own.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+        .where(verified("a", "b"))
+        .select("u", "v")
+    )
+
+
+def _near_roots(sets: DataFrame) -> DataFrame:
+    """``node, root`` of sets reachable over pairs at 0.8 or more.
+
+    First the sets of a posting are compared with two leaders of it, which
+    settles most groups.  Then all pairs of a posting that are still in different
+    groups are compared, so every pair at 0.8 ends in one group.
+    """
+    common = _common_shingles(sets)
+
+    def work(batch):
+        nodes, sizes, scores, keys = [], [], [], []
+        for node, s in zip(batch["node"], batch["shingles"]):
+            x = np.frombuffer(s, np.uint64)
+            nodes.append(node)
+            sizes.append(len(x))
+            scores.append(float(_among(x, common).mean()) if len(x) else 0.0)
+            keys.append(prefix_of(x, common).view(np.int64))
+        reps = [len(k) for k in keys]
+        spread = lambda v, t: np.repeat(np.array(v, t), reps)
+        return {
+            "key": pa.array(np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64()), "node": pa.array(spread(nodes, np.int64)),
+            "size": pa.array(spread(sizes, np.int32)), "score": pa.array(spread(scores, np.float32)),
+        }
+
+    posted = map_batches(sets, "key long, node long, size int, score float", work).repartition("key")
+    # The set with most common shingles is the likely original of its copies.
+    live = posted.groupBy("key").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"),
+        F.max_by("node", F.struct("score", "node")).alias("l0"), F.min_by("node", F.xxhash64("node")).alias("l1"),
+    ).where("lo != hi")
+    postings = written(posted.join(live, "key").select("key", "node", "size", "l0", "l1").distinct(), "postings")
+    led = written(
+        postings.select("node", F.explode(F.array_distinct(F.array("l0", "l1"))).alias("other"))
+        .where("node != other")
+        .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
+        .distinct(),
+        "led",
+    )
+    roots = components(_alike_pairs(led, sets))
+
+    grouped = postings.select("key", "node", "size").join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
+    grouped = written(grouped, "grouped")
+    mixed = grouped.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    open_ = written(grouped.join(mixed, "key"), "open")
+    left = open_.select("key", F.col("node").alias("a"), F.col("size").alias("m"), F.col("root").alias("r"))
+    right = open_.select("key", F.col("node").alias("b"), F.col("size").alias("n"), F.col("root").alias("q"))
+    rest = (
+        left.join(right, "key")
+        .where("r < q AND 5 * m >= 4 * n AND 5 * n >= 4 * m")
+        .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+        .distinct()
+        .join(led, ["u", "v"], "left_anti")
+    )
+    edges = written(_alike_pairs(written(rest, "rest"), sets), "more")
+    if edges.isEmpty():
+        return roots
+    return components(edges.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: the least id.
 
     Texts are near copies at a similarity of 0.8 or more of their sets of
-    five-word shingles (estimated from the 512 least where a set is larger),
-    and groups are what is reachable over such pairs.
-    Documents of equal sets are one node.  Bucket members are compared with up
-    to three leaders of each of their buckets, not in all pairs; the copies of
-    a pair meet in several buckets.  Empty texts are copies of one another.
-    Null ids come before others; of repeated rows one stays.  All columns are
-    returned as they are.
+    five-word shingles (estimated from the 512 least where a set is larger), and groups are what is reachable over such
+    pairs; no pair is left out.  Documents of equal sets are one node.  Empty
+    texts are copies of one another.  Null ids come before others; of repeated
+    rows one stays.  All columns are returned as they are.
     """
 
     def work(batch):
-        nodes, keys, sketches = [], [], []
+        nodes, sets = [], []
         for text in batch["text"]:
             found = np.unique(shingle_hashes(words_of(text), SHINGLE))
             node = xxhash.xxh3_64_intdigest(found.tobytes())
             nodes.append(node - (1 << 64) if node >= 1 << 63 else node)
-            keys.append(slice_keys(found))
-            sketches.append(sketch_of(found))
-        return {
-            "doc_id": pa.array(batch["doc_id"], pa.int64()), "crc": pa.array(batch["crc"], pa.int64()), "node": pa.array(nodes, pa.int64()),
-            "keys": pa.array(keys, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary()),
-        }
+            sets.append(found.tobytes())
+        return {"doc_id": pa.array(batch["doc_id"], pa.int64()), "crc": pa.array(batch["crc"], pa.int64()), "node": pa.array(nodes, pa.int64()), "shingles": pa.array(sets, pa.binary())}
 
     text = text_of(text_col)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text).alias("crc"), text.alias("text"))
-    rows = written(map_batches(plain, "doc_id long, crc long, node long, keys array<long>, sketch binary", work), "sketches")
-    nodes = rows.select("node", "keys").dropDuplicates(["node"])
-    posted = nodes.select("node", F.explode("keys").alias("key"))
-    leaders = posted.groupBy("key").agg(F.count("*").alias("n"), *[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]).where("n > 1")
-    pairs = (
-        posted.join(leaders, "key")
-        .select("node", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("other"))
-        .where("node != other")
-        .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
-        .distinct()
-    )
-    sketch = rows.groupBy("node").agg(F.first("sketch").alias("sketch"))
-
-    @F.pandas_udf("double")
-    def similarity(a, b):
-        return a.combine(b, sketch_similarity)
-
-    edges = (
-        pairs.join(sketch.select(F.col("node").alias("u"), F.col("sketch").alias("a")), "u")
-        .join(sketch.select(F.col("node").alias("v"), F.col("sketch").alias("b")), "v")
-        .where(similarity("a", "b") >= SIMILARITY)
-        .select("u", "v")
-    )
-    roots = components(edges)
+    rows = written(map_batches(plain, "doc_id long, crc long, node long, shingles binary", work), "shingles")
+    roots = _near_roots(rows.select("node", "shingles"))
     owned = rows.select("doc_id", "crc", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     doc, code = fresh(docs, "_id", "_crc")
     kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "crc")).alias("d")).select(F.col("d.doc_id").alias(doc), F.col("d.crc").alias(code)), "kept")

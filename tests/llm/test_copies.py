@@ -81,6 +81,57 @@ def test_one_of_each_near_copy(spark):
     assert kept == set(want)
 
 
+def brute_kept(texts):
+    """Least row of each group over all pairs, by exact Jaccard."""
+    sets = [np.unique(simhash.shingle_hashes(simhash.words_of(t), 5)) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    of_shingle = {}
+    for i, s in enumerate(sets):
+        for h in s.tolist():
+            of_shingle.setdefault(h, []).append(i)
+    for i, s in enumerate(sets):
+        shared = np.bincount(np.concatenate([np.array(of_shingle[h]) for h in s.tolist()]), minlength=len(sets))
+        for j in np.flatnonzero(5 * shared >= 4 * (len(s) + np.array(list(map(len, sets))) - shared)).tolist():
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+def star(seed, n, words=200, replaced=3, original=True):
+    """An original and copies that are close to it, but less so to each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    texts = [" ".join(base)] if original else []
+    for k in range(n):
+        copy = list(base)
+        for j, at in enumerate(rng.sample(range(words), replaced)):
+            copy[at] = f"new{k}x{j}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("original", [True, False])
+def test_a_star_of_edited_copies(spark, original):
+    texts = star(11, 2000 if original else 300, original=original)
+    kept = {r.doc_id for r in simhash.one_of_each(docs(spark, list(enumerate(texts)))).collect()}
+    assert kept == brute_kept(texts)
+
+
+def test_without_leaders_all_pairs_are_settled(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "COMMON", 1 << 30)  # no order by frequency, no original found
+    texts = star(12, 150) + varied(6, 150)
+    kept = {r.doc_id for r in simhash.one_of_each(docs(spark, list(enumerate(texts)))).collect()}
+    assert kept == brute_kept(texts)
+
+
 def test_one_of_each_of_edge_rows(spark):
     found = simhash.one_of_each(docs(spark))
     assert found.columns == docs(spark).columns
