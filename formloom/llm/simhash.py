@@ -153,7 +153,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 COMMON, MOST_COMMON, LOOKS = 64, 1 << 20, 8
 #: Nodes up to which the list of wanted sets is broadcast.
 BROADCAST_NODES = 1 << 20
-#: Hashes of the sketch that verifies.
+#: Hashes of a sketch: an estimate of the similarity, which the stage does not use.
 SKETCH = 512
 
 
@@ -170,6 +170,15 @@ def sketch_similarity(a: bytes, b: bytes) -> float:
     return float(np.isin(both, x, assume_unique=True).astype(int) @ np.isin(both, y, assume_unique=True)) / max(1, len(both))
 
 
+def alike(a: bytes, b: bytes) -> bool:
+    """Whether two whole sorted sets have a Jaccard similarity of 4/5 or more."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if 5 * min(len(x), len(y)) < 4 * max(len(x), len(y)):
+        return False
+    both = int(_among(x, y).sum())
+    return 5 * both >= 4 * (len(x) + len(y) - both)
+
+
 def _among(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which of ``x`` are in the sorted ``y``."""
     if not len(y):
@@ -218,7 +227,7 @@ def _common_shingles(sets: DataFrame) -> np.ndarray:
 
 
 def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` that are alike."""
+    """The pairs ``u, v`` whose whole sets are alike."""
     wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
     if wanted.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
@@ -226,7 +235,7 @@ def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def verified(a, b):
-        return a.combine(b, lambda x, y: sketch_similarity(sketch_of(np.frombuffer(x, np.uint64)), sketch_of(np.frombuffer(y, np.uint64))) >= SIMILARITY)
+        return a.combine(b, alike)
 
     return (
         pairs.join(own.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
@@ -298,8 +307,8 @@ def _near_roots(sets: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: the least id.
 
-    Texts are near copies at a similarity of 0.8 or more of their sets of
-    five-word shingles (estimated from the 512 least where a set is larger), and groups are what is reachable over such
+    Texts are near copies at a Jaccard similarity of 0.8 or more of their whole
+    sets of five-word shingles, and groups are what is reachable over such
     pairs; no pair is left out.  Documents of equal sets are one node.  Empty
     texts are copies of one another.  Null ids come before others; of repeated
     rows one stays.  All columns are returned as they are.

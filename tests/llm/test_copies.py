@@ -132,6 +132,17 @@ def test_without_leaders_all_pairs_are_settled(spark, monkeypatch):
     assert kept == brute_kept(texts)
 
 
+def test_long_texts_are_judged_whole(spark):
+    """Pairs just under and just over 0.8 of 2,000 shingles."""
+    texts = []
+    for k in range(24):
+        rng = random.Random(k)
+        words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        texts += [" ".join(words), " ".join(words[: 1790 if k % 2 else 1770] + [f"n{k}x{i}" for i in range(210 if k % 2 else 230)])]
+    kept = {r.doc_id for r in simhash.one_of_each(docs(spark, list(enumerate(texts)))).collect()}
+    assert kept == brute_kept(texts) and len(kept) == 36
+
+
 def test_one_of_each_of_edge_rows(spark):
     found = simhash.one_of_each(docs(spark))
     assert found.columns == docs(spark).columns
