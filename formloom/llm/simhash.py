@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_batches, text_of, written
+from .common import drop_written, fresh, map_batches, text_of, written
 from .components import components
 
 SEED = 42
@@ -151,6 +151,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Postings beyond which a shingle is put behind the others in the order, how
 #: many such shingles are sent to the tasks, and rounds of looking for them.
 COMMON, MOST_COMMON, LOOKS = 64, 1 << 20, 8
+#: Two sets at 4/5 share 4/9 (m + n) shingles, all of them at or behind the first
+#: one shared; i and j are the shingles left there.
+MEETS = "9 * least({i}, {j}) >= 4 * ({m} + {n})"
 #: Nodes up to which the list of wanted sets is broadcast.
 BROADCAST_NODES = 1 << 20
 #: Hashes of a sketch: an estimate of the similarity, which the stage does not use.
@@ -226,23 +229,45 @@ def _common_shingles(sets: DataFrame) -> np.ndarray:
     return common
 
 
+def low_part(shingles: bytes) -> bytes:
+    """The size of a sorted set and its shingles in the lowest quarter of hashes."""
+    x = np.frombuffer(shingles, np.uint64)
+    return np.concatenate([np.array([len(x)], np.uint64), x[: np.searchsorted(x, np.uint64(1 << 62))]]).tobytes()
+
+
+def may_be_alike(a: bytes, b: bytes) -> bool:
+    """False only where the low parts leave too little for 4/5, whatever the rest."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    m, n = int(x[0]), int(y[0])
+    most = int(_among(x[1:], y[1:]).sum()) + min(m - len(x) + 1, n - len(y) + 1)
+    return 9 * most >= 4 * (m + n)
+
+
 def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose whole sets are alike."""
-    wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    own = written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-
-    @F.pandas_udf("boolean")
-    def verified(a, b):
-        return a.combine(b, alike)
-
-    return (
-        pairs.join(own.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
-        .join(own.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
-        .where(verified("a", "b"))
-        .select("u", "v")
-    )
+    """The pairs ``u, v`` whose whole sets are alike.  Low parts of the sets go
+    first, so whole sets travel only with pairs that these cannot rule out."""
+
+    def cut(batch):
+        return {"node": pa.array(batch["node"], pa.int64()), "shingles": pa.array([low_part(x) for x in batch["shingles"]], pa.binary())}
+
+    def those(pairs, test, name, change=None):
+        wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
+        few = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
+        own = sets.join(few, "node", "left_semi")
+        own = written((map_batches(own, "node long, shingles binary", change) if change else own).dropDuplicates(["node"]), "sets")
+        passes = F.pandas_udf(lambda a, b: a.combine(b, test), "boolean")
+        out = written(
+            pairs.join(own.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+            .join(own.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+            .where(passes("a", "b"))
+            .select("u", "v"),
+            name,
+        )
+        drop_written(own)
+        drop_written(wanted)
+        return out
+
+    return those(those(pairs, may_be_alike, "possible", cut), alike, "alike")
 
 
 def _near_roots(sets: DataFrame) -> DataFrame:
@@ -255,50 +280,51 @@ def _near_roots(sets: DataFrame) -> DataFrame:
     common = _common_shingles(sets)
 
     def work(batch):
-        nodes, sizes, scores, keys = [], [], [], []
+        nodes, sizes, scores, keys, rest = [], [], [], [], [np.zeros(0, np.int32)]
         for node, s in zip(batch["node"], batch["shingles"]):
             x = np.frombuffer(s, np.uint64)
             nodes.append(node)
             sizes.append(len(x))
             scores.append(float(_among(x, common).mean()) if len(x) else 0.0)
             keys.append(prefix_of(x, common).view(np.int64))
+            rest.append(len(x) - np.arange(len(keys[-1]), dtype=np.int32))
         reps = [len(k) for k in keys]
         spread = lambda v, t: np.repeat(np.array(v, t), reps)
         return {
             "key": pa.array(np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64()), "node": pa.array(spread(nodes, np.int64)),
-            "size": pa.array(spread(sizes, np.int32)), "score": pa.array(spread(scores, np.float32)),
+            "size": pa.array(spread(sizes, np.int32)), "rest": pa.array(np.concatenate(rest), pa.int32()), "score": pa.array(spread(scores, np.float32)),
         }
 
-    posted = map_batches(sets, "key long, node long, size int, score float", work).repartition("key")
+    posted = map_batches(sets, "key long, node long, size int, rest int, score float", work).repartition("key")
     # The set with most common shingles is the likely original of its copies.
+    leader = F.struct("node", "size", "rest")
     live = posted.groupBy("key").agg(
         F.min("node").alias("lo"), F.max("node").alias("hi"),
-        F.max_by("node", F.struct("score", "node")).alias("l0"), F.min_by("node", F.xxhash64("node")).alias("l1"),
+        F.max_by(leader, F.struct("score", "node")).alias("l0"), F.min_by(leader, F.xxhash64("node")).alias("l1"),
     ).where("lo != hi")
-    postings = written(posted.join(live, "key").select("key", "node", "size", "l0", "l1").distinct(), "postings")
+    postings = written(posted.join(live, "key").select("key", "node", "size", "rest", "l0", "l1").distinct(), "postings")
     led = written(
-        postings.select("node", F.explode(F.array_distinct(F.array("l0", "l1"))).alias("other"))
-        .where("node != other")
-        .select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v"))
+        postings.select("node", "size", "rest", F.explode(F.array("l0", "l1")).alias("o"))
+        .where(f"node != o.node AND {MEETS.format(m='size', n='o.size', i='rest', j='o.rest')}")
+        .select(F.least("node", "o.node").alias("u"), F.greatest("node", "o.node").alias("v"))
         .distinct(),
         "led",
     )
     roots = components(_alike_pairs(led, sets))
 
-    grouped = postings.select("key", "node", "size").join(roots, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
-    grouped = written(grouped, "grouped")
+    grouped = written(postings.drop("l0", "l1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
+    drop_written(postings)
     mixed = grouped.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    open_ = written(grouped.join(mixed, "key"), "open")
-    left = open_.select("key", F.col("node").alias("a"), F.col("size").alias("m"), F.col("root").alias("r"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("size").alias("n"), F.col("root").alias("q"))
+    left = written(grouped.join(mixed, "key"), "open")
+    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "rest", "root")])
     rest = (
         left.join(right, "key")
-        .where("r < q AND 5 * m >= 4 * n AND 5 * n >= 4 * m")
-        .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+        .where(f"root < root2 AND {MEETS.format(m='size', n='size2', i='rest', j='rest2')}")
+        .select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v"))
         .distinct()
         .join(led, ["u", "v"], "left_anti")
     )
-    edges = written(_alike_pairs(written(rest, "rest"), sets), "more")
+    edges = _alike_pairs(written(rest, "rest"), sets)
     if edges.isEmpty():
         return roots
     return components(edges.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))

@@ -143,6 +143,23 @@ def test_long_texts_are_judged_whole(spark):
     assert kept == brute_kept(texts) and len(kept) == 36
 
 
+def test_pairs_at_the_bound_meet():
+    """Isolated pairs at 0.8 share a posting that passes the size and position filter."""
+    rng = np.random.default_rng(7)
+    for k in range(3000):
+        m = int(rng.integers(5, 200))
+        n = int(rng.integers(-(-4 * m // 5), m + 1))
+        both = -(-4 * (m + n) // 9)
+        if both > n:
+            continue
+        x = rng.integers(0, 1 << 63, m + n - both, dtype=np.uint64) * np.uint64(2)
+        a, b = np.sort(x[:m]), np.sort(x[m - both :])
+        common = np.sort(x[rng.random(len(x)) < 0.1 * (k % 10)])
+        assert simhash.alike(a.tobytes(), b.tobytes()) and simhash.may_be_alike(simhash.low_part(a.tobytes()), simhash.low_part(b.tobytes()))
+        left, right = ({h: len(s) - i for i, h in enumerate(simhash.prefix_of(s, common).tolist())} for s in (a, b))
+        assert any(9 * min(left[h], right[h]) >= 4 * (len(a) + len(b)) for h in left.keys() & right.keys())
+
+
 def test_one_of_each_of_edge_rows(spark):
     found = simhash.one_of_each(docs(spark))
     assert found.columns == docs(spark).columns
