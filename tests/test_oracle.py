@@ -6,7 +6,7 @@ import pathlib
 
 import pytest
 from check_queries import compare, duck
-from conftest import SMALL
+from paths import SMALL
 
 from formloom.plans import registry
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from paths import SMALL
 from formloom.operators import audit, detect, snap
 from formloom.operators.pairs import Reach, page_pairs
 from formloom.plans import registry
