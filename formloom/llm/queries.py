@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decision_list, decontaminate, impact_search, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
+from . import bpe, decision_list, decontaminate, impact_search, merkle, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,14 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.documents_manifest(read(spark, folder, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = merkle.ORACLE
+
+
 @query
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.quality_rules(read(spark, folder, "documents"), read(spark, folder, "labels"))
