@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decision_list, decontaminate, impact_search, merkle, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
+from . import bpe, decision_list, decontaminate, impact_search, merkle, phrases, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,14 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op11_merkle_manifest"] = merkle.ORACLE
 
 
+@query
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+ORACLES["op12_phrases"] = phrases.ORACLE
+
+
 @query
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return decision_list.quality_rules(read(spark, folder, "documents"), read(spark, folder, "labels"))
