@@ -489,17 +489,17 @@ def collocations(
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-_GRAMS = " UNION ALL ".join(
-    f"SELECT lang, {k} AS k, array_to_string(w[i : i + {k - 1}], ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM words WHERE len(w) >= {k})"
-    for k in range(1, MOST_WORDS + 1)
-)
+_AHEAD = " || ' ' || ".join(["x", *[f"lead(x, {k}) OVER piece" for k in range(1, MOST_WORDS)]])
+_GRAMS = " UNION ALL ".join(f"SELECT lang, {k} AS k, {' || '.join(_AHEAD.split(' || ')[: 2 * k - 1])} AS phrase FROM words WINDOW piece AS (PARTITION BY p ORDER BY i)" for k in range(1, MOST_WORDS + 1))
 #: DuckDB: all phrases counted, products in 128 bits.
 ORACLE = rf"""
-WITH words AS (
-  SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda x: x <> '') AS w FROM (
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda x: x <> '') AS w FROM (
     SELECT coalesce(lang, '{NO_LANG}') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), words AS (
+  SELECT lang, p, unnest(w) AS x, unnest(range(len(w))) AS i FROM pieces
 ), f AS (
-  SELECT lang, k, phrase, count(*) AS n FROM ({_GRAMS}) GROUP BY ALL
+  SELECT lang, k, phrase, count(*) AS n FROM ({_GRAMS}) WHERE phrase IS NOT NULL GROUP BY ALL
 ), totals AS (
   SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
 ), cand AS (
