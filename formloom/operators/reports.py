@@ -244,19 +244,20 @@ def latest_by_key(log: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def vote_consensus(votes: DataFrame) -> DataFrame:
+def consensus_status() -> Column:
     """Two major votes confirm; one, or two minor ones, dispute."""
+    major, minor = F.col("n_major"), F.col("n_minor")
+    return F.when(major >= 2, "confirmed").when((major == 1) | (minor >= 2), "disputed").otherwise("clean")
+
+
+def vote_consensus(votes: DataFrame) -> DataFrame:
+    """Consensus on each key over the latest vote of each voter."""
     latest = latest_by_key(votes, ["key", "voter"], ["ts", "event_id"])
     counted = latest.groupBy("key").agg(
         F.count_if(F.col("verdict") == "major").alias("n_major"),
         F.count_if(F.col("verdict") == "minor").alias("n_minor"),
     )
-    status = (
-        F.when(F.col("n_major") >= 2, "confirmed")
-        .when((F.col("n_major") == 1) | (F.col("n_minor") >= 2), "disputed")
-        .otherwise("clean")
-    )
-    return counted.withColumn("status", status)
+    return counted.withColumn("status", consensus_status())
 
 
 def evidence_units(analytic: DataFrame, ocr: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ def form_routes(forms: DataFrame, boosts: DataFrame) -> DataFrame:
     )
 
 
-def _boost(event_type: Column) -> Column:
+def _boost(boosts: Column, event_type: Column) -> Column:
     """Sum of the boosts that apply to an event."""
 
     def applies(b: Column) -> Column:
@@ -45,7 +45,7 @@ def _boost(event_type: Column) -> Column:
         gate = b["gate"].isNull() | (b["gate"] == event_type)
         return gate & F.when(b["source"] == "fact_absent", ~there).otherwise(there & fits)
 
-    return F.aggregate(F.filter("boosts", applies), F.lit(0.0), lambda s, b: s + b["delta"])
+    return F.aggregate(F.filter(boosts, applies), F.lit(0.0), lambda s, b: s + b["delta"])
 
 
 #: Routes (rows of the catalogue) up to which they are broadcast.
@@ -68,53 +68,82 @@ def _routed(asked: DataFrame, routes: DataFrame) -> DataFrame:
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
-def score_events(events: DataFrame, routes: DataFrame) -> DataFrame:
-    """Scored (event, form) candidates.
-
-    Every event looks up four keys — its own or any type, its own or any case
-    type — so one equi-join finds the compatible forms; forms that reject the
-    event for its type or case type are never paired with it.
-
-    ``events``: event_id, type, case_type, filers, roles, facts, payload.
-    """
-    keys = F.array(
-        *[
-            F.struct(t.alias("route_type"), c.alias("route_case"))
-            for t in (F.col("type"), F.lit(ANY))
-            for c in (F.col("case_type"), F.lit(ANY))
-        ]
-    )
-    asked = events.select("*", F.inline(keys))
-    pairs = _routed(asked, routes)
-    filer = F.lower(F.coalesce("filer_role", F.lit("")))
-    known = F.col("satisfiers").isNotNull() & (F.size("satisfiers") > 0)
-    satisfied = F.arrays_overlap("filers", "satisfiers")
+def _scoring(route: Callable[[str], Column]) -> tuple[Column, Column, Column]:
+    """Whether an event may take a route, its score and what it rests on.
+    ``route`` gives a column of the route, beside the columns of the event."""
+    satisfiers = route("satisfiers")
+    filer = F.lower(F.coalesce(route("filer_role"), F.lit("")))
+    known = satisfiers.isNotNull() & (F.size(satisfiers) > 0)
+    satisfied = F.arrays_overlap(F.col("filers"), satisfiers)
     filer_score = (
-        F.when(F.col("satisfiers").isNull(), F.when(F.array_contains("filers", filer), 0.1).otherwise(0.0))
+        F.when(satisfiers.isNull(), F.when(F.array_contains(F.col("filers"), filer), 0.1).otherwise(0.0))
         .when(known & satisfied, 0.2)
         .otherwise(0.0)
     )
-    shared = F.size(F.array_intersect(F.array_distinct("roles"), "parties"))
+    shared = F.size(F.array_intersect(F.array_distinct("roles"), route("parties")))
+    boost = _boost(route("boosts"), F.col("type"))
     score = (
-        F.when(F.col("anchor").isNotNull(), 0.5).otherwise(0.0)
-        + F.when(F.col("case_types").isNotNull(), 0.1).otherwise(0.0)
+        F.when(route("anchor").isNotNull(), 0.5).otherwise(0.0)
+        + F.when(route("case_types").isNotNull(), 0.1).otherwise(0.0)
         + filer_score
         + 0.05 * shared
-        + _boost(F.col("type"))
+        + boost
     )
     reasons = F.concat_ws(
         ";",
-        F.when(F.col("anchor").isNotNull(), "anchor"),
-        F.when(F.col("case_types").isNotNull(), "case_type"),
+        F.when(route("anchor").isNotNull(), "anchor"),
+        F.when(route("case_types").isNotNull(), "case_type"),
         F.when(filer_score > 0, "filer"),
         F.when(shared > 0, F.concat(F.lit("parties:"), shared.cast("string"))),
-        F.when(_boost(F.col("type")) != 0, "boost"),
-    )
-    return (
-        pairs.where(~known | satisfied)
-        .select("event_id", "form_id", "n_fields", F.round(score, 3).alias("score"), reasons.alias("reasons"))
-        .where("score <> 0")
+        F.when(boost != 0, "boost"),
     )
+    return ~known | satisfied, F.round(score, 3), reasons
+
+
+def _asked_keys() -> list[tuple[Column, Column]]:
+    """What an event looks up: its type or any, with its case type or any."""
+    return [(t, c) for t in (F.col("type"), F.lit(ANY)) for c in (F.col("case_type"), F.lit(ANY))]
+
+
+def score_events(events: DataFrame, routes: DataFrame) -> DataFrame:
+    """Scored (event, form) candidates.
+
+    Every event looks up four keys — its own or any type, its own or any case
+    type — so one equi-join finds the compatible forms; forms that reject the
+    event for its type or case type are never paired with it.
+
+    ``events``: event_id, type, case_type, filers, roles, facts, payload.
+    """
+    keys = F.array(*[F.struct(t.alias("route_type"), c.alias("route_case")) for t, c in _asked_keys()])
+    pairs = _routed(events.select("*", F.inline(keys)), routes)
+    fits, score, reasons = _scoring(F.col)
+    return pairs.where(fits).select("event_id", "form_id", "n_fields", score.alias("score"), reasons.alias("reasons")).where("score <> 0")
+
+
+def top_forms_in_row(events: DataFrame, routes: DataFrame, k: int) -> DataFrame:
+    """``event_id, place, form_id, score`` of the best ``k`` forms, as
+    ``top_forms`` over ``score_events``, without a group or window over events:
+    nothing but the events themselves moves, so a stream needs no state.
+
+    The routes of a key are one row here; a catalogue of checked size is
+    broadcast, a larger one is joined by key.
+    """
+    columns = ["form_id", "n_fields", "anchor", "case_types", "filer_role", "satisfiers", "parties", "boosts"]
+    small = routes.limit(BROADCAST_ROUTES + 1).count() <= BROADCAST_ROUTES
+    found = events
+    for i, (kind, case) in enumerate(_asked_keys()):
+        own = routes.groupBy(F.col("route_type").alias(f"_t{i}"), F.col("route_case").alias(f"_c{i}"))
+        own = own.agg(F.collect_list(F.struct(*columns)).alias(f"_routes{i}"))
+        found = found.join(F.broadcast(own) if small else own, (kind == F.col(f"_t{i}")) & (case == F.col(f"_c{i}")), "left")
+    listed = F.filter(F.flatten(F.array_compact(F.array(*[F.col(f"_routes{i}") for i in range(4)]))), lambda r: _scoring(r.getField)[0])
+
+    def place(r: Column) -> Column:
+        n = F.when(r["n_fields"] > 0, r["n_fields"]).otherwise(9999)
+        return F.struct((-_scoring(r.getField)[1]).alias("neg"), n.alias("n"), r["form_id"].alias("form_id"))
+
+    best = F.slice(F.array_sort(F.filter(F.transform(listed, place), lambda b: b["neg"] != 0)), 1, k)
+    ranked = found.select("event_id", F.posexplode(best).alias("pos", "b"))
+    return ranked.select("event_id", (F.col("pos") + 1).alias("place"), F.col("b.form_id").alias("form_id"), (-F.col("b.neg")).alias("score"))
 
 
 def _best_first(scored: DataFrame):

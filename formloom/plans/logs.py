@@ -89,10 +89,11 @@ def append_chain(t: Tables):
 
 @query("stream_append_chain", sql=f"{CHAINED} SELECT * FROM chain")
 def stream_append_chain(t: Tables):
-    e = jobs.table_stream(t.spark, t.folder, "events").select(
-        F.col("user_id").alias("log_key"), F.col("event_id").alias("order_id"), F.concat_ws(":", F.col("event_id").cast("string"), "event_type").alias("payload")
-    )
-    return jobs.run_to_table(jobs.append_chain(e), jobs.run_folder(t.spark, "append_chain"))
+    """The events come in order, so the watermark may follow them closely and
+    every entry is linked by the end."""
+    payload = F.concat_ws(":", F.col("event_id").cast("string"), "event_type").alias("payload")
+    e = jobs.table_stream(t.spark, t.folder, "events").select(F.col("user_id").alias("log_key"), F.col("event_id").alias("order_id"), F.col("ts").cast("timestamp").alias("ts"), payload)
+    return jobs.run_to_table(jobs.append_chain(e, late="0 seconds"), jobs.run_folder(t.spark, "append_chain"))
 
 
 @query(
@@ -185,9 +186,9 @@ c AS (SELECT key, count(*) FILTER (verdict = 'major') AS n_major, count(*) FILTE
 SELECT *, CASE WHEN n_major >= 2 THEN 'confirmed' WHEN n_major = 1 OR n_minor >= 2 THEN 'disputed' ELSE 'clean' END AS status FROM c""")
 def stream_votes(t: Tables):
     verdict = F.expr("CASE WHEN value > 60 THEN 'major' WHEN value > 30 THEN 'minor' ELSE 'ok' END")
-    votes = jobs.table_stream(t.spark, t.folder, "events").select(F.col("user_id").alias("key"), F.col("event_type").alias("voter"), verdict.alias("verdict"), "ts", "event_id")
-    latest = jobs.run_to_table(jobs.latest_votes(votes), jobs.run_folder(t.spark, "votes"), "update")
-    return reports.vote_consensus(latest)
+    votes = jobs.table_stream(t.spark, t.folder, "events").select(F.col("user_id").alias("key"), F.col("event_type").alias("voter"), verdict.alias("verdict"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    out = jobs.run_to_table(jobs.vote_stream(votes), jobs.run_folder(t.spark, "votes"), "update")
+    return reports.latest_by_key(out, ["key"], ["batch_no"]).select("key", "n_major", "n_minor", "status")
 
 
 @query("stream_routes", sql=f"{SCORED} SELECT event_id, place, form_id, score FROM ranked WHERE place <= 3")
@@ -197,5 +198,4 @@ def stream_routes(t: Tables):
         "event_id", F.col("user_id").alias("case_id"), F.col("event_type").alias("type"), F.from_json("props", "map<string,string>").alias("payload")
     )
     stream = jobs.route_stream(arriving.join(static, "case_id"), form_routes(*catalogue(t)), k=3)
-    out = jobs.run_to_table(stream, jobs.run_folder(t.spark, "routes"), "update")
-    return out.select("event_id", "place", "form_id", "score")
+    return jobs.run_to_table(stream, jobs.run_folder(t.spark, "routes"))

@@ -6,18 +6,17 @@ job over what has arrived so far and leaves its output in a table folder.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from formloom.operators import citations, routing
-from formloom.operators.logs import CHAIN, GENESIS, MAX_ATTEMPTS, line_text
+from formloom.operators import citations, reports, routing
+from formloom.operators.logs import CHAIN, MAX_ATTEMPTS
 from formloom.session import ensure_checkpoint_dir
+from formloom.streaming.processors import ChainLinks, Panel, RunFold
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, per_batch: int = 1) -> DataFrame:
@@ -57,68 +56,64 @@ def run_to_table(stream: DataFrame, folder: str, mode: str = "append") -> DataFr
     return spark.read.parquet(out).drop("batch")
 
 
-RUN_OUT = "item bigint, status string, attempts bigint"
-RUN_STATE = "status string, attempts bigint"
+def with_state_store(spark: SparkSession) -> None:
+    """Keyed state and timers need the RocksDB store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
 
-def run_state(log: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Item states as actions arrive; each update gives the item's new state."""
+def _timed(stream: DataFrame, late: str, *columns: str) -> DataFrame:
+    """Event times to the millisecond, with a watermark."""
+    return stream.select(*columns, F.date_trunc("millisecond", "ts").alias("ts")).withWatermark("ts", late)
 
-    def fold(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, attempts = state.get if state.exists else ("PENDING", 0)
-        events = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-        for action in events["action"]:
-            if action == "begin":
-                status, attempts = "IN_PROGRESS", attempts + 1
-            elif action == "ok":
-                status = "DONE"
-            elif action == "error":
-                status = "DEAD" if attempts >= max_attempts else "FAILED"
-            elif action == "retry" and status == "FAILED":
-                status = "PENDING"
-            elif action == "reset":
-                status, attempts = "PENDING", 0
-        state.update((status, attempts))
-        yield pd.DataFrame({"item": [key[0]], "status": [status], "attempts": [attempts]})
 
-    return log.groupBy("item").applyInPandasWithState(fold, RUN_OUT, RUN_STATE, "update", GroupStateTimeout.NoTimeout)
+def run_state(log: DataFrame, max_attempts: int = MAX_ATTEMPTS, late: str = "1 hour", keep_hours: float = 24 * 90) -> DataFrame:
+    """Item states as actions arrive (update mode).
 
+    Each update is the state after all actions that have arrived, in the order
+    of (ts, event_id): an action up to ``late`` behind finds its place, a later
+    one is dropped by the watermark.  Items without an action for ``keep_hours``
+    are forgotten; an action after that starts anew.
+    """
+    with_state_store(log.sparkSession)
+    fold = RunFold(max_attempts, int(keep_hours * 3_600_000))
+    keyed = _timed(log, late, "item", "event_id", "action").groupBy("item")
+    return keyed.transformWithStateInPandas(fold, "item bigint, status string, attempts bigint", "Update", "EventTime")
 
-def append_chain(entries: DataFrame) -> DataFrame:
-    """Hash-chain entries as they arrive: the state is (next seq, last hash)."""
 
-    def link(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seq, last = state.get if state.exists else (0, GENESIS)
-        for payload in pd.concat(list(batches)).sort_values("order_id")["payload"]:
-            prev, last = last, hashlib.sha256(line_text(seq, last, payload).encode()).hexdigest()
-            yield pd.DataFrame({"log_key": [key[0]], "seq": [seq], "payload": [payload], "prev_hash": [prev], "line_hash": [last]})
-            seq += 1
-        state.update((seq, last))
+def append_chain(entries: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Hash-chain entries (log_key, ts, order_id, payload) as they arrive.
 
-    return entries.groupBy("log_key").applyInPandasWithState(link, CHAIN, "seq bigint, last string", "append", GroupStateTimeout.NoTimeout)
+    An entry is linked once the watermark has passed it, in the order of (ts,
+    order_id), so entries that come out of order give the chain of the batch
+    twin.  Entries more than ``late`` behind are rejected: their place in the
+    chain is taken.  The end of a chain is kept for good, or the log would break.
+    """
+    with_state_store(entries.sparkSession)
+    keyed = _timed(entries, late, "log_key", "order_id", "payload").groupBy("log_key")
+    return keyed.transformWithStateInPandas(ChainLinks(), CHAIN, "Append", "EventTime")
 
 
 def route_stream(events: DataFrame, routes: DataFrame, k: int) -> DataFrame:
-    """Best forms for each arriving event.
+    """Best forms for each arriving event, without state.
 
-    Streams allow no ranking windows, so candidates of an event are sorted in
-    an array; the catalogue bounds its length.
+    The catalogue is gathered to one row of routes a key; an event looks up its
+    four keys and ranks what it finds inside its own row.
     """
-    scored = routing.score_events(events, routes)
-    n = F.when(F.col("n_fields") > 0, F.col("n_fields")).otherwise(9999)
-    ranked = scored.groupBy("event_id").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), n.alias("n"), "form_id"))), 1, k).alias("best")
-    )
-    return ranked.select("event_id", F.posexplode("best").alias("pos", "b")).select(
-        "event_id", (F.col("pos") + 1).alias("place"), F.col("b.form_id").alias("form_id"), (-F.col("b.neg")).alias("score")
-    )
+    return routing.top_forms_in_row(events, routes, k)
+
 
+def vote_stream(votes: DataFrame, late: str = "1 hour", keep_hours: float = 24 * 90) -> DataFrame:
+    """Consensus on each key as votes come in (update mode).
 
-def latest_votes(votes: DataFrame) -> DataFrame:
-    """Latest vote per (key, voter); the consensus is taken over these."""
-    return votes.groupBy("key", "voter").agg(
-        F.max(F.struct("ts", "event_id", "verdict")).alias("v")
-    ).select("key", "voter", "v.verdict", "v.ts", "v.event_id")
+    A vote that is delivered again counts once (by event id, within ``late``);
+    the latest of each voter counts, whatever batch brought it.  Keys without a
+    vote for ``keep_hours`` are forgotten.
+    """
+    with_state_store(votes.sparkSession)
+    once = _timed(votes, late, "key", "voter", "event_id", "verdict").dropDuplicatesWithinWatermark(["event_id"])
+    panel = Panel(int(keep_hours * 3_600_000))
+    counted = once.groupBy("key").transformWithStateInPandas(panel, "key bigint, n_major bigint, n_minor bigint", "Update", "EventTime")
+    return counted.withColumn("status", reports.consensus_status())
 
 
 def guard_messages(messages: DataFrame, forms, authorities: DataFrame) -> DataFrame:
