@@ -2,17 +2,22 @@
 
 Keeping the best and dropping what conflicts with it, walking down a list, has
 one well-defined result: a row is dropped exactly when some earlier row that
-was kept conflicts with it.  Each round below settles every row whose earlier
-conflicts are all settled, for all pages at once, so neither a crowded page nor
-a long list ends up in one task.  Rounds work on conflicting pairs only.
+was kept conflicts with it.  A round settles every row whose earlier conflicts
+are all settled, for all pages at once.  After a few rounds the conflicts left
+are cut into components, which know nothing of one another: each is walked in
+its order by one task.  All of it works on conflicting pairs only.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Sequence
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
@@ -21,25 +26,69 @@ from formloom.operators.pairs import BOX, PAGE, Reach, page_pairs
 from formloom.session import cut_lineage
 
 
+#: Edges of a component that one task walks; rounds cut larger ones apart.
+WALKED_EDGES = 200_000
+#: Rounds before components are looked for: most conflicts are shallow.
+ROUNDS_FIRST = 2
+
+
 def dropped_by_better(edges: DataFrame) -> DataFrame:
     """Nodes dropped when conflicts are settled from the best down.
 
     ``edges`` has struct columns ``hi`` and ``lo``: of two conflicting nodes
     ``hi`` comes first.  Returns distinct ``node``.
+
+    A round settles what nothing unsettled stands before, which ends most
+    conflicts.  What is left falls into components; each is walked once in its
+    order, by one task, so a long chain costs the logarithm of its length in
+    jobs.  Components of more than ``WALKED_EDGES`` go through further rounds,
+    which break them up.
     """
     edges = cut_lineage(edges.select("hi", "lo").distinct())
-    gone: DataFrame | None = None
+    gone = edges.select(F.col("lo").alias("node")).limit(0)
     while not edges.isEmpty():
-        beaten = edges.select(F.col("lo").alias("node")).distinct()
-        safe = edges.join(beaten, F.col("hi") == F.col("node"), "left_anti")
-        lost = cut_lineage(safe.select(F.col("lo").alias("node")).distinct())
-        gone = lost if gone is None else gone.unionByName(lost)
-        edges = cut_lineage(
-            edges.join(lost, F.col("lo") == F.col("node"), "left_anti").join(
-                lost, F.col("hi") == F.col("node"), "left_anti"
-            )
-        )
-    return gone if gone is not None else edges.select(F.col("lo").alias("node"))
+        for _ in range(ROUNDS_FIRST):
+            beaten = edges.select(F.col("lo").alias("node")).distinct()
+            safe = edges.join(beaten, F.col("hi") == F.col("node"), "left_anti")
+            lost = cut_lineage(safe.select(F.col("lo").alias("node")).distinct())
+            gone = gone.unionByName(lost)
+            edges = cut_lineage(edges.join(lost, F.col("lo") == F.col("node"), "left_anti").join(lost, F.col("hi") == F.col("node"), "left_anti"))
+        if edges.isEmpty():
+            break
+        whole, edges = _by_component(edges, F.col("hi"), F.col("hi"), F.col("lo"))
+        schema = StructType([StructField("node", whole.schema["lo"].dataType)])
+        walked = whole.groupBy("root").applyInArrow(_walk_conflicts, schema)
+        gone = gone.unionByName(cut_lineage(walked))
+    return gone
+
+
+def _walk_conflicts(table: pa.Table) -> pa.Table:
+    """The nodes dropped in one component: a node is judged when all that come
+    before it are."""
+    hi, lo = ([tuple(node.values()) for node in table.column(side).to_pylist()] for side in ("hi", "lo"))
+    before, after = Counter(lo), defaultdict(list)
+    for a, b in zip(hi, lo):
+        after[a].append(b)
+    ready, gone = [a for a in after if not before[a]], set()
+    while ready:
+        node = ready.pop()
+        for other in after.get(node, ()):
+            if node not in gone:
+                gone.add(other)
+            before[other] -= 1
+            if not before[other]:
+                ready.append(other)
+    first = {node: i for i, node in enumerate(lo) if node in gone}
+    return pa.table({"node": table.column("lo").take(pa.array(first.values(), pa.int64()))})
+
+
+def _by_component(rows: DataFrame, at: Column, u: Column, v: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with the ``root`` of their component over links ``u, v`` (found by
+    their node ``at``), and the rows of components too large to walk."""
+    roots = cut_lineage(connected_components(rows.select(u.alias("u"), v.alias("v"))))
+    named = cut_lineage(rows.join(roots, at == F.col("node")).drop("node"))
+    large = named.groupBy("root").agg(F.count("*").alias("_n")).where(F.col("_n") > WALKED_EDGES).select("root")
+    return named.join(large, "root", "left_anti"), cut_lineage(named.join(large, "root", "left_semi").drop("root"))
 
 
 def _conflicts(
@@ -269,12 +318,16 @@ def mutual_best(pairs: DataFrame) -> DataFrame:
 def iou_match(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
     """Greedy one-to-one matching by (IoU descending, a_id, b_id).
 
-    A pair that is best for both ends is taken by the greedy walk whatever the
-    other pairs are, so rounds of mutual-best picks give the same matching.
+    A pair that is best for both its ends is taken by the greedy walk whatever
+    the other pairs are.  A round takes those, the rest falls into components of
+    boxes, and each is walked once in its order by one task.  Components of more
+    than ``WALKED_EDGES`` pairs go through further rounds.
     """
     wa = Window.partitionBy(*PAGE, "a_id")
     wb = Window.partitionBy(*PAGE, "b_id")
     open_pairs = candidate_matches(a, b, threshold)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in open_pairs.schema)
+    ends = [F.struct(*PAGE, F.lit(side).alias("side"), F.col(c).alias("id")) for side, c in enumerate(("a_id", "b_id"))]
     done: DataFrame | None = None
     while True:
         state = (
@@ -290,6 +343,20 @@ def iou_match(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
         open_pairs = state.where(~F.col("chosen")).drop("chosen")
         if open_pairs.isEmpty():
             return done
+        whole, open_pairs = _by_component(open_pairs, ends[0], *ends)
+        done = done.unionByName(cut_lineage(whole.groupBy("root").applyInPandas(_walk_matches, schema)))
+
+
+def _walk_matches(pairs: pd.DataFrame) -> pd.DataFrame:
+    """One component's pairs from the best down, each end taken once."""
+    pairs = pairs.sort_values(["iou", "a_id", "b_id"], ascending=[False, True, True])
+    left, right, keep = set(), set(), []
+    for x, y in zip(pairs["a_id"], pairs["b_id"]):
+        keep.append(x not in left and y not in right)
+        if keep[-1]:
+            left.add(x)
+            right.add(y)
+    return pairs.loc[keep].drop(columns="root")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -313,11 +380,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
         linked = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return linked.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
+    seen = None
     while True:
         after = cut_lineage(small_star(large_star(edges)))
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        digest = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if digest == seen:
             break
-        edges = after
+        edges, seen = after, digest
     roots = after.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
     tops = after.select(F.col("v").alias("node")).distinct().join(roots, "node", "left_anti")
     return roots.unionByName(tops.withColumn("root", F.col("node")))

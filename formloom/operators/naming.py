@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -202,25 +203,46 @@ def conditional_sections(fields: DataFrame) -> DataFrame:
     ``<base>_enabler`` for the names under its base.
 
     The longest gate claims its fields first; one left with fewer than two
-    gives them up to the next shorter.  Each round settles every gate that no
-    longer one stands before, in all forms at once.
+    gives them up to the next shorter.  Gates that share fields form a
+    component, and each component is walked once in that order by one task;
+    components of too many pairs are cut by rounds, each of which settles every
+    gate that no longer one stands before.
     """
+    from formloom.operators.greedy import _by_component
+
     ids = fields.select("form_id", "field_id").distinct()
-    candidates = section_candidates(ids)
-    open_edges = cut_lineage(candidates)
-    claimed: DataFrame | None = None
+    open_edges = cut_lineage(section_candidates(ids))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in open_edges.schema)
+    ends = [F.struct("form_id", F.lit(side).alias("side"), F.col(c).alias("name")) for side, c in enumerate(("gate", "child"))]
+    claimed = open_edges.limit(0)
     child = Window.partitionBy("form_id", "child")
     gate = Window.partitionBy("form_id", "gate")
     first = F.struct(F.length("gate").alias("len"), F.col("gate").alias("gate"))
     while not open_edges.isEmpty():
+        whole, open_edges = _by_component(open_edges, ends[0], *ends)
+        claimed = claimed.unionByName(cut_lineage(whole.groupBy("root").applyInPandas(_walk_gates, schema)))
+        if open_edges.isEmpty():
+            break
         state = open_edges.withColumn("_top", first == F.max(first).over(child))
         state = state.withColumns({"_ready": F.min("_top").over(gate), "_n": F.count("*").over(gate)})
         state = state.withColumn("_claim", F.col("_ready") & (F.col("_n") >= 2))
         state = cut_lineage(state.withColumn("_taken", F.max("_claim").over(child)))
-        won = state.where("_claim").select("form_id", "gate", "child")
-        claimed = won if claimed is None else claimed.unionByName(won)
+        claimed = claimed.unionByName(state.where("_claim").select("form_id", "gate", "child"))
         open_edges = state.where(~F.col("_ready") & ~F.col("_taken")).select("form_id", "gate", "child")
-    return claimed if claimed is not None else candidates
+    return claimed
+
+
+def _walk_gates(edges: pd.DataFrame) -> pd.DataFrame:
+    """What each gate of one component claims, the longest name first."""
+    taken: set[str] = set()
+    won = []
+    groups = sorted(edges.groupby("gate"), key=lambda g: (len(g[0]), g[0].encode()), reverse=True)
+    for _, own in groups:
+        free = own[~own["child"].isin(taken)]
+        if len(free) >= 2:
+            taken |= set(free["child"])
+            won.append(free)
+    return pd.concat(won)[["form_id", "gate", "child"]] if won else edges.iloc[:0][["form_id", "gate", "child"]]
 
 
 def section_candidates(ids: DataFrame) -> DataFrame:

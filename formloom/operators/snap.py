@@ -1,17 +1,20 @@
 """Moving widgets onto what is printed: rules, boxes, cells and margins.
 
-Every operator proposes new rectangles from the rectangles it is given; none
-changes its input while scanning, so results do not depend on visiting order.
+Operators propose new rectangles from the rectangles they are given and do not
+change their input while scanning, so results do not depend on visiting order;
+``shrink_tall_in_order`` is the one ordered pass.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.operators.detect import clustered_positions
+from formloom.operators.greedy import connected_components
 from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
 from formloom.session import cut_lineage
 
@@ -358,15 +361,7 @@ def shrink_tall(
         id_cols=WIDGET,
         reads=("field_id",),
     )
-    ov = F.greatest(F.lit(0.0), G.overlap_x(a, b))
-    near = page_pairs(
-        tall,
-        rules.where(F.col("x1") - F.col("x0") >= 20).select(*PAGE, "rule_id", *BOX),
-        b.y0.between(a.y0 - 20, a.y1 + 5)
-        & ((ov >= 0.05 * G.width(a)) | (ov >= 0.5 * G.width(b)))
-        & (G.width(b) <= max_share * G.width(a)),
-        reach=Reach(0, 20, 0, 5),
-    ).select(*WIDGET, F.col("r_rule_id").alias("rule_id"), *[F.col("r_" + c).alias(c) for c in BOX])
+    near = _short_rules(tall, rules, max_share)
     # a rule within 2 pt of another widget's bottom is that widget's own,
     # wherever it stands across the page
     bottoms = on_y_axis(slim.select(*PAGE, "rect_id", F.col("y1").alias("y0"), "y1"))
@@ -389,6 +384,145 @@ def shrink_tall(
     )
 
 
+def _short_rules(tall: DataFrame, rules: DataFrame, max_share: float) -> DataFrame:
+    """Short rules near the bottom or top of a widget, with their boxes."""
+    a, b = G.box(), G.box("r_")
+    ov = F.greatest(F.lit(0.0), G.overlap_x(a, b))
+    return page_pairs(
+        tall,
+        rules.where(F.col("x1") - F.col("x0") >= 20).select(*PAGE, "rule_id", *BOX),
+        b.y0.between(a.y0 - 20, a.y1 + 5)
+        & ((ov >= 0.05 * G.width(a)) | (ov >= 0.5 * G.width(b)))
+        & (G.width(b) <= max_share * G.width(a)),
+        reach=Reach(0, 20, 0, 5),
+    ).select(*WIDGET, F.col("r_rule_id").alias("rule_id"), *[F.col("r_" + c).alias(c) for c in BOX])
+
+
+def shrink_tall_in_order(
+    widgets: DataFrame,
+    rules: DataFrame,
+    min_area: float = 100.0,
+    min_y: float = 2.0,
+    min_taller: float = 12.0,
+    max_share: float = 0.5,
+    height: float = 12.0,
+) -> DataFrame:
+    """``shrink_tall`` as an ordered pass: pairs of a page are visited by
+    (rect_id, rect_id), and later pairs see the rectangles that earlier ones
+    moved, both as partners and as owners of rules.
+
+    ``min_taller`` is at least ``height``: a moved widget is ``height`` high and
+    so never moves again, and where it can go is known beforehand.  The pass is therefore fed with candidates only: pairs
+    that can meet in a given or a moved place, and rules that no widget which
+    stays owns.  Widgets that can affect one another form a component, and each
+    component is one ordered pass in one task.
+    """
+    if min_taller < height:
+        raise ValueError("min_taller has to be at least height")
+    a, b = G.box(), G.box("r_")
+    slim = _widgets(widgets, "field_id")
+    high = slim.where(F.col("y1") - F.col("y0") >= min_taller)
+    near = cut_lineage(_short_rules(high, rules, max_share))
+    moved = near.join(slim.select(*WIDGET, "field_id"), list(WIDGET)).select(
+        *WIDGET, "field_id", "x0", (F.col("y1") - height).alias("y0"), "x1", "y1"
+    )
+    stands = slim.select(*WIDGET, "field_id", *BOX).unionByName(moved).distinct()
+    meets = (
+        page_pairs(
+            high.join(near.select(*WIDGET).distinct(), list(WIDGET), "left_semi").select(*WIDGET, "field_id", *BOX),
+            stands,
+            (F.col("field_id") != F.col("r_field_id"))
+            & (F.col("rect_id") != F.col("r_rect_id"))
+            & (G.overlap_y(a, b) >= min_y)
+            & (G.overlap_x(a, b) > 0)
+            & (G.overlap_area(a, b) >= min_area)
+            & (G.height(a) - G.height(b) >= min_taller),
+        )
+        .select(*WIDGET, F.col("r_rect_id").alias("other_id"))
+        .distinct()
+    )
+    meets = cut_lineage(meets)
+    movable = meets.select(*WIDGET).distinct()
+    near = near.join(movable, list(WIDGET), "left_semi")
+    # Owners of a rule: a bottom within 2 pt of the rule's, anywhere on the page.
+    bottoms = stands.select(*PAGE, "rect_id", F.col("y1").alias("y0"), "y1").distinct()
+    owners = (
+        page_pairs(
+            on_y_axis(near.select(*WIDGET, "rule_id", "y0", "y1")),
+            on_y_axis(bottoms),
+            (F.abs(F.col("r_y1") - F.col("y1")) < 2) & (F.col("r_rect_id") != F.col("rect_id")),
+            reach=Reach(0, 2, 0, 2),
+        )
+        .select(*WIDGET, "rule_id", F.col("r_rect_id").alias("other_id"))
+        .distinct()
+    )
+    others = movable.select(*PAGE, F.col("rect_id").alias("other_id"))
+    staying = owners.join(others, [*PAGE, "other_id"], "left_anti").select(*WIDGET, "rule_id").distinct()
+    near = cut_lineage(near.join(staying, [*WIDGET, "rule_id"], "left_anti"))
+    links = owners.select(*WIDGET, "other_id").unionByName(meets).join(others, [*PAGE, "other_id"], "left_semi")
+    node = lambda c: F.struct(*PAGE, F.col(c).alias("rect_id"))
+    roots = connected_components(links.select(node("rect_id").alias("u"), node("other_id").alias("v")))
+    roots = roots.select(*[F.col(f"node.{c}").alias(c) for c in WIDGET], F.col("root.rect_id").alias("root"))
+    home = cut_lineage(movable.join(roots, list(WIDGET), "left").withColumn("root", F.coalesce("root", "rect_id")))
+
+    # One table for the pass: movable widgets, partners that stay, rules.
+    boxes = slim.select(*WIDGET, "field_id", *BOX)
+    asked = F.col("rect_id")  # never null, so ids stay whole numbers
+    own = home.join(boxes, list(WIDGET)).select(*PAGE, "root", F.lit("movable").alias("kind"), "rect_id", asked.alias("other_id"), "field_id", *BOX)
+    partner = meets.join(others, [*PAGE, "other_id"], "left_anti").join(home, list(WIDGET))
+    partner = partner.join(boxes.select(*PAGE, F.col("rect_id").alias("other_id"), "field_id", *BOX), [*PAGE, "other_id"])
+    partner = partner.select(*PAGE, "root", F.lit("partner").alias("kind"), "rect_id", "other_id", "field_id", *BOX)
+    line = near.join(home, list(WIDGET)).select(*PAGE, "root", F.lit("rule").alias("kind"), "rect_id", asked.alias("other_id"), F.lit(None).cast("string").alias("field_id"), *BOX)
+    together = meets.join(others, [*PAGE, "other_id"], "left_semi").join(home, list(WIDGET))
+    pair = together.select(*PAGE, "root", F.lit("pair").alias("kind"), "rect_id", "other_id", F.lit(None).cast("string").alias("field_id"), *[F.lit(None).cast("double").alias(c) for c in BOX])
+    text = F.col("field_id").cast("string")
+    fed = own.withColumn("field_id", text).unionByName(partner.withColumn("field_id", text)).unionByName(line).unionByName(pair)
+    ordered = _OrderedShrink(min_area, min_y, min_taller, height)
+    kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in WIDGET), *(f"{c} double" for c in BOX)])
+    return fed.groupBy(*PAGE, "root").applyInPandas(ordered, schema)
+
+
+class _OrderedShrink:
+    """The pass over one component of ``shrink_tall_in_order``."""
+
+    def __init__(self, min_area: float, min_y: float, min_taller: float, height: float):
+        self.min_area, self.min_y, self.min_taller, self.height = min_area, min_y, min_taller, height
+
+    def _crash(self, one, two) -> bool:
+        down = min(one[3], two[3]) - max(one[1], two[1])
+        across = min(one[2], two[2]) - max(one[0], two[0])
+        taller = abs((one[3] - one[1]) - (two[3] - two[1]))
+        return down >= self.min_y and across > 0 and down * across >= self.min_area and taller >= self.min_taller
+
+    def __call__(self, part: pd.DataFrame) -> pd.DataFrame:
+        rows = {kind: list(own.itertuples(index=False)) for kind, own in part.groupby("kind")}
+        box = lambda r: (r.x0, r.y0, r.x1, r.y1)
+        now = {r.rect_id: box(r) for r in rows.get("movable", ())}
+        names = {r.rect_id: r.field_id for r in rows.get("movable", ())}
+        for r in rows.get("partner", ()):
+            now[r.other_id], names[r.other_id] = box(r), r.field_id
+        lines: dict = {}
+        for r in rows.get("rule", ()):
+            lines.setdefault(r.rect_id, []).append(box(r))
+        movable = {r.rect_id for r in rows.get("movable", ())}
+        visits = {tuple(sorted((r.rect_id, r.other_id))) for kind in ("partner", "pair") for r in rows.get(kind, ())}
+        out = {}
+        for i, j in sorted(visits):
+            if names[i] == names[j] or not self._crash(now[i], now[j]):
+                continue
+            tall = i if now[i][3] - now[i][1] > now[j][3] - now[j][1] else j
+            if tall not in movable or tall in out:
+                continue
+            free = [x for x in lines.get(tall, ()) if not any(k != tall and abs(x[3] - now[k][3]) < 2 for k in movable)]
+            if len(free) == 1:
+                x0, _, x1, y1 = free[0]
+                out[tall] = now[tall] = (x0, y1 - self.height, x1, y1)
+        page = part.iloc[0]
+        made = pd.DataFrame([(page["form_id"], page["page"], k, *v) for k, v in out.items()], columns=[*WIDGET, *BOX])
+        return made
+
+
 def modal_value(df: DataFrame, keys, value: Column, name: str = "mode") -> DataFrame:
     """Most common value per group; the smaller one wins a tie."""
     counts = df.groupBy(*keys, value.alias("_v")).agg(F.count("*").alias("n"))

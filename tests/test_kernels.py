@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from formloom.operators import greedy, naming, ranking, reports
+from formloom.operators import greedy, naming, ranking, reports, snap
 
 BOXES = "form_id int, page int, rect_id int, x0 double, y0 double, x1 double, y1 double"
 
@@ -63,6 +63,97 @@ def test_stacked_boxes_need_no_pairs(spark):
     assert [r.rect_id for r in greedy.dedupe_fields(df).collect()] == [0]
 
 
+def jobs_of(spark, name, run):
+    """What ``run`` gives, and the number of jobs it took."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_long_chain_of_overlapping_boxes(spark):
+    """Each box overlaps the next only, so the walk keeps every other one."""
+    n = 2000
+    df = spark.range(n).selectExpr("0L AS form_id", "0 AS page", "id AS rect_id", "id * 4.0D AS x0", "0.0D AS y0", "id * 4.0D + 10 AS x1", "10.0D AS y1", "id AS source_rank", "1 - id / 10000D AS confidence")
+    kept, jobs = jobs_of(spark, "nms", lambda: sorted(r.rect_id for r in greedy.nms(df, 0.4).collect()))
+    assert kept == list(range(0, n, 2)) and jobs < 150
+    kept, jobs = jobs_of(spark, "dedupe", lambda: sorted(r.rect_id for r in greedy.dedupe_fields(df).collect()))
+    assert kept == list(range(0, n, 2)) and jobs < 150
+    shifted = df.selectExpr("form_id", "page", "rect_id", "x0 + rect_id * 0.0005 + 1.9 AS x0", "y0", "x1 + rect_id * 0.0005 + 1.9 AS x1", "y1")
+    pairs = {(r.a_id, r.b_id): r.iou for r in greedy.candidate_matches(df, shifted, 0.5).collect()}
+    used_a, used_b, want = set(), set(), set()
+    for i, j in sorted(pairs, key=lambda p: (-pairs[p], p)):
+        if i not in used_a and j not in used_b:
+            used_a.add(i), used_b.add(j)
+            want.add((i, j))
+    got, jobs = jobs_of(spark, "match", lambda: {(r.a_id, r.b_id) for r in greedy.iou_match(df, shifted, 0.5).collect()})
+    assert got == want and jobs < 200
+
+
+@pytest.mark.parametrize("walked", [0, 3])
+def test_components_too_large_to_walk_go_by_rounds(spark, monkeypatch, walked):
+    monkeypatch.setattr(greedy, "WALKED_EDGES", walked)
+    test_nms_is_the_greedy_walk(spark, 7)
+    test_iou_match_is_the_greedy_walk(spark, 1)
+    test_conditional_sections(spark)
+
+
+def shrunk(rects, rules, height=12.0):
+    """The plain walk over the pairs of one page."""
+    now, out = {i: r for i, _, r in rects}, {}
+    names = {i: n for i, n, _ in rects}
+    ids = sorted(now)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            a, b = now[i], now[j]
+            down, across = min(a[3], b[3]) - max(a[1], b[1]), min(a[2], b[2]) - max(a[0], b[0])
+            if names[i] == names[j] or down < 2 or across <= 0 or down * across < 100 or abs((a[3] - a[1]) - (b[3] - b[1])) < 12:
+                continue
+            tall = i if a[3] - a[1] > b[3] - b[1] else j
+            t, free = now[tall], []
+            for x0, y0, x1, y1 in rules:
+                shared = max(0.0, min(x1, t[2]) - max(x0, t[0]))
+                near = x1 - x0 >= 20 and t[1] - 20 <= y0 <= t[3] + 5 and (shared >= 0.05 * (t[2] - t[0]) or shared >= 0.5 * (x1 - x0)) and x1 - x0 <= 0.5 * (t[2] - t[0])
+                if near and not any(m != tall and abs(y1 - r[3]) < 2 for m, r in now.items()):
+                    free.append((x0, y0, x1, y1))
+            if len(free) == 1:
+                x0, _, x1, y1 = free[0]
+                out[tall] = now[tall] = (x0, y1 - height, x1, y1)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_ordered_shrink_is_the_walk(spark, seed):
+    r = random.Random(seed)
+    rects, rules = [], []
+    for page in range(8):
+        for i in range(r.randrange(3, 14)):
+            x, y = r.randrange(0, 160, 10), r.randrange(0, 160, 6)
+            rects.append((0, page, page * 100 + i, f"f{r.randrange(9)}", float(x), float(y), float(x + r.randrange(30, 200)), float(y + r.choice([8, 10, 12, 30, 40, 60]))))
+        for i in range(r.randrange(2, 9)):
+            x, y = r.randrange(0, 200, 10), r.randrange(0, 220, 5)
+            rules.append((0, page, page * 100 + i, float(x), float(y), float(x + r.randrange(15, 80)), float(y + 1)))
+    want = {}
+    for page in range(8):
+        want |= shrunk([(x[2], x[3], x[4:]) for x in rects if x[1] == page], [x[3:] for x in rules if x[1] == page])
+    df = spark.createDataFrame(rects, "form_id int, page int, rect_id bigint, field_id string, x0 double, y0 double, x1 double, y1 double")
+    lines = spark.createDataFrame(rules, "form_id int, page int, rule_id bigint, x0 double, y0 double, x1 double, y1 double")
+    got = {x.rect_id: (x.x0, x.y0, x.x1, x.y1) for x in snap.shrink_tall_in_order(df, lines).collect()}
+    assert got == want
+
+
+def test_later_pairs_see_moved_rectangles(spark):
+    """A chain of three: the first move frees the rule of the second widget."""
+    rects = [(0, 0, 1, "a", 0.0, 0.0, 200.0, 50.0), (0, 0, 2, "b", 100.0, 20.0, 300.0, 32.0), (0, 0, 3, "c", 250.0, 0.0, 500.0, 60.0)]
+    rules = [(0, 0, 1, 20.0, 40.0, 60.0, 41.0), (0, 0, 2, 300.0, 49.5, 360.0, 50.5)]
+    df = spark.createDataFrame(rects, "form_id int, page int, rect_id bigint, field_id string, x0 double, y0 double, x1 double, y1 double")
+    lines = spark.createDataFrame(rules, "form_id int, page int, rule_id bigint, x0 double, y0 double, x1 double, y1 double")
+    got = {x.rect_id: (x.x0, x.y0, x.x1, x.y1) for x in snap.shrink_tall_in_order(df, lines).collect()}
+    assert got == shrunk([(x[2], x[3], x[4:]) for x in rects], [x[3:] for x in rules]) and set(got) == {1, 3}
+    assert [x.rect_id for x in snap.shrink_tall(df, lines).collect()] == [1]
+
+
 def test_dedupe_keeps_the_most_confident(spark):
     rows = [(0, 0, 1, 0.0, 0.0, 10.0, 10.0, 0.5), (0, 0, 2, 3.0, 0.0, 13.0, 10.0, 0.9), (0, 0, 3, 6.0, 0.0, 16.0, 10.0, 0.7), (0, 0, 4, 9.0, 0.0, 19.0, 10.0, 0.6)]
     df = spark.createDataFrame(rows, BOXES + ", confidence double")

@@ -22,6 +22,7 @@ WALKS = {
     "radio_groups": "test_radio_groups_follow_leaders",
     "drawn_tables": "test_drawn_tables",
     "conditional_sections": "test_conditional_sections",
+    "shrink_tall_in_order": "test_ordered_shrink_is_the_walk",
     "improvement_status": "test_improvement_status",
     "html_to_text": "test_page_text",
     "wrap_lines": "test_wrap_and_address",

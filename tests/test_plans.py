@@ -10,7 +10,7 @@ from formloom.plans import registry
 
 registry.load()
 
-ITERATIVE = {"iou_match", "nms", "dedupe_fields", "radio_groups", "precision_recall", "match_stats", "conditional_sections", "proximity_components", "split_groups"}
+ITERATIVE = {"iou_match", "nms", "dedupe_fields", "radio_groups", "precision_recall", "match_stats", "conditional_sections", "proximity_components", "split_groups", "shrink_tall_in_order"}
 
 
 def plan_of(df):
