@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from formloom.operators import rule_tables as tables
 from formloom.operators import validation as val
 from formloom.plans.records import LINES, TOTAL, _line_answers
 from formloom.plans.registry import query
@@ -166,7 +167,7 @@ SELECT record_id, form_id, count(*) FILTER (s = 'error') AS n_error, count(*) FI
 )
 def error_counts(t: Tables):
     r = val.Rule
-    return val.error_counts(val.validate(t.answer, [r("total", "currency"), r("order_date", "date"), r("status", "bar_number")]))
+    return val.error_counts(val.validate(t.answer, [r("total", "currency"), r("order_date", "date"), r("status", "bar_number", ("ME",))]))
 
 
 GUIDE = """SELECT form_id, seq, CASE WHEN data_type = 'date' THEN 'MM/DD/YYYY' WHEN data_type = 'currency' THEN '0,000.00' WHEN data_type IN ('choice', 'boolean') THEN 'check one' ELSE 'free text' END AS format,
@@ -212,17 +213,86 @@ def stale_projection(t: Tables):
 
 @query(
     uses="answer",
-    sql=f"""{LINES} SELECT target, input, count(*) AS n_records FROM (SELECT 'grand_total' AS target, 'row_' || CAST(k AS VARCHAR) || '_amount' AS input, record_id FROM li
-  UNION ALL SELECT 'net', 'grand_total', record_id FROM tot) GROUP BY ALL""",
+    sql=f"""{LINES}, e AS (SELECT 'grand_total' AS target, 'row_' || CAST(k AS VARCHAR) || '_amount' AS input FROM range(1, 8) t(k) UNION ALL VALUES ('net', 'grand_total'), ('share', 'row_1_amount'), ('share', 'net')),
+u AS (SELECT 'row_' || CAST(k AS VARCHAR) || '_amount' AS input, record_id FROM li UNION ALL SELECT 'grand_total', record_id FROM tot)
+SELECT target, e.input, count(record_id) AS n_records FROM e LEFT JOIN u ON e.input = u.input GROUP BY ALL""",
 )
 def formula_inputs(t: Tables):
-    """Edges from formula targets to the fields they read, with their use."""
+    """Edges from formula targets to the fields they read, with their use; an
+    input that no record holds has none."""
     from formloom.plans.records import FORMULAS
 
-    pairs = [(target, i) for target, tree in FORMULAS.items() for i in val.formula_inputs(tree) if target in ("grand_total", "net")]
+    pairs = [(target, i) for target, tree in FORMULAS.items() for i in val.formula_inputs(tree)]
     edges = t.spark.createDataFrame(pairs, "target string, input string")
     used = _line_answers(t).groupBy(F.col("field_id").alias("input")).agg(F.count("*").alias("n_records"))
-    return edges.join(used, "input").select("target", "input", "n_records")
+    return edges.join(used, "input", "left").select("target", "input", F.coalesce("n_records", F.lit(0)).alias("n_records"))
+
+
+#: Rules and patterns as rows: for all forms, for one, and by a name that is not there.
+RULE_ROWS = (
+    (None, "total", "currency", ["50000", "400000"]),
+    (None, "order_date", "date", []),
+    (None, "status", "value_in", ["O", "F"]),
+    (None, "total", "value_range", ["1000", "250000"]),
+    (None, "status", "equals_field", ["priority", "relaxed"]),
+    (None, "order_date", "date_order", ["due_date", "<"]),
+    ("FX-003", "priority", "regex_match", ["urgent"]),
+    ("FX-005", "priority", "regex_match", ["not_there"]),
+    (None, "status", "bar_number", ["ME"]),
+    (None, "status", "docket_number", ["XX"]),
+)
+PATTERN_ROWS = (("urgent", "^1-"), ("bar_number:ME", r"^\d{2,6}$"), ("docket_number:ME", "^[A-Z]"))
+
+
+@query(
+    uses="answer",
+    sql=WIDE + " " + " UNION ALL ".join([
+        _v("total", "bad_currency", f"total <> '' AND NOT regexp_matches(trim(total), {MONEY})"),
+        _v("total", "below_min", f"total <> '' AND regexp_matches(trim(total), {MONEY}) AND CAST(total AS DOUBLE) < 50000"),
+        _v("total", "above_max", f"total <> '' AND regexp_matches(trim(total), {MONEY}) AND CAST(total AS DOUBLE) > 400000"),
+        _v("order_date", "impossible_date", "d = '2024-02-31'"),
+        _v("status", "value_not_in_choices", "st <> '' AND lower(st) NOT IN ('o', 'f')"),
+        _v("total", "value_range_unparseable", "total <> '' AND TRY_CAST(regexp_replace(total, '[$,%]', '', 'g') AS DECIMAL(18,2)) IS NULL"),
+        _v("total", "value_below_range", "TRY_CAST(regexp_replace(nullif(total, ''), '[$,%]', '', 'g') AS DECIMAL(18,2)) < 1000"),
+        _v("total", "value_above_range", "TRY_CAST(regexp_replace(nullif(total, ''), '[$,%]', '', 'g') AS DECIMAL(18,2)) > 250000"),
+        _v("status", "field_mismatch", "st <> '' AND pr <> '' AND regexp_replace(lower(st), '[^a-z0-9 ]+', '', 'g') <> regexp_replace(lower(pr), '[^a-z0-9 ]+', '', 'g')"),
+        _v("order_date", "date_order_unparseable", "d <> '' AND TRY_CAST(d AS DATE) IS NULL"),
+        _v("order_date", "date_order_violation", "TRY_CAST(d AS DATE) >= DATE '1996-01-01'"),
+        _v("priority", "regex_match_failed", "form_id = 'FX-003' AND pr <> '' AND NOT starts_with(pr, '1-')"),
+        _v("priority", "regex_match_unknown_pattern", "form_id = 'FX-005' AND pr <> ''"),
+        _v("status", "bad_bar_number", "st <> ''", "warn"),
+    ]),
+)
+def validate_by_table(t: Tables):
+    """Rules and patterns as tables; every record is due on one day."""
+    due = t.answer.select("record_id", "form_id").distinct().select("record_id", "form_id", F.lit("due_date").alias("field_id"), F.lit("1996-01-01").alias("value"))
+    rules = t.spark.createDataFrame(list(RULE_ROWS), tables.RULES)
+    patterns = t.spark.createDataFrame(list(PATTERN_ROWS), tables.PATTERNS)
+    return tables.validate_rows(t.answer.select("record_id", "form_id", "field_id", "value").unionByName(due), rules, patterns)
+
+
+FILL_ROWS = (
+    (None, "^total$", "0.00", 0.5, "no-total", 2),
+    ("FX-003", "^total$", "1.00", 0.9, "own-total", 1),
+    (None, "(^|_)date$", "2024-01-01", 0.7, "a-date", 1),
+    ("FX-005", "^status$", "", 0.7, "empty", 1),
+)
+
+
+@query(
+    uses="answer",
+    sql="""SELECT record_id, form_id, field_id, CASE WHEN coalesce(trim(value), '') <> '' THEN value WHEN field_id = 'total' AND form_id = 'FX-003' THEN '1.00' WHEN field_id = 'total' THEN '0.00' WHEN field_id = 'order_date' THEN '2024-01-01' ELSE value END AS value,
+  CAST(CASE WHEN coalesce(trim(value), '') <> '' THEN 0.6 WHEN field_id = 'total' AND form_id = 'FX-003' THEN 0.9 WHEN field_id = 'order_date' THEN 0.7 ELSE 0.6 END AS DOUBLE) AS confidence,
+  CASE WHEN coalesce(trim(value), '') <> '' THEN '' WHEN field_id = 'total' AND form_id = 'FX-003' THEN 'own-total' WHEN field_id = 'total' THEN 'no-total' WHEN field_id = 'order_date' THEN 'a-date' ELSE '' END AS methods
+FROM (SELECT record_id, form_id, field_id, CASE WHEN record_id % 3 > 0 THEN value END AS value FROM answer)""",
+)
+def fill_by_table(t: Tables):
+    blank = t.answer.select(
+        "record_id", "form_id", "field_id", F.when(F.col("record_id") % 3 > 0, F.col("value")).alias("value"), F.lit(0.6).alias("confidence"),
+        F.array().cast("array<struct<from:string,to:string,method:string>>").alias("provenance"),
+    )
+    filled = tables.fill_from_rows(blank, t.spark.createDataFrame(list(FILL_ROWS), tables.FILLS))
+    return filled.select("record_id", "form_id", "field_id", "value", "confidence", F.array_join("provenance.method", ",").alias("methods"))
 
 
 SLOTTED = """WITH f AS (SELECT form_id, CASE seq % 3 WHEN 0 THEN 'heir' WHEN 1 THEN 'asset' ELSE 'debt' END AS e, CASE WHEN size % 2 = 0 THEN 'desc' ELSE 'amount' END AS a, seq % 5 + 1 AS i, seq, size % 4 AS k FROM field),
