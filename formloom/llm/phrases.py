@@ -13,7 +13,8 @@ Method: level by level, a phrase can be frequent only if its parts are.
    double array.
 4. Tries are broadcast, ``TRIES_A_PASS`` at a time.  Each shard moves the states
    of all text positions at once through a trie with numpy, one word after the
-   other, and counts accepting states; sums over shards are exact counts.
+   other, and counts accepting states; the vectors of counts are summed over
+   shards and are exact.
 
 A word is a transition of two digits, so the alphabet of the array stays small.
 What is broadcast is bounded: a bitmap has ``2 ** BITMAP_BITS`` bits, and a pass
@@ -23,8 +24,10 @@ long text needs no more memory than many short ones.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -42,7 +45,7 @@ INSIDE_PERCENT = 50
 BITMAP_BITS = 26
 TRIE_PHRASES, TRIES_A_PASS = 1 << 20, 4
 #: Bytes of a chunk, hashes or words held by a task, words a worker remembers.
-CHUNK, HELD, REMEMBERED = 1 << 22, 1 << 21, 1 << 18
+CHUNK, HELD, REMEMBERED = 1 << 22, 1 << 22, 1 << 18
 NO_LANG = "und"
 
 # What ends a piece, and what parts words.
@@ -72,16 +75,24 @@ def chunks(text: bytes, halo: int) -> Iterator[tuple[list[bytes], int]]:
 
 def by_language(batches: Iterator[pa.RecordBatch], halo: int) -> Iterator[tuple[str, list[bytes], int]]:
     """Chunks of the texts of each language; columns are language and text."""
+    held: dict[str, list[bytes]] = {}
+    sizes: Counter = Counter()
+
+    def flush(lang):
+        joined = END.join(held.pop(lang)).translate(TABLE).replace(END, b" " + END + b" ")
+        del sizes[lang]
+        for words, own in chunks(joined, halo):
+            yield lang, words, own
+
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            texts: dict[str, list[bytes]] = {}
-            part = batch.slice(lo, 512)
-            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                texts.setdefault(lang, []).append(text.encode())
-            for lang, found in texts.items():
-                joined = END.join(found).translate(TABLE).replace(END, b" " + END + b" ")
-                for words, own in chunks(joined, halo):
-                    yield lang, words, own
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            lang, data = lang.as_py(), text.as_buffer().to_pybytes()
+            held.setdefault(lang, []).append(data)
+            sizes[lang] += len(data) + 1
+            if sizes[lang] >= CHUNK:
+                yield from flush(lang)
+    for lang in list(held):
+        yield from flush(lang)
 
 
 def _strings(values: list[bytes]) -> pa.Array:
@@ -137,7 +148,7 @@ class Words(dict):
 
     def __init__(self, lang: str):
         super().__init__()
-        self.seed, self.hashes = lang.encode() + b" ", []
+        self.seed, self.hashes = lang.encode() + b" ", array("Q")
 
     def __missing__(self, word: bytes) -> int:
         self[word] = at = len(self.hashes)
@@ -160,7 +171,7 @@ class Numbered:
             known = self.langs[lang] = Words(lang)
             known[END]
         ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        return ids, np.array(known.hashes, np.uint64).view(np.int64)[ids]
+        return ids, np.array(known.hashes).view(np.int64)[ids]
 
 
 def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -213,9 +224,11 @@ def _first_places(h: np.ndarray, ids: np.ndarray, size: int, places: np.ndarray)
     word, and what differs goes another round."""
     out = []
     while len(places):
-        _, first, group = np.unique(h[places], return_index=True, return_inverse=True)
-        out.append(places[first])
-        lead = places[first][group]
+        group, kinds = pd.factorize(h[places])
+        first = np.empty(len(kinds), np.int64)
+        first[group[::-1]] = places[::-1]
+        out.append(first)
+        lead = first[group]
         same = np.ones(len(places), bool)
         for k in range(size):
             same &= ids[places + k] == ids[lead + k]
@@ -256,25 +269,33 @@ class Trie:
 
     def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """States after a word, -1 where there is none."""
+        out = np.full(len(state), -1, np.int64)
         half = self.base[state] + (symbol >> self.bits)
-        ok = self.check[half] == state
-        whole = self.base[half] + (symbol & ((1 << self.bits) - 1))
-        return np.where(ok & (self.check[whole] == half), whole, -1)
-
-    def matches(self, lang: str, symbols: np.ndarray, own: int, most: int) -> Iterator[np.ndarray]:
-        """Numbers of the phrases that begin at the first ``own`` positions,
-        one array for each length."""
+        on = np.flatnonzero(self.check[half] == state)
+        half = half[on]
+        whole = self.base[half] + (symbol[on] & ((1 << self.bits) - 1))
+        found = self.check[whole] == half
+        out[on[found]] = whole[found]
+        return out
+
+    def first(self, lang: str, symbols: np.ndarray) -> np.ndarray:
+        """States after the language and each of these words."""
         start = self.symbols.get(b" " + lang.encode(), 0)
-        state = self.step(np.zeros(1, np.int64), np.full(1, start, np.int64))[0]
-        if state < 0:
-            return
-        padded = np.append(symbols, np.zeros(most, symbols.dtype))
-        places = np.flatnonzero(symbols[:own])
-        states = np.full(len(places), state, np.int64)
-        for k in range(most):
+        state = self.step(np.zeros(1, np.int64), np.full(1, start, np.int64))
+        return self.step(np.repeat(state, len(symbols)), symbols) if state[0] >= 0 else np.full(len(symbols), -1, np.int64)
+
+    def matches(self, first: np.ndarray, symbols: np.ndarray, ids: np.ndarray, own: int, most: int) -> Iterator[np.ndarray]:
+        """Numbers of the phrases that begin at the first ``own`` positions, one
+        array for each length.  ``ids`` are word numbers, ``symbols`` and
+        ``first`` the symbol and the first state of each number."""
+        states = first[ids[:own]]
+        places = np.flatnonzero(states >= 0)
+        states = states[places]
+        padded = np.append(symbols[ids], np.zeros(most, np.int64))
+        for k in range(1, most):
             states = self.step(states, padded[places + k])
             alive = states >= 0
-            places, states = places[alive], states[alive].astype(np.int64)
+            places, states = places[alive], states[alive]
             found = self.accept[states]
             yield found[found >= 0]
 
@@ -379,8 +400,16 @@ def _trie_of(row) -> Trie:
     return Trie(bytes(row["words"]).split(b"\n"), row["bits"], *arrays)
 
 
+#: Phrases whose counts travel together.
+SEGMENT = 4096
+
+
 def _trie_counts(texts: DataFrame, tries: list, most: int) -> DataFrame:
-    """``trie, number, n`` of the phrases of these tries, summed over shards."""
+    """``trie, number, n`` of the phrases of these tries, summed over shards.
+
+    A shard gives one vector of counts for each segment of a trie; a task takes
+    the vectors of some segments in turn and adds them up.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(tries)
 
     def count(batches):
@@ -392,18 +421,38 @@ def _trie_counts(texts: DataFrame, tries: list, most: int) -> DataFrame:
             vocabulary = numbered.langs[lang]
             for name, trie in opened.items():
                 # Words are looked up once for each trie; chunks take the rest.
-                store, symbols = known.get((name, lang), (None, None))
-                done = len(symbols) if store is vocabulary else 0
-                new = [trie.symbols.get(w, 0) for w in list(vocabulary)[done:]]
-                symbols = np.append(symbols[:done], np.array(new, np.int64)) if done else np.array(new, np.int64)
-                known[name, lang] = vocabulary, symbols
-                for found in trie.matches(lang, symbols[ids], own, most):
+                store, symbols, first = known.get((name, lang), (None, None, None))
+                if store is not vocabulary:
+                    symbols = first = np.zeros(0, np.int64)
+                new = np.array([trie.symbols.get(w, 0) for w in islice(vocabulary, len(symbols), None)], np.int64)
+                symbols, first = np.append(symbols, new), np.append(first, trie.first(lang, new))
+                known[name, lang] = vocabulary, symbols, first
+                for found in trie.matches(first, symbols, ids, own, most):
                     sums[name] += np.bincount(found, minlength=len(sums[name]))
-        for name, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), name, np.int64)), pa.array(at), pa.array(total[at])], names=["trie", "number", "n"])
+        rows = [(name, at // SEGMENT, total[at : at + SEGMENT]) for name, total in sums.items() for at in range(0, len(total), SEGMENT)]
+        rows = [r for r in rows if r[2].any()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].tobytes() for r in rows], pa.binary())], names=["trie", "segment", "counts"])
 
-    return texts.mapInArrow(count, "trie long, number long, n long").groupBy("trie", "number").agg(F.sum("n").alias("n"))
+    def add(batches):
+        last, total = None, None
+
+        def row():
+            at = np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), last[0], np.int64)), pa.array(at + last[1] * SEGMENT), pa.array(total[at])], names=["trie", "number", "n"])
+
+        for batch in batches:
+            for key, data in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2)):
+                counts = np.frombuffer(data.as_buffer(), np.int64)
+                if key != last:
+                    if last is not None:
+                        yield row()
+                    last, total = key, np.zeros(len(counts), np.int64)
+                total += counts
+        if last is not None:
+            yield row()
+
+    vectors = texts.mapInArrow(count, "trie long, segment long, counts binary").repartition("trie", "segment").sortWithinPartitions("trie", "segment")
+    return vectors.mapInArrow(add, "trie long, number long, n long")
 
 
 def phrase_counts(texts: DataFrame, words: DataFrame, least: int, most: int) -> DataFrame:

@@ -76,12 +76,14 @@ def test_a_double_array_holds_its_phrases_only(seed):
     used = trie.accept[trie.accept >= 0]
     assert sorted(used.tolist()) == list(range(len(held)))
     stream = [rng.choice([*words, b"unknown"]) for _ in range(4000)]
-    symbols = np.array([trie.symbols.get(w, 0) for w in stream], np.int64)
-    got = Counter(np.concatenate(list(trie.matches("en", symbols, 3000, 4))).tolist())
+    vocabulary = [*words, b"unknown"]
+    ids = np.array([vocabulary.index(w) for w in stream])
+    symbols = np.array([trie.symbols.get(w, 0) for w in vocabulary], np.int64)
+    got = Counter(np.concatenate(list(trie.matches(trie.first("en", symbols), symbols, ids, 3000, 4))).tolist())
     place = {p[1:]: i for i, p in enumerate(held)}
     want = Counter(place[t] for i in range(3000) for k in range(2, 5) if (t := tuple(stream[i : i + k])) in place)
     assert got == want
-    assert not list(trie.matches("de", symbols, 3000, 4))
+    assert not any(len(x) for x in trie.matches(trie.first("de", symbols), symbols, ids, 3000, 4))
 
 
 @pytest.mark.parametrize("size", [1, 7, 30, 1 << 22])
