@@ -5,8 +5,8 @@ and a metadata record that name it in WARC-Concurrent-To.  Reading gives one
 row per record; records are joined through the concurrent-to identifiers, and
 one nested row per capture comes out.
 
-Payloads are compared by SHA-1 and length before writing: the smallest page_id
-of equal payloads is the response, others are revisits that refer to it.
+Payloads are compared by SHA-1 before writing: the smallest page_id of equal
+payloads is the response, others are revisits that refer to it.
 Archives are gzip files (one member per record) that the tasks write to the
 shared folder through ``pyarrow.fs``.  A task gives back the files it finished;
 files of lost or repeated attempts are never in that list and so never read.
@@ -33,6 +33,8 @@ from .common import map_batches, shared_path, written
 #: Payload bytes after which a task starts its next archive, and the smallest
 #: payload that may be a revisit.
 ARCHIVE_BYTES, LEAST_REVISIT = 64 << 20, 0
+#: Shares of the captures that refer to one response.
+SALTS = 32
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of their own
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122, URLs
 
@@ -143,7 +145,8 @@ RECORDS = "record_id string, record_type string, concurrent_to string, refers_to
 
 def read_archives(files: DataFrame) -> DataFrame:
     """One row per record of the archives in ``path``.  Payloads are measured
-    and checked against their digest; archives are streamed."""
+    and checked against their digest; archives are streamed, each by a task of
+    its own."""
 
     def work(batch):
         names = [f.split()[0] for f in RECORDS.split(", ")]
@@ -166,7 +169,9 @@ def read_archives(files: DataFrame) -> DataFrame:
                         out[n].append(v)
         return {n: pa.array(v, pa.int64() if n in ("payload_bytes", "page_id") else pa.string()) for n, v in out.items()}
 
-    return map_batches(files.select("path").repartition(F.col("path")), RECORDS, work)
+    # Round robin over as many tasks as there are files: hashes of so few paths
+    # would meet, and a partitioning by key may be coalesced.
+    return map_batches(files.select("path").repartition(max(1, files.count())), RECORDS, work)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -195,11 +200,16 @@ def page_rows(captures: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, url``
     per capture; a revisit has the size of the response it refers to."""
     flat = captures.select("capture_id", "copies", "response.*", F.col("metadata.page_id").alias("page_id"))
+    asked = flat.where("refers_to IS NOT NULL").select("refers_to").distinct()
     target = flat.where("record_type = 'response'").select(F.col("capture_id").alias("refers_to"), F.col("page_id").alias("to_page"), F.col("payload_bytes").alias("to_bytes"))
-    # Sizes are unknown to Spark here (its only source is the list of files), so
-    # the join is told to shuffle: a broadcast would grow with the pages.
+    # One popular payload may be what a third of all captures refer to: its
+    # revisits are dealt to SALTS shares, and responses that are referred to at
+    # all are copied to each.  Sizes are unknown to Spark here (its only source
+    # is the list of files), so the joins are told to shuffle.
+    target = target.join(asked.hint("merge"), "refers_to", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = flat.withColumn("salt", F.pmod(F.xxhash64("capture_id"), F.lit(SALTS)).cast("int"))
     return (
-        flat.join(target.hint("merge"), "refers_to", "left")
+        dealt.join(target.hint("merge"), ["refers_to", "salt"], "left")
         .select(
             "page_id",
             F.coalesce("payload_bytes", "to_bytes").alias("payload_bytes"),
@@ -222,7 +232,9 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     responses.  Extra columns are ignored; an empty table gives no rows.
     """
     files = write_archives(pages, shared_path(pages.sparkSession, "warc"))
-    return page_rows(assemble(read_archives(files)))
+    # Records (without payloads) are written once: both sides of the join start
+    # from them, and no archive is parsed twice.
+    return page_rows(written(assemble(read_archives(files)), "captures"))
 
 
 def base32_sql(hex_digest: str) -> str:

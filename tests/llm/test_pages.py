@@ -6,6 +6,7 @@ import hashlib
 import io
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -42,6 +43,43 @@ def test_main_text_of_fragments(html, text):
     assert tag_paths.main_text(html) == text
 
 
+LONG = "A sentence of the article, with its commas, and an end. " * 4
+MENU = "".join(f'<div><a href="/{i}">Section {i}</a></div>' for i in range(6))
+#: Pages that only ratios can tell apart: no article, menus and notes as divs.
+BY_RATIO = [
+    (f"<body><div>{MENU}</div><div><h1>Title</h1><p>{LONG}</p><p>Short.</p></div><div>© me</div></body>", ["Title", LONG, "Short."]),
+    (f"<body><ul>{MENU.replace('div', 'li')}</ul><h2>Title</h2><p>{LONG}</p><ol><li>one</li><li>two, three</li></ol></body>", ["Title", LONG, "one", "two, three"]),
+    (f'<body><article><h1>T</h1><p>{LONG}</p><div><a href="x">More like this</a></div><p>End.</p><div class="ad">Buy!</div></article></body>', ["T", LONG, "End."]),
+    (f'<body><div class="post has-sidebar"><p>{LONG}</p><p>Short.</p></div><div class="sidebar">Latest news</div></body>', [LONG, "Short."]),
+    (f'<body><article><p>{LONG}</p><p class="share-price">The share price rose, and then it fell again, by some two per cent, on the day.</p></article></body>', [LONG, "The share price rose, and then it fell again, by some two per cent, on the day."]),
+    (f'<body><div>{MENU}</div><main><section id="related-work"><p>{LONG}</p></section></main></body>', [LONG]),
+    ("<p>3 < 4, and then the rest", ["3 < 4, and then the rest"]),
+    ("<p>a <", ["a <"]),
+]
+
+
+@pytest.mark.parametrize(("html", "lines"), BY_RATIO)
+def test_ratios_tell_content_from_the_rest(html, lines):
+    assert tag_paths.main_text(html) == "\n".join(x.strip() for x in lines)
+
+
+def test_without_ratios_the_menus_stay(monkeypatch):
+    monkeypatch.setattr(tag_paths, "path_ratios", lambda found: {path: 1.0 for path, _, _ in found})
+    assert sum(tag_paths.main_text(html) == "\n".join(x.strip() for x in lines) for html, lines in BY_RATIO[:6]) <= 2
+
+
+def test_equal_weights_are_settled_by_the_path():
+    one, two = "<section><p>Equal, text.</p></section>", "<div><p>Equal, text.</p></div>"
+    assert tag_paths.main_text(one + two) == tag_paths.main_text(two + one) == "Equal, text.\nEqual, text."
+
+
+def test_given_pages_keep_their_articles(spark):
+    """Every block of the one article of each given page, and nothing else."""
+    for row in read(spark, "/root/testdata/sf0.01", "pages").collect():
+        article = re.search("<article>(.*)</article>", row.html, re.S)[1]
+        assert tag_paths.main_text(row.html) == "\n".join(text for path, text, _ in tag_paths.blocks(article) if not path[-1:] == ("div~",))
+
+
 PAGES = [(1, "http://a/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (3, None, None), (4, "http://c/", ""), (None, "http://d/", "<p>x</p>"), (5, "u v", "é" * 50_000), (1, "http://a/", "<p>x</p>"), (None, "http://e/", "only")]
 
 
