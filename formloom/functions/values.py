@@ -272,3 +272,65 @@ def extract_section(text: Column, heading: str, next_heading: str, markers: Sequ
     stops += [F.nullif(F.locate(m, tail), F.lit(0)) for m in markers]
     end = F.coalesce(F.least(*stops), F.length(tail) + 1) if len(stops) > 1 else F.coalesce(stops[0], F.length(tail) + 1)
     return F.when(at > 0, F.trim(F.substring(tail, F.lit(1), end - 1))).otherwise(text)
+
+
+def shared_letters(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two short texts."""
+    letters = lambda text: F.filter(F.split(text, ""), lambda c: c != "")
+
+    def against(bs: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(bs) - 1)
+
+        def line(row: Column, c: Column) -> Column:
+            # row[j]: letters shared so far with the first j + 1 letters of b
+            def cell(new: Column, j: Column) -> Column:
+                corner = F.when(j > 0, F.get(row, j - 1)).otherwise(0)
+                beside = F.when(j > 0, F.get(new, j - 1)).otherwise(0)
+                return F.array_append(new, F.when(c == F.get(bs, j), corner + 1).otherwise(F.greatest(F.get(row, j), beside)))
+
+            return F.aggregate(places, F.array().cast("array<int>"), cell)
+
+        last = F.aggregate(letters(a), F.transform(bs, lambda _: F.lit(0)), line)
+        return F.coalesce(F.element_at(last, -1), F.lit(0))
+
+    found = F.get(F.transform(F.array(letters(b)), against), F.lit(0))
+    return F.when((a == "") | (b == ""), F.lit(0)).otherwise(found)
+
+
+def letter_ratio(a: Column, b: Column) -> Column:
+    """Share of letters, in percent, that two texts have in common in order."""
+    both = F.char_length(a) + F.char_length(b)
+    return F.when(both == 0, F.lit(100.0)).otherwise(200.0 * shared_letters(a, b) / both)
+
+
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """Similarity of two texts as sets of words, 0 to 100.
+
+    The shared words, alone and with what either side has besides, are compared
+    with one another; the best of the three comparisons counts.
+    """
+    words = lambda text: F.array_sort(F.array_distinct(F.filter(F.split(text, r"\s+"), lambda w: w != "")))
+    joined = lambda *parts: F.array_join(F.filter(F.array(*parts), lambda p: p != ""), " ")
+
+    def compare(p: Column) -> Column:
+        shared, only_a, only_b = p["shared"], p["only_a"], p["only_b"]
+        with_a, with_b = joined(shared, only_a), joined(shared, only_b)
+        n = F.char_length(shared)
+        # A beginning that both have needs no search for common letters.
+        ahead = n + F.when((n > 0) & (only_a != "") & (only_b != ""), 1).otherwise(0)
+        long = F.char_length(with_a) + F.char_length(with_b)
+        rest = 200.0 * (ahead + shared_letters(only_a, only_b)) / long
+        beside = lambda w: 200.0 * n / (n + F.char_length(w))
+        best = F.when(n > 0, F.greatest(rest, beside(with_a), beside(with_b))).otherwise(rest)
+        return F.when(long == 0, F.lit(0.0)).when((n > 0) & ((only_a == "") | (only_b == "")), F.lit(100.0)).otherwise(best)
+
+    def parts(s: Column) -> Column:
+        text = lambda c: F.array_join(c, " ")
+        return F.struct(
+            text(F.array_intersect(s["a"], s["b"])).alias("shared"),
+            text(F.array_except(s["a"], s["b"])).alias("only_a"),
+            text(F.array_except(s["b"], s["a"])).alias("only_b"),
+        )
+
+    sets = F.array(F.struct(words(a).alias("a"), words(b).alias("b")))
+    return F.get(F.transform(F.transform(sets, parts), compare), F.lit(0))

@@ -276,6 +276,31 @@ def canonicalize_enum(value: Column, choices: Column, stems: Mapping[str, str])
     )
 
 
+def fuzzy_choice(value: Column, choices: Column, least: float = 85.0) -> Column:
+    """The allowed choice most similar to a value as a set of words, the first
+    of equal ones: (canonical, method), or null below ``least``."""
+    scored = F.transform(choices, lambda c, i: F.struct(V.token_set_ratio(F.lower(value), F.lower(c)).alias("score"), (-i).alias("at"), c.alias("choice")))
+    best = F.array_max(scored)
+    method = F.concat(F.lit("fuzz:"), F.format_number(best["score"], 2))
+    return F.when(best["score"] >= least, F.struct(best["choice"].alias("canonical"), method.alias("method")))
+
+
+def canonicalize_answers(answers: DataFrame, choices: DataFrame, stems: Mapping[str, str], least: float = 85.0) -> DataFrame:
+    """Answers that are none of their field's choices, with the choice they
+    stand for and the layer that found it (null: none did).
+
+    ``choices``: form_id, field_id, choices (array).  Each different answer of a
+    field is looked at once, whatever the number of records that give it.
+    """
+    keys = ["form_id", "field_id"]
+    values = answers.where(present(F.col("value"))).select(*keys, "value").distinct().join(choices, keys)
+    values = values.where(~F.array_contains("choices", F.col("value")))
+    plain = canonicalize_enum(F.col("value"), F.col("choices"), stems)
+    found = values.withColumn("_plain", plain).withColumn("_c", F.coalesce("_plain", F.when(F.col("_plain").isNull(), fuzzy_choice(F.col("value"), F.col("choices"), least))))
+    found = found.select(*keys, "value", "_c.canonical", "_c.method")
+    return answers.select("record_id", *keys, "value").join(found, [*keys, "value"]).select("record_id", *keys, "value", "canonical", "method")
+
+
 def clean_currency(value: Column) -> Column:
     """A currency answer made scalar: (value, method), or null when it is fine."""
     s = F.ltrim(value)

@@ -539,6 +539,95 @@ def value_guides(fields: DataFrame) -> DataFrame:
     )
 
 
+# What a field of each kind expects, by kind.
+GUIDES = (
+    ("county", None, "a county name, upper-case, without the word 'County'", "CUMBERLAND|YORK", "a person or court name|the trailing word 'County'"),
+    ("currency", "decimal", "a dollar amount, digits and decimal point only", "1500.00|0.00|27834.50", "a '$' character inside the value|thousands separators or words|a negative amount unless the line is a credit"),
+    ("date", "YYYY-MM-DD or MM/DD/YYYY", "a real calendar date", "2026-03-18|03/18/2026", "vague text|an impossible calendar date|a value that runs across a printed comma or '20__' stub"),
+    ("past_date", "YYYY-MM-DD or MM/DD/YYYY", "a real calendar date", "2026-03-18|03/18/2026", "vague text|an impossible calendar date|a value that runs across a printed comma or '20__' stub|a date in the future"),
+    ("street", None, "an address with: street", "47 Pine Hill Road", "the state spelled out|a PO box where a physical residence is required"),
+    ("address", None, "an address with: street, city, state, zip", "47 Pine Hill Road, Falmouth, ME 04105", "a missing ZIP code|the state spelled out|a PO box where a physical residence is required"),
+    ("name", None, "full legal name as it should appear on the order", "Margaret L. Walsh", "initials or nicknames|a title with no name|'Last, First' order"),
+    ("phone", "NNN-NNN-NNNN", "a 10-digit US phone number", None, "letters|a missing area code"),
+    ("email", "local@domain", None, None, "spaces|a missing @"),
+    ("docket", None, "a docket number of the court", None, "a docket from another jurisdiction's format"),
+    ("bar", None, "a bar registration number", None, None),
+    ("signature", None, "leave blank: wet-ink signature", None, None),
+    ("check", None, "check only if the statement is true", None, None),
+    ("year", "YYYY", "a 4-digit calendar year", None, "a 2-digit year|text spanning the printed '20' stub"),
+    ("zip", "ZIP5 or ZIP+4", "a US ZIP code", None, "fewer than 5 digits|letters"),
+    ("state", None, "a US state, 2-letter abbreviation preferred", None, None),
+    ("text", None, "free text answering the printed prompt", None, None),
+)
+# Names and labels that tell a kind.
+COUNTY, YEAR = r"(?i)county", r"(?i)\byear\b|_year$|year_"
+ZIP_LABEL, STATE_LABEL, PAST = r"(?i)\bzip\b|postal", r"(?i)\bstate\b", r"(?i)birth|dob|death"
+STREET = r"(?i)street address|street\b"
+WHOLE_ADDRESS = r"(?i)mailing|residence|domicile|legal address|address.*(?:email|telephone|phone)"
+
+
+def guide_kind(label: Column, field_id: Column, data_type: Column, field_type: Column) -> Column:
+    """Which guide a field gets: a county first, then its type; plain text goes
+    by what its label or name says."""
+    either = lambda pattern: label.rlike(pattern) | field_id.rlike(pattern)
+    return (
+        F.when(either(COUNTY), "county")
+        .when(data_type == "currency", "currency")
+        .when(data_type == "date", F.when(field_id.rlike(PAST), "past_date").otherwise("date"))
+        .when(data_type == "address", F.when(label.rlike(STREET) & ~label.rlike(WHOLE_ADDRESS), "street").otherwise("address"))
+        .when(data_type.isin("person_name", "entity_name"), "name")
+        .when(data_type.isin("phone", "email", "signature"), data_type)
+        .when(data_type == "docket_number", "docket")
+        .when(data_type == "bar_number", "bar")
+        .when((data_type == "checkbox") | (field_type == "enabler"), "check")
+        .when(either(YEAR), "year")
+        .when(label.rlike(ZIP_LABEL), "zip")
+        .when(label.rlike(STATE_LABEL), "state")
+        .otherwise("text")
+    )
+
+
+def field_guides(fields: DataFrame, aligned: DataFrame) -> DataFrame:
+    """What a filler should put into each field: form_id, field_id, label, kind,
+    required, alignment, format, expects, examples, avoid, calculated.
+
+    ``fields``: form_id, field_id, label, data_type, field_type, required_when
+    (null, "always" or a tree), formula.  ``aligned``: form_id, field_id,
+    alignment, where one is declared.  Examples and what to avoid are arrays.
+    """
+    label = F.coalesce(F.nullif("label", F.lit("")), F.translate("field_id", "_", " "))
+    need = F.when(F.lower(F.trim("required_when")).isin("always", "true"), "always").when(present(F.coalesce("required_when", F.lit(""))), "conditional").otherwise("optional")
+    kind = guide_kind(F.col("label"), F.col("field_id"), F.coalesce("data_type", F.lit("")), F.coalesce("field_type", F.lit("")))
+    told = fields.withColumn("label", label).withColumns({"kind": kind, "required": need})
+    listed = lambda c: F.split(c, r"\|")
+    guides = fields.sparkSession.createDataFrame(list(GUIDES), "kind string, format string, expects string, examples string, avoid string")
+    calculated = F.when((F.col("kind") != "county") & present(F.coalesce("formula", F.lit(""))), F.col("formula"))
+    return (
+        told.join(aligned.select("form_id", "field_id", "alignment"), ["form_id", "field_id"], "left")
+        .join(F.broadcast(guides), "kind")  # one row a kind
+        .select(
+            "form_id", "field_id", "label", "kind", "required", F.coalesce("alignment", F.lit("left")).alias("alignment"),
+            "format", "expects", listed("examples").alias("examples"), listed("avoid").alias("avoid"), calculated.alias("calculated"),
+        )
+    )
+
+
+def recompute_by_form(answers: DataFrame, formulas: Mapping[str, Mapping[str, Mapping]], at_least: Sequence[str] = ()) -> DataFrame:
+    """``recompute_totals`` with each form's own formulas: ``formulas`` maps a
+    form to its targets.  Records of other forms are left alone; forms with the
+    same formulas are worked off together."""
+    together: dict[str, tuple[Mapping, list[str]]] = {}
+    for form, own in sorted(formulas.items()):
+        together.setdefault(json.dumps(own, sort_keys=True), (own, []))[1].append(form)
+    out = None
+    for own, forms in together.values():
+        part = recompute_totals(answers.where(F.col("form_id").cast("string").isin(forms)), own, at_least)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no formulas")
+    return out
+
+
 def under_typed_text(fields: DataFrame) -> DataFrame:
     """Text fields whose label implies a stricter type."""
     from formloom.functions.schema_rules import first_match

@@ -150,6 +150,36 @@ def canonicalize_enum(t: Tables):
     return e.withColumn("c", records.canonicalize_enum(F.col("value"), choices, {"twiceamonth": "semi_monthly"})).select("event_id", "value", "c.canonical", "c.method")
 
 
+#: Priorities as people type them; DuckDB compares letters with a table of rows.
+TYPED = "CASE record_id % 6 WHEN 0 THEN 'urgnt' WHEN 1 THEN 'high  priority' WHEN 2 THEN 'speciffied not' WHEN 3 THEN 'lo' WHEN 4 THEN 'MEDIUM!' ELSE 'quite else' END"
+CHOICES = ("urgent", "high", "medium", "low", "not specified")
+
+
+def _lcs_sql(a: str, b: str) -> str:
+    row = f"list_reduce([list_transform(range(len({b}) + 1), lambda _: 0)] || list_transform(string_split({a}, ''), lambda c: list_concat([-1], list_transform(string_split({b}, ''), lambda d: (c = d)::INTEGER))), lambda row, hit: list_reduce([[0]] || list_transform(range(2, len(row) + 1), lambda j: [row[j - 1] + 1, row[j], hit[j]]), lambda new, x: list_append(new, CASE WHEN x[3] = 1 THEN x[1] ELSE greatest(x[2], new[-1]) END)))"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE ({row})[-1] END"
+
+
+@query(
+    uses="answer",
+    sql=f"""WITH v AS (SELECT DISTINCT {TYPED} AS value FROM answer WHERE field_id = 'priority'), c AS (SELECT unnest(range(5)) AS k, unnest({list(CHOICES)}) AS choice),
+n AS (SELECT value, k, choice, regexp_replace(lower(value), '[^a-z0-9]', '', 'g') AS nv, regexp_replace(choice, '[^a-z0-9]', '', 'g') AS nc,
+  list_sort(list_distinct(list_filter(regexp_split_to_array(lower(value), ' +'), lambda x: x <> ''))) AS a, list_sort(list_distinct(string_split(choice, ' '))) AS b FROM v, c),
+s AS (SELECT *, array_to_string(list_sort(list_intersect(a, b)), ' ') AS sh, array_to_string(list_filter(a, lambda x: NOT list_contains(b, x)), ' ') AS oa, array_to_string(list_filter(b, lambda x: NOT list_contains(a, x)), ' ') AS ob FROM n),
+l AS (SELECT *, {_lcs_sql("oa", "ob")} AS common, length(concat_ws(' ', nullif(sh, ''), nullif(oa, ''))) AS la, length(concat_ws(' ', nullif(sh, ''), nullif(ob, ''))) AS lb, length(sh) AS ls FROM s),
+f AS (SELECT *, CASE WHEN ls > 0 AND (oa = '' OR ob = '') THEN 100.0 ELSE greatest(200.0 * (ls + CASE WHEN ls > 0 THEN 1 ELSE 0 END + common) / (la + lb), CASE WHEN ls > 0 THEN 200.0 * ls / (ls + la) ELSE 0 END, CASE WHEN ls > 0 THEN 200.0 * ls / (ls + lb) ELSE 0 END) END AS score FROM l),
+g AS (SELECT value, max(choice) FILTER (nv = nc) AS same, arg_max(choice, (length(nc), choice)) FILTER (contains(nv, nc) OR contains(nc, nv)) AS part, arg_max(choice, (score, -k)) AS best, max(score) AS score FROM f GROUP BY value)
+SELECT record_id, form_id, field_id, g.value, coalesce(same, part, CASE WHEN score >= 85 THEN best END) AS canonical,
+  CASE WHEN same IS NOT NULL THEN 'norm' WHEN part IS NOT NULL THEN 'substring' WHEN score >= 85 THEN 'fuzz:' || format('{{:.2f}}', score) END AS method
+FROM answer JOIN g ON g.value = {TYPED} WHERE field_id = 'priority'""",
+)
+def canonicalize_answers(t: Tables):
+    """Misspelt priorities: cut short, joined, turned round, with signs."""
+    typed = t.answer.where("field_id = 'priority'").withColumn("value", F.expr(TYPED))
+    choices = typed.select("form_id", "field_id").distinct().withColumn("choices", F.array(*[F.lit(c) for c in CHOICES]))
+    return records.canonicalize_answers(typed, choices, {})
+
+
 @query(
     uses="answer",
     sql=r"""WITH a AS (SELECT record_id, CASE record_id % 4 WHEN 0 THEN '$' || value WHEN 1 THEN 'none' WHEN 2 THEN 'paid $1,300.50 then left' ELSE value END AS v FROM answer WHERE field_id = 'total'),
@@ -266,6 +296,19 @@ def recompute_totals(t: Tables):
     return val.recompute_totals(_line_answers(t), FORMULAS)
 
 
+@query(
+    sql=f"""{LINES}, w AS (SELECT r.record_id, coalesce(sum(amt), 0) AS s, any_value(v) AS v FROM (SELECT record_id FROM li UNION SELECT record_id FROM tot) r
+  LEFT JOIN li ON r.record_id = li.record_id LEFT JOIN tot ON r.record_id = tot.record_id GROUP BY r.record_id),
+c AS (SELECT record_id, coalesce(v, '') AS v, CASE record_id % 3 WHEN 0 THEN s WHEN 1 THEN s + 7 END AS want, CASE record_id % 3 WHEN 0 THEN 'INV' ELSE 'TAX' END AS form_id FROM w WHERE record_id % 3 < 2)
+SELECT record_id, form_id, 'grand_total' AS field_id, v AS old_value, format('{{:,.2f}}', CAST(want AS DOUBLE)) AS new_value FROM c WHERE v = '' OR abs(CAST(v AS BIGINT) - want) >= 0.01""",
+)
+def recompute_by_form(t: Tables):
+    """Two forms with different formulas for one field; a third has none."""
+    form = F.expr("CASE record_id % 3 WHEN 0 THEN 'INV' WHEN 1 THEN 'TAX' ELSE 'NONE' END")
+    plus = {"op": "add", "args": [TOTAL, {"op": "const", "value": 7}]}
+    return val.recompute_by_form(_line_answers(t).withColumn("form_id", form), {"INV": {"grand_total": TOTAL}, "TAX": {"grand_total": plus}})
+
+
 @query(
     uses="answer",
     sql="""WITH a AS (SELECT record_id // 4 AS case_id, form_id || '-' || CAST(record_id % 4 AS VARCHAR) AS form_id, field_id, CASE WHEN record_id % 3 = 0 THEN '' ELSE value END AS value FROM answer),

@@ -183,6 +183,38 @@ def value_guides(t: Tables):
     return _guides(t)
 
 
+TYPES = ("currency", "date", "address", "person_name", "phone", "email", "signature", "docket_number", "bar_number", "checkbox", "text", "text", "text", "text")
+LABELS = (" amount", " of birth", " street address", " mailing address", " county", " year", " zip code", " state", " note")
+KIND_SQL = """CASE WHEN contains(lab, 'county') THEN 'county' WHEN dt = 'currency' THEN 'currency' WHEN dt = 'date' THEN CASE WHEN contains(fid, 'birth') THEN 'past_date' ELSE 'date' END
+  WHEN dt = 'address' THEN CASE WHEN contains(lab, 'street') AND NOT contains(lab, 'mailing') THEN 'street' ELSE 'address' END WHEN dt = 'person_name' THEN 'name' WHEN dt IN ('phone', 'email', 'signature') THEN dt
+  WHEN dt = 'docket_number' THEN 'docket' WHEN dt = 'bar_number' THEN 'bar' WHEN dt = 'checkbox' THEN 'check' WHEN contains(lab, 'year') THEN 'year' WHEN contains(lab, 'zip') THEN 'zip' WHEN contains(lab, 'state') THEN 'state' ELSE 'text' END"""
+
+
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+@query(
+    uses="field",
+    sql=f"""WITH f AS (SELECT form_id, seq, field_id || CASE WHEN seq % 9 = 1 THEN '_birth' ELSE '' END || '_' || CAST(seq AS VARCHAR) AS fid, label || {list(LABELS)}[CAST(seq % 9 AS INTEGER) + 1] AS lab, {list(TYPES)}[CAST(size % 14 AS INTEGER) + 1] AS dt, size FROM field),
+k AS (SELECT *, {KIND_SQL} AS kind FROM f), g(kind, format, expects, examples, avoid) AS (VALUES {", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in val.GUIDES)})
+SELECT form_id, fid AS field_id, lab AS label, k.kind, CASE size % 3 WHEN 0 THEN 'always' WHEN 1 THEN 'conditional' ELSE 'optional' END AS required, CASE WHEN size % 5 = 0 THEN 'right' ELSE 'left' END AS alignment,
+  format, expects, coalesce(examples, '') AS examples, coalesce(avoid, '') AS avoid, CASE WHEN size % 4 = 0 AND k.kind <> 'county' THEN 'a + b' END AS calculated FROM k JOIN g ON k.kind = g.kind""",
+)
+def field_guides(t: Tables):
+    """Fields of all declared types, with labels that tell more."""
+    at = lambda names, i: F.element_at(F.array(*[F.lit(x) for x in names]), (i + 1).cast("int"))
+    fid = F.concat("field_id", F.when(F.col("seq") % 9 == 1, "_birth").otherwise(""), F.lit("_"), F.col("seq").cast("string"))
+    need = F.when(F.col("size") % 3 == 0, "always").when(F.col("size") % 3 == 1, '{"field": "a", "equals": "b"}')
+    fields = t.field.select(
+        "form_id", fid.alias("field_id"), F.concat("label", at(LABELS, F.col("seq") % 9)).alias("label"), at(TYPES, F.col("size") % 14).alias("data_type"),
+        F.lit("text").alias("field_type"), need.alias("required_when"), F.when(F.col("size") % 4 == 0, "a + b").alias("formula"), "size",
+    )
+    aligned = fields.where("size % 5 = 0").select("form_id", "field_id", F.lit("right").alias("alignment"))
+    told = val.field_guides(fields, aligned)
+    return told.withColumns({c: F.coalesce(F.array_join(c, "|"), F.lit("")) for c in ("examples", "avoid")})
+
+
 @query(
     uses="field",
     sql="""SELECT form_id, seq, CASE size % 4 WHEN 0 THEN 'date' WHEN 1 THEN 'currency' WHEN 2 THEN 'zip' END AS implied FROM field WHERE data_type = 'text' AND size % 4 < 3""",

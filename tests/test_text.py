@@ -81,3 +81,39 @@ def test_signatures_depend_on_the_key(spark):
     a = df.select(logs.signature(b"one")("t")).collect()[0][0]
     b = df.select(logs.signature(b"two")("t")).collect()[0][0]
     assert a != b and len(a) == len(hashlib.sha256(b"").hexdigest())
+
+
+def common_letters(a, b):
+    row = [0] * (len(b) + 1)
+    for c in a:
+        new = [0]
+        for j, d in enumerate(b, start=1):
+            new.append(row[j - 1] + 1 if c == d else max(row[j], new[-1]))
+        row = new
+    return row[-1]
+
+
+def plain_token_set(a, b):
+    one, two = set(a.split()), set(b.split())
+    if not one or not two:
+        return 0.0
+    shared, only_a, only_b = (" ".join(sorted(x)) for x in (one & two, one - two, two - one))
+    if shared and (not only_a or not only_b):
+        return 100.0
+    ratio = lambda p, q: 200.0 * common_letters(p, q) / (len(p) + len(q))
+    with_a, with_b = f"{shared} {only_a}".strip(), f"{shared} {only_b}".strip()
+    return max([ratio(with_a, with_b), *([ratio(shared, with_a), ratio(shared, with_b)] if shared else [])])
+
+
+def test_token_set_similarity(spark):
+    import random
+
+    from formloom.functions import values as V
+
+    rng = random.Random(3)
+    words = ["high", "hihg", "low", "not", "specified", "speciffied", "é", "a", "urgent"]
+    pairs = [(" ".join(rng.choices(words, k=rng.randint(0, 4))), " ".join(rng.choices(words, k=rng.randint(0, 4)))) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", V.token_set_ratio(F.col("a"), F.col("b")).alias("s"), V.shared_letters(F.col("a"), F.col("b")).alias("n"))
+    for row in df.collect():
+        assert row.n == common_letters(row.a, row.b)
+        assert abs(row.s - plain_token_set(row.a, row.b)) < 1e-9, row
