@@ -146,9 +146,43 @@ def export_variables(t: Tables):
     return writers.export_variables(_exportable(t))
 
 
-@query()
+#: Conditions of all branches and leaves, by the size of the part.
+TREES = (
+    '{"all_of":[{"field":"a","equals":"yes"},{"field":"b","equals":2},{"field":"a","equals":true}]}',
+    '{"any_of":[{"field":"c","in":["x","y"]},{"field":"d","gte":1.5}]}',
+    '{"none_of":[{"field":"e","ne":"no \\"quote\\""},{"field":"f","exists":true}]}',
+    '{"all_of":[{"field":"g","odd":1}]}',
+)
+TREE_SCHEMAS = (
+    '{"properties":{"b":{"const":2},"a":{"const":true}},"required":["b","a"]}',
+    '{"anyOf":[{"properties":{"c":{"enum":["x","y"]}},"required":["c"]},{"properties":{"d":{"minimum":1.5}},"required":["d"]}]}',
+    '{"not":{"anyOf":[{"properties":{"e":{"not":{"const":"no \\"quote\\""}}},"required":["e"]},{"properties":{"f":{}},"required":["f"]}]}}',
+)
+
+
+@query(
+    uses="field",
+    sql=f"""{BOUND}, x AS (SELECT b.*, coalesce(b.token, b.field_id) AS name, CASE WHEN size % 7 = 0 THEN 'g' || CAST(seq % 4 AS VARCHAR) END AS grp, CASE WHEN size % 2 = 0 THEN 'v' || CAST(seq AS VARCHAR) END AS val,
+  CASE WHEN size % 6 < 4 THEN CAST(size % 6 AS INTEGER) END AS tree FROM b),
+o AS (SELECT form_id, grp, '[' || string_agg('"' || coalesce(val, label) || '"', ',' ORDER BY seq, field_id) || ']' AS options FROM x WHERE grp IS NOT NULL GROUP BY ALL),
+w AS (SELECT * FROM x WHERE kind NOT IN ('manual', 'signature', 'routing') QUALIFY row_number() OVER (PARTITION BY form_id, name ORDER BY seq, field_id) = 1),
+p AS (SELECT w.form_id, name, '"' || name || '":{{' || CASE canonical_type WHEN 'currency' THEN '"type":"number"' WHEN 'date' THEN '"type":"string","format":"date"' WHEN 'boolean' THEN '"type":"boolean"'
+    WHEN 'choice' THEN '"type":"string"' || coalesce(',"enum":' || options, '') WHEN 'choice_multi' THEN '"type":"array","items":{{"type":"string"' || coalesce(',"enum":' || options, '') || '}}' ELSE '"type":"string"' END
+    || ',"description":"' || label || '"' || CASE WHEN kind = 'computed' THEN ',"readOnly":true' ELSE '' END || '}}' AS prop,
+  CASE WHEN kind = 'data' AND tree IS NULL AND size % 5 > 0 THEN '"' || name || '"' END AS req,
+  '{{"if":' || [{", ".join(f"'{s}'" for s in TREE_SCHEMAS)}][tree + 1] || ',"then":{{"required":["' || name || '"]}}}}' AS rule FROM w LEFT JOIN o ON w.form_id = o.form_id AND w.grp = o.grp)
+SELECT form_id, '{{"$schema":"https://json-schema.org/draft/2020-12/schema","title":"' || form_id || ' \u2014 The ' || form_id || '","type":"object","properties":{{' || string_agg(prop, ',' ORDER BY name) || '}}'
+  || coalesce(',"required":[' || string_agg(req, ',' ORDER BY name) || ']', '') || coalesce(',"allOf":[' || string_agg(rule, ',' ORDER BY name) || ']', '') || '}}' AS schema FROM p GROUP BY form_id""",
+)
 def export_json_schema(t: Tables):
-    return writers.export_json_schema(_exportable(t))
+    size = F.col("size")
+    tree = F.element_at(F.array(*[F.lit(x) for x in TREES]), (size % 6 + 1).cast("int"))
+    fields = _bound(t).withColumns({
+        "choice_group": F.when(size % 7 == 0, F.concat(F.lit("g"), (F.col("seq") % 4).cast("string"))), "choice_value": F.when(size % 2 == 0, F.concat(F.lit("v"), F.col("seq").cast("string"))),
+        "required_when": F.when(size % 6 < 4, tree), "writable_when": F.when(size % 5 == 0, F.lit(TREES[0])),
+    })
+    titles = fields.select("form_id").distinct().withColumn("title", F.concat(F.lit("The "), "form_id"))
+    return writers.export_json_schema(fields, titles)
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formloom.functions import schema_rules as S
+from formloom.functions.text import present
 
 # JSON-schema types of the exchange types.
 JSON_TYPES = {
@@ -60,26 +61,107 @@ def export_variables(fields: DataFrame) -> DataFrame:
     return first.select("form_id", "name", "v.*", "n_fields")
 
 
-def export_json_schema(fields: DataFrame) -> DataFrame:
-    """One JSON-schema document per form.
+LEAF = "struct<field:string,equals:variant,ne:variant,`in`:variant,exists:boolean,gt:variant,gte:variant,lt:variant,lte:variant>"
 
-    A form's properties are gathered into one document, so they are first cut
-    to one row per variable.
+
+def condition_schema(tree: Column) -> Column:
+    """A condition tree (JSON text) as JSON-schema text, null without one.
+
+    Branches all_of, any_of and none_of over leaves equals, ne, in, exists (true)
+    and gt, gte, lt, lte of one field.  A tree with any other leaf has no
+    counterpart and gives null.
     """
-    v = export_variables(fields)
-    base = F.lit('{"type":"string"}')
-    for k, j in JSON_TYPES.items():
-        base = F.when(F.col("canonical_type") == k, j).otherwise(base)
-    quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
-    with_label = F.concat(base.substr(F.lit(1), F.length(base) - 1), F.lit(',"description":'), quoted(F.col("label")), F.when(F.col("kind") == "computed", ',"readOnly":true}').otherwise("}"))
-    prop = F.concat(quoted(F.col("name")), F.lit(":"), with_label)
-    required = F.array_sort(F.collect_list(F.when(F.col("kind") == "data", quoted(F.col("name")))))
-    docs = v.groupBy("form_id").agg(F.array_join(F.array_sort(F.collect_list(prop)), ",").alias("props"), required.alias("req"))
-    return docs.select(
+    t = F.from_json(tree, f"all_of array<{LEAF}>, any_of array<{LEAF}>, none_of array<{LEAF}>")
+    raw = lambda v: F.to_json(v)
+    number = lambda name, v: F.concat(F.lit(f'{{"{name}":'), raw(v), F.lit("}"))
+
+    def said(c: Column) -> Column:
+        return (
+            F.when(c["equals"].isNotNull(), F.concat(F.lit('{"const":'), raw(c["equals"]), F.lit("}")))
+            .when(c["ne"].isNotNull(), F.concat(F.lit('{"not":{"const":'), raw(c["ne"]), F.lit("}}")))
+            .when(c["in"].isNotNull(), F.concat(F.lit('{"enum":'), raw(c["in"]), F.lit("}")))
+            .when(c["gt"].isNotNull(), number("exclusiveMinimum", c["gt"]))
+            .when(c["gte"].isNotNull(), number("minimum", c["gte"]))
+            .when(c["lt"].isNotNull(), number("exclusiveMaximum", c["lt"]))
+            .when(c["lte"].isNotNull(), number("maximum", c["lte"]))
+            .when(c["exists"], "{}")
+        )
+
+    def together(leaves: Column) -> Column:
+        # Of two conditions on one field the later holds.
+        last = F.filter(leaves, lambda c, i: ~F.exists(F.slice(leaves, i + 2, F.size(leaves)), lambda d: d["field"] == c["field"]))
+        named = F.transform(last, lambda c: F.concat(_quoted(c["field"]), F.lit(":"), said(c)))
+        fields = F.transform(last, lambda c: _quoted(c["field"]))
+        return F.concat(F.lit('{"properties":{'), F.array_join(named, ","), F.lit('},"required":['), F.array_join(fields, ","), F.lit("]}"))
+
+    def one(c: Column) -> Column:
+        name = _quoted(c["field"])
+        return F.concat(F.lit('{"properties":{'), name, F.lit(":"), said(c), F.lit('},"required":['), name, F.lit("]}"))
+
+    whole = lambda leaves: leaves.isNotNull() & (F.size(leaves) > 0) & F.forall(leaves, lambda c: c["field"].isNotNull() & said(c).isNotNull())
+    either = lambda leaves: F.concat(F.lit('{"anyOf":['), F.array_join(F.transform(leaves, one), ","), F.lit("]}"))
+    return (
+        F.when(whole(t["all_of"]), together(t["all_of"]))
+        .when(whole(t["any_of"]), either(t["any_of"]))
+        .when(whole(t["none_of"]), F.concat(F.lit('{"not":'), either(t["none_of"]), F.lit("}")))
+    )
+
+
+def _quoted(text: Column) -> Column:
+    """JSON text of a string."""
+    listed = F.to_json(F.array(text))
+    return listed.substr(F.lit(2), F.char_length(listed) - 2)
+
+
+def export_json_schema(fields: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """One JSON-schema document per form: (form_id, schema).
+
+    ``fields`` may have ``choice_group``, ``choice_value``, ``required_when`` and
+    ``writable_when``; ``titles`` gives form_id and title.  A variable is a
+    property of its type; choices are enumerations of their group's options, as
+    arrays where several may be chosen; computed ones are read-only.  Data that
+    nothing makes conditional is required; a requirement under a condition
+    becomes if/then.  A form's properties are gathered into one document, so they
+    are first cut to one row per variable.
+    """
+    for name in ("choice_group", "choice_value", "required_when", "writable_when"):
+        if name not in fields.columns:
+            fields = fields.withColumn(name, F.lit(None).cast("string"))
+    option = F.coalesce("choice_value", "label")
+    groups = fields.where("choice_group IS NOT NULL").groupBy("form_id", "choice_group").agg(
+        F.transform(F.array_sort(F.collect_list(F.when(option.isNotNull(), F.struct("seq", "field_id", option.alias("o"))))), lambda x: _quoted(x["o"])).alias("options")
+    )
+    wanted = bound_fields(fields).where(~F.col("kind").isin("manual", "signature", "routing")).withColumn("name", F.coalesce("token", "field_id"))
+    carried = ["label", "canonical_type", "kind", "choice_group", "required_when", "writable_when"]
+    first = wanted.groupBy("form_id", "name").agg(F.min_by(F.struct(*carried), F.struct("seq", "field_id")).alias("v"))
+    v = first.select("form_id", "name", "v.*").join(groups, ["form_id", "choice_group"], "left")
+
+    base = F.lit('"type":"string"')
+    for kind, text in JSON_TYPES.items():
+        base = F.when(F.col("canonical_type") == kind, text[1:-1]).otherwise(base)
+    listed = F.when(F.size("options") > 0, F.concat(F.lit(',"enum":['), F.array_join("options", ","), F.lit("]"))).otherwise("")
+    chosen = F.concat(F.lit('"type":"string"'), listed)
+    body = F.when(F.col("canonical_type") == "choice", chosen).when(F.col("canonical_type") == "choice_multi", F.concat(F.lit('"type":"array","items":{'), chosen, F.lit("}"))).otherwise(base)
+    told = F.when(F.coalesce("label", F.lit("")) != "", F.concat(F.lit(',"description":'), _quoted(F.col("label")))).otherwise("")
+    fixed = F.when(F.col("kind") == "computed", ',"readOnly":true').otherwise("")
+    name = _quoted(F.col("name"))
+    given = lambda c: present(F.coalesce(c, F.lit("")))
+    free = (F.col("kind") == "data") & ~given("required_when") & ~given("writable_when")
+    condition = condition_schema(F.col("required_when"))
+    rule = F.concat(F.lit('{"if":'), condition, F.lit(',"then":{"required":['), name, F.lit("]}}"))
+    parts = v.select(
+        "form_id", F.struct("name", F.concat(name, F.lit(":{"), body, told, fixed, F.lit("}")).alias("text")).alias("p"),
+        F.when(free, F.struct("name", name.alias("text"))).alias("r"), F.when(condition.isNotNull(), F.struct("name", rule.alias("text"))).alias("c"),
+    )
+    joined = lambda c: F.array_join(F.array_sort(F.collect_list(c))["text"], ",")
+    docs = parts.groupBy("form_id").agg(joined("p").alias("p"), joined("r").alias("r"), joined("c").alias("c"))
+    titled = docs.join(titles.select("form_id", "title"), "form_id", "left") if titles is not None else docs.withColumn("title", F.lit(None).cast("string"))
+    section = lambda key, c: F.when(F.col(c) != "", F.concat(F.lit(f',"{key}":['), F.col(c), F.lit("]"))).otherwise("")
+    return titled.select(
         "form_id",
         F.concat(
-            F.lit('{"$schema":"https://json-schema.org/draft/2020-12/schema","title":'), quoted(F.col("form_id")),
-            F.lit(',"type":"object","properties":{'), "props", F.lit('},"required":['), F.array_join("req", ","), F.lit("]}"),
+            F.lit('{"$schema":"https://json-schema.org/draft/2020-12/schema","title":'), _quoted(F.concat_ws(" \u2014 ", "form_id", "title")),
+            F.lit(',"type":"object","properties":{'), "p", F.lit("}"), section("required", "r"), section("allOf", "c"), F.lit("}"),
         ).alias("schema"),
     )
 

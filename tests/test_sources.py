@@ -66,4 +66,4 @@ def test_json_schema_is_json(spark, tables):
 
     for row in writers.export_json_schema(_exportable(tables)).collect():
         doc = json.loads(row.schema)
-        assert doc["type"] == "object" and set(doc["required"]) <= set(doc["properties"])
+        assert doc["type"] == "object" and set(doc.get("required", [])) <= set(doc["properties"])
