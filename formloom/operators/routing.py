@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import values as V
 from formloom.functions.text import present
+from formloom.session import cut_lineage
 
 ANY = "*"
 BOOST_TYPE = "array<struct<source:string,key:string,expected:string,gate:string,delta:double>>"
@@ -202,12 +203,46 @@ def id_mentions(queries: DataFrame) -> DataFrame:
     )
 
 
+#: Forms from which on a word is common.
+HOT_FORMS = 10_000
+
+
+def _with_common_words(asked: DataFrame, index: DataFrame, common: DataFrame, k: int) -> DataFrame:
+    """Scores of all forms that may be among the best ``k`` of a query.
+
+    Forms that share a rare word with the query are all scored, their common
+    words looked up by (word, form).  The others share common words only, so
+    queries with the same common words have the same best ``k`` of them: these
+    are found once for each different set of common words.  Postings of a common
+    word are dealt to ``SALTS`` shares.
+    """
+    rare = asked.join(common, "token", "left_anti").join(index.join(common, "token", "left_anti"), "token")
+    rare = rare.groupBy("query_id", "form_id").agg(F.sum("w").alias("score"))
+    frequent = asked.join(common, "token", "left_semi")
+    postings = index.join(common, "token", "left_semi")
+    more = rare.select("query_id", "form_id").join(frequent, "query_id").join(postings, ["token", "form_id"])
+    exact = rare.unionByName(more.select("query_id", "form_id", F.col("w").alias("score"))).groupBy("query_id", "form_id").agg(F.sum("score").alias("score"))
+
+    sets = cut_lineage(frequent.groupBy("query_id").agg(F.array_sort(F.collect_set("token")).alias("words")))
+    salted = sets.select("words").distinct().select("words", F.explode("words").alias("token"))
+    salted = salted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = postings.withColumn("salt", F.pmod(F.xxhash64("form_id"), F.lit(SALTS)).cast("int"))
+    summed = salted.join(dealt, ["token", "salt"]).groupBy("words", "salt", "form_id").agg(F.sum("w").alias("score"))
+    # The best of each share first, then the best of those.
+    first = [F.desc("score"), F.col("form_id")]
+    for keys in (["words", "salt"], ["words"]):
+        summed = summed.withColumn("at", F.row_number().over(Window.partitionBy(*keys).orderBy(*first))).where(F.col("at") <= k)
+    others = sets.join(summed, "words").select("query_id", "form_id", "score")
+    return exact.unionByName(others.join(exact, ["query_id", "form_id"], "left_anti"))
+
+
 def search_forms(queries: DataFrame, forms: DataFrame, k: int, short: Sequence[str] = ()) -> DataFrame:
     """Best forms for each query: named ids first, then two points per title
     word, one per category word and three for the id prefix.
 
     Words meet through an inverted index, so only forms sharing a word with a
-    query are looked at.
+    query are looked at.  Words of more than ``HOT_FORMS`` forms are kept apart
+    (``_with_common_words``), so that no word pairs every query with every form.
     """
     named = id_mentions(queries).join(
         forms.select("form_id", F.upper("form_id").alias("mention")), "mention"
@@ -225,7 +260,11 @@ def search_forms(queries: DataFrame, forms: DataFrame, k: int, short: Sequence[s
     ).select("form_id", "t.token", "t.w")
     index = weighted.groupBy("token", "form_id").agg(F.sum("w").alias("w"))
     asked = queries.select("query_id", F.explode(tokens(F.col("query"), short=short)).alias("token"))
-    scored = asked.join(index, "token").groupBy("query_id", "form_id").agg(F.sum("w").alias("score"))
+    common = index.groupBy("token").count().where(F.col("count") > HOT_FORMS).select("token")
+    if common.isEmpty():
+        scored = asked.join(index, "token").groupBy("query_id", "form_id").agg(F.sum("w").alias("score"))
+    else:
+        scored = _with_common_words(asked, index, cut_lineage(common), k)
     rest = scored.join(named, ["query_id", "form_id"], "left_anti").select(
         "query_id", "form_id", F.lit(False).alias("named"), F.col("score"), F.lit(None).cast("struct<at:int,variant:int>").alias("rank")
     )

@@ -57,3 +57,21 @@ def test_routes_beyond_broadcast_are_salted(spark, tables, monkeypatch):
     salted = plans.scored(tables)
     assert sorted(map(tuple, salted.collect())) == want
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_word_of_all_forms_pairs_no_query_with_all_of_them(spark, tables, monkeypatch):
+    """Same answers with and without common words kept apart; the plan joins
+    their postings once for each set of such words, in shares."""
+    from formloom.operators import routing
+
+    n = 400
+    forms = spark.range(n).selectExpr("concat('PT-', id) AS form_id", "concat('common title ', CASE WHEN id % 40 = 0 THEN 'rare' ELSE 'usual' END, ' w', id % 50) AS title", "concat('all ', CASE WHEN id % 3 = 0 THEN 'third' ELSE 'rest' END) AS category")
+    asks = ["common", "common rare", "all third w30x", "usual w300 nothing", "rare third common title", "pt 77", "w049 all", "nothing at all here"]
+    queries = spark.createDataFrame(list(enumerate(asks * 5)), "query_id bigint, query string")
+    plain = sorted(tuple(r) for r in routing.search_forms(queries, forms, 7).collect())
+    for hot in (5, 60, 200):
+        monkeypatch.setattr(routing, "HOT_FORMS", hot)
+        apart = routing.search_forms(queries, forms, 7)
+        assert sorted(tuple(r) for r in apart.collect()) == plain
+    plan = apart._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" in plan and "WindowGroupLimit" in apart._jdf.queryExecution().executedPlan().toString()
