@@ -263,8 +263,9 @@ class Trie:
     slot names the state if the child exists.
     """
 
-    def __init__(self, words: list[bytes], bits: int, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
-        self.symbols = {w: i for i, w in enumerate(words, start=1)}
+    def __init__(self, langs: list[str], words: list[bytes], bits: int, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
+        self.langs = {name: i for i, name in enumerate(langs, start=1)}
+        self.symbols = {w: i for i, w in enumerate(words, start=1 + len(langs))}
         self.bits, self.base, self.check, self.accept = bits, base, check, accept
 
     def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -280,7 +281,7 @@ class Trie:
 
     def first(self, lang: str, symbols: np.ndarray) -> np.ndarray:
         """States after the language and each of these words."""
-        start = self.symbols.get(b" " + lang.encode(), 0)
+        start = self.langs.get(lang, 0)
         state = self.step(np.zeros(1, np.int64), np.full(1, start, np.int64))
         return self.step(np.repeat(state, len(symbols)), symbols) if state[0] >= 0 else np.full(len(symbols), -1, np.int64)
 
@@ -300,18 +301,32 @@ class Trie:
             yield found[found >= 0]
 
 
-def _digits(rows: list[tuple[int, ...]], bits: int) -> np.ndarray:
+def _digits(codes: np.ndarray, bits: int) -> np.ndarray:
     """Two digits a word, -1 beyond a phrase's end."""
-    wide = max(map(len, rows))
-    codes = np.full((len(rows), wide), -1, np.int64)
-    for k in range(wide):
-        codes[:, k] = [r[k] if k < len(r) else -1 for r in rows]
-    out = np.empty((len(rows), 2 * wide), np.int64)
+    out = np.empty((len(codes), 2 * codes.shape[1]), np.int64)
     out[:, ::2] = np.where(codes < 0, -1, codes >> bits)
     out[:, 1::2] = np.where(codes < 0, -1, codes & ((1 << bits) - 1))
     return out
 
 
+def _codes(langs: list[str], phrases: list[bytes]) -> tuple[np.ndarray, list[str], list[bytes]]:
+    """Symbols of each phrase (its language first, -1 beyond its end), and what
+    they stand for: languages, then words from the most common one down."""
+    sizes = np.array([p.count(b" ") + 1 for p in phrases])
+    of_word, words = pd.factorize(np.array(b" ".join(phrases).split(b" "), object))
+    of_lang, names = pd.factorize(np.array(langs, object))
+    order = np.argsort(-np.bincount(of_word), kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(names) + 1, len(names) + 1 + len(order))
+    codes = np.full((len(phrases), 1 + int(sizes.max())), -1, np.int64)
+    codes[:, 0] = of_lang + 1
+    starts = np.cumsum(sizes) - sizes
+    for k in range(int(sizes.max())):
+        on = np.flatnonzero(sizes > k)
+        codes[on, k + 1] = number[of_word[starts[on] + k]]
+    return codes, list(names), words[order].tolist()
+
+
 def _edges(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Parent, digit and child of every edge, in the order of parent and digit
     within a depth, and the last node of each row.  Node 0 is the root."""
@@ -337,18 +352,17 @@ def _edges(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return np.concatenate(parents), np.concatenate(labels), np.concatenate(children), last
 
 
-def build(phrases: list[tuple[bytes, ...]]) -> Trie:
-    """The double array of the phrases; a phrase is known by its place.
+def build(langs: list[str], phrases: list[bytes]) -> Trie:
+    """The double array of the phrases (words between blanks) of languages; a
+    phrase is known by its place.
 
     Parents of many children are placed first, each at the first offset where
     all its slots are free; parents of one child fill what is left.
     """
-    common = Counter(w for p in phrases for w in p)
-    words = sorted(common, key=lambda w: (-common[w], w))
-    bits = max(1, (len(words).bit_length() + 1) // 2)
+    codes, names, words = _codes(langs, phrases)
+    bits = max(1, (int(codes.max()).bit_length() + 1) // 2)
     radix = 1 << bits
-    number = {w: i for i, w in enumerate(words, start=1)}
-    parent, label, child, last = _edges(_digits([tuple(number[w] for w in p) for p in phrases], bits))
+    parent, label, child, last = _edges(_digits(codes, bits))
     by_parent = np.argsort(parent, kind="stable")
     parent, label, child = parent[by_parent], label[by_parent], child[by_parent]
     starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
@@ -382,22 +396,22 @@ def build(phrases: list[tuple[bytes, ...]]) -> Trie:
     base[slot] = offset
     check[slot[child]] = slot[parent]
     accept[slot[last]] = np.arange(len(phrases))
-    return Trie(words, bits, base, check, accept)
+    return Trie(names, words, bits, base, check, accept)
 
 
-TRIE = "trie long, words binary, bits int, base binary, check binary, accept binary"
+TRIE = "trie long, langs array<string>, words binary, bits int, base binary, check binary, accept binary"
 
 
 def _build_rows(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("number")
-    made = build([(b" " + lang.encode(), *phrase.encode().split(b" ")) for lang, phrase in zip(part["lang"], part["phrase"])])
-    packed = {"words": b"\n".join(made.symbols), "bits": made.bits, "base": made.base.tobytes(), "check": made.check.tobytes(), "accept": made.accept.tobytes()}
+    made = build(part["lang"].tolist(), [p.encode() for p in part["phrase"]])
+    packed = {"langs": list(made.langs), "words": b" ".join(made.symbols), "bits": made.bits, "base": made.base.tobytes(), "check": made.check.tobytes(), "accept": made.accept.tobytes()}
     return pd.DataFrame([{"trie": part["trie"].iloc[0], **packed}])
 
 
 def _trie_of(row) -> Trie:
     arrays = [np.frombuffer(row[c], np.int32) for c in ("base", "check", "accept")]
-    return Trie(bytes(row["words"]).split(b"\n"), row["bits"], *arrays)
+    return Trie(row["langs"], bytes(row["words"]).split(b" "), row["bits"], *arrays)
 
 
 #: Phrases whose counts travel together.

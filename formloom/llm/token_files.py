@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -66,10 +67,12 @@ def pieces_of(text: str) -> list[str]:
     if "<|" not in text:  # special tokens are taken as written
         try:
             text.encode("latin-1")
-            text = text.lower()
+            text = seen = text.lower()
         except UnicodeEncodeError:
-            pass
-        if not SIGN_RUN.search(text):
+            # Some letters become a letter and a mark when they are normalised or
+            # put in lower case, and the mark joins a stop that follows.
+            seen = unicodedata.normalize("NFC", text).lower()
+        if not SIGN_RUN.search(seen):
             text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
     return text.replace("\n", " ").split(" ")
 

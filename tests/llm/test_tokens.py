@@ -1,6 +1,7 @@
 """BPE, prefix counts and token files against the library."""
 
 import hashlib
+import unicodedata
 import zlib
 
 import numpy as np
@@ -45,6 +46,22 @@ def test_word_pieces_are_the_library(text):
     assert found == WORD_LIB.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_that_normalisation_changes():
+    """Every code point that becomes another one, before a stop and a comma
+    (a full run over all code points was made once, with no difference)."""
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}. b{c}, {c}. .{c} " for c in points if unicodedata.normalize("NFC", c).lower() != c and not "\uac00" <= c <= "\ud7a3"]
+    assert len(texts) > 2000 and any("İ" in t for t in texts)
+    found = token_files.encoder(token_files.default_path()).encode(texts)
+    for text, ids, want in zip(texts, found, WORD_LIB.encode_batch_fast(texts, add_special_tokens=False)):
+        assert np.frombuffer(ids, np.uint32).tolist() == want.ids, text
+
+
+def test_long_words_are_not_kept():
+    memo = bpe.Memo(len)
+    assert memo["x" * 1000] == 1000 and memo["y"] == 1 and list(memo) == ["y"]
+
+
 def test_memo_keeps_its_bound():
     memo = bpe.Memo(lambda w: w * 2, limit=3)
     for w in "abcdefabc":
