@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formloom.functions import geometry as G
-from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, places
+from formloom.operators.pairs import BOX, PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, places
 from formloom.operators.ranking import block_window, neighbours, rank_in_groups
 
 WIDGET = (*PAGE, "rect_id")
@@ -60,8 +60,17 @@ def same_row_overlaps(widgets: DataFrame, min_area: float = 4.0, min_y: float =
     ).select(*WIDGET, F.col("r_rect_id").alias("other_id"), F.round(G.overlap_area(a, b), 1).alias("overlap"))
 
 
+def shared_rect_fields(widgets: DataFrame) -> DataFrame:
+    """Long form of ``shared_rects``: a rectangle bound to several fields, each
+    field with the number of its widgets there."""
+    here = widgets.groupBy(*PAGE, *BOX, "field_id").agg(F.count("*").alias("n_widgets"))
+    several = here.groupBy(*PAGE, *BOX).agg(F.count("*").alias("n_fields")).where("n_fields > 1")
+    return here.join(several, [*PAGE, *BOX])
+
+
 def shared_rects(widgets: DataFrame) -> DataFrame:
-    """One rectangle bound to several fields."""
+    """One rectangle bound to several fields, listed (``shared_rect_fields`` is
+    the long table)."""
     return (
         widgets.groupBy(*PAGE, "x0", "y0", "x1", "y1")
         .agg(F.sort_array(F.collect_set("field_id")).alias("targets"), F.count("*").alias("n_widgets"))

@@ -314,9 +314,17 @@ def quote_grounding(verdicts: DataFrame, cited: DataFrame, authorities: DataFram
     )
 
 
+def link_uses(links: DataFrame, status: DataFrame) -> DataFrame:
+    """Long form of the audit: url, cite, n_uses and the url's status."""
+    uses = links.groupBy("url", "cite").agg(F.count("*").alias("n_uses"))
+    s = status.select("url", V.link_status(F.col("http_code")).alias("status"))
+    return uses.join(s, "url", "left").withColumn("status", F.coalesce("status", F.lit("inconclusive")))
+
+
 def link_audit(links: DataFrame, status: DataFrame) -> DataFrame:
-    """Each distinct URL with its status from a crawler's table and the cites
-    that use it; links never fetched are inconclusive."""
+    """Each distinct URL with its status from a crawler's table and a list of the
+    cites that use it (``link_uses`` is the long table); links never fetched are
+    inconclusive."""
     uses = links.groupBy("url").agg(
         F.count("*").alias("n_uses"), F.array_join(F.array_sort(F.collect_set("cite")), ",").alias("cites")
     )

@@ -31,8 +31,38 @@ def field_catalog(widgets: DataFrame) -> DataFrame:
     )
 
 
+def name_uses(fields: DataFrame) -> DataFrame:
+    """Long form of the name index: base, form_id and the number of its fields
+    there.  A name in a third of all forms is a third of the rows, not one row."""
+    used = fields.select(base_name(F.col("field_id")).alias("base"), "form_id", "field_id").distinct()
+    return used.groupBy("base", "form_id").agg(F.count("*").alias("n_names"))
+
+
+def name_reach(fields: DataFrame) -> DataFrame:
+    """How many forms and names each base name has; both counts are taken from
+    distinct rows that combine before the shuffle."""
+    uses = name_uses(fields)
+    return uses.groupBy("base").agg(F.count("*").alias("n_forms"), F.sum("n_names").alias("n_names"))
+
+
+def cross_form_names(fields: DataFrame) -> DataFrame:
+    """Long form of the cross-form map: base, form_id, field_id for bases that
+    stand in two forms or more."""
+    names = fields.select(base_name(F.col("field_id")).alias("base"), "form_id", "field_id").distinct()
+    shared = name_reach(fields).where("n_forms > 1").select("base")
+    return names.join(shared, "base", "left_semi")
+
+
+def authority_uses(uses: DataFrame, authorities: DataFrame) -> DataFrame:
+    """Long form of the usage: cite, kind, form_id; an authority that no form
+    cites has one row without a form."""
+    cited = uses.select("cite", "form_id").distinct()
+    return authorities.select("cite", "kind").join(cited, "cite", "left")
+
+
 def field_name_index(fields: DataFrame) -> DataFrame:
-    """Base name to the forms using it, sorted."""
+    """Base name to the forms using it, sorted: an export for catalogues, whose
+    lists are as long as a name has forms (``name_uses`` is the long table)."""
     used = fields.select(base_name(F.col("field_id")).alias("base"), "form_id").distinct()
     return used.groupBy("base").agg(
         F.count("*").alias("n_forms"), F.array_join(F.sort_array(F.collect_list("form_id")), ",").alias("forms")
@@ -40,7 +70,8 @@ def field_name_index(fields: DataFrame) -> DataFrame:
 
 
 def cross_form_map(fields: DataFrame) -> DataFrame:
-    """Base name to a map of form to the names used there."""
+    """Base name to a map of form to the names used there: an export for
+    catalogues (``cross_form_names`` is the long table)."""
     names = fields.select(base_name(F.col("field_id")).alias("base"), "form_id", "field_id").distinct()
     by_form = names.groupBy("base", "form_id").agg(F.array_join(F.sort_array(F.collect_list("field_id")), ",").alias("names"))
     return by_form.groupBy("base").agg(
@@ -359,7 +390,8 @@ def gap_tracker(fields: DataFrame) -> DataFrame:
 
 
 def authority_usage(uses: DataFrame, authorities: DataFrame) -> DataFrame:
-    """Authority to the forms citing it; unused ones are listed too."""
+    """Authority to the forms citing it; unused ones are listed too.  An export
+    for catalogues (``authority_uses`` is the long table)."""
     forms = uses.select("cite", "form_id").distinct().groupBy("cite").agg(
         F.count("*").alias("n_forms"), F.array_join(F.array_sort(F.collect_list("form_id")), ",").alias("forms")
     )

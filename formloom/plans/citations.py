@@ -228,12 +228,21 @@ au AS (SELECT l.url, count(*) AS n_uses, string_agg(DISTINCT cite, ',' ORDER BY
   FROM l LEFT JOIN s ON l.url = s.url GROUP BY l.url)"""
 
 
-def _audit(t: Tables) -> DataFrame:
+def _links(t: Tables) -> tuple[DataFrame, DataFrame]:
     p = t.raw("pages")
     links = p.select("url", F.concat(F.lit("c"), (F.col("page_id") % 5).cast("string")).alias("cite")).unionByName(p.where("page_id % 2 = 0").select("url", F.lit("x").alias("cite")))
     code = F.expr("CASE page_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 403 ELSE 503 END")
     status = p.where("page_id % 7 <> 0").groupBy("url").agg(F.min(code).alias("http_code"))
-    return C.link_audit(links, status)
+    return links, status
+
+
+def _audit(t: Tables) -> DataFrame:
+    return C.link_audit(*_links(t))
+
+
+@query(sql=f"{LINKS}, uu AS (SELECT url, cite, count(*) AS n_uses FROM l GROUP BY ALL) SELECT uu.*, au.status FROM uu JOIN au ON uu.url = au.url")
+def link_uses(t: Tables):
+    return C.link_uses(*_links(t))
 
 
 @query(sql=f"{LINKS} SELECT * FROM au")

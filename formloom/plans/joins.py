@@ -60,6 +60,15 @@ def shared_rects(t: Tables):
     return audit.shared_rects(t.rect)
 
 
+@query(
+    uses="rect",
+    sql="""WITH h AS (SELECT form_id, page, x0, y0, x1, y1, field_id, count(*) AS n_widgets FROM rect GROUP BY ALL)
+SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY form_id, page, x0, y0, x1, y1) AS n_fields FROM h) WHERE n_fields > 1""",
+)
+def shared_rect_fields(t: Tables):
+    return audit.shared_rect_fields(t.rect)
+
+
 @query(
     uses="rect",
     sql=f"""SELECT a.form_id, a.page, a.rect_id, b.rect_id AS other_id, a.field_id, round({IOU}, 6) AS iou

@@ -22,6 +22,30 @@ def field_catalog(t: Tables):
 INDEX = r"""SELECT regexp_replace(field_id, '_\d+$', '') AS base, count(DISTINCT form_id) AS n_forms, string_agg(DISTINCT form_id, ',' ORDER BY form_id) AS forms FROM field GROUP BY 1"""
 
 
+def _more_forms(t: Tables):
+    """Fields of forms that grow in number with the table."""
+    return t.field.withColumn("form_id", F.concat_ws("-", "form_id", F.expr("seq DIV 40").cast("string")))
+
+
+FORMS = r"""WITH n AS (SELECT DISTINCT regexp_replace(field_id, '_\d+$', '') AS base, form_id || '-' || CAST(seq // 40 AS VARCHAR) AS form_id, field_id FROM field),
+u AS (SELECT base, form_id, count(*) AS n_names FROM n GROUP BY ALL), r AS (SELECT base, count(*) AS n_forms, CAST(sum(n_names) AS BIGINT) AS n_names FROM u GROUP BY base)"""
+
+
+@query(uses="field", sql=f"{FORMS} SELECT * FROM u")
+def name_uses(t: Tables):
+    return reports.name_uses(_more_forms(t))
+
+
+@query(uses="field", sql=f"{FORMS} SELECT * FROM r")
+def name_reach(t: Tables):
+    return reports.name_reach(_more_forms(t))
+
+
+@query(uses="field", sql=f"{FORMS} SELECT n.* FROM n JOIN r ON n.base = r.base WHERE n_forms > 1")
+def cross_form_names(t: Tables):
+    return reports.cross_form_names(_more_forms(t))
+
+
 @query(uses="field", sql=INDEX)
 def field_name_index(t: Tables):
     return reports.field_name_index(t.field)
@@ -332,6 +356,21 @@ def authority_usage(t: Tables):
     return reports.authority_usage(uses, known.distinct())
 
 
+@query(
+    uses="field",
+    sql="""WITH u AS (SELECT DISTINCT data_type AS cite, form_id || '-' || CAST(seq // 40 AS VARCHAR) AS form_id FROM field WHERE size > 20),
+a AS (SELECT DISTINCT data_type AS cite, 'statute' AS kind FROM field UNION ALL SELECT DISTINCT 'cat ' || category, 'case' FROM field)
+SELECT a.cite, a.kind, u.form_id FROM a LEFT JOIN u ON a.cite = u.cite""",
+)
+def authority_uses(t: Tables):
+    fields = _more_forms(t)
+    uses = fields.where("size > 20").select(F.col("data_type").alias("cite"), "form_id")
+    known = fields.select(F.col("data_type").alias("cite"), F.lit("statute").alias("kind")).unionByName(
+        fields.select(F.concat(F.lit("cat "), "category").alias("cite"), F.lit("case").alias("kind"))
+    )
+    return reports.authority_uses(uses, known.distinct())
+
+
 SLOTS = r"""WITH n AS (SELECT form_id, CASE size % 3 WHEN 0 THEN field_id WHEN 1 THEN 'heir_' || CAST(seq % 4 + 1 AS VARCHAR) || '_' || string_split(label, ' ')[1] ELSE 'heir_' || string_split(label, ' ')[2] || '_' || CAST(seq % 3 + 1 AS VARCHAR) END AS f FROM field),
 s AS (SELECT form_id, CASE WHEN regexp_matches(f, '^([a-z]+(?:_[a-z0-9]+)*?)_(\d+)_([a-z]+(?:_[a-z]+)*)$') THEN regexp_extract(f, '^([a-z]+(?:_[a-z0-9]+)*?)_(\d+)_([a-z]+(?:_[a-z]+)*)$', ['e', 'i', 'a'])
   WHEN regexp_matches(f, '^([a-z]+(?:_[a-z0-9]+)*?)_([a-z]+)_(\d+)$') THEN {'e': regexp_extract(f, '^([a-z]+(?:_[a-z0-9]+)*?)_([a-z]+)_(\d+)$', 1), 'i': regexp_extract(f, '_(\d+)$', 1), 'a': regexp_extract(f, '^([a-z]+(?:_[a-z0-9]+)*?)_([a-z]+)_(\d+)$', 2)}
