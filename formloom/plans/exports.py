@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formloom import contracts
+from formloom.operators.reports import field_catalog
 from formloom.plans.registry import query
 from formloom.plans.scalars import BOUND, _bound
 from formloom.sources import readers, writers
 from formloom.sources.testdata import Tables
+from formloom.streaming.jobs import run_folder
 
 
 @query(
@@ -206,3 +208,46 @@ def export_contract(t: Tables):
     expected = writers.export_variables(f).select("form_id", "name")
     dictionary = writers.export_dictionary(f).select("form_id", F.nullif("token", F.lit("")).alias("name"))
     return writers.export_contract(expected, {"dictionary": dictionary, "variables": expected})
+
+
+PACKED = """WITH f AS (SELECT replace(form_id, '#', '-') || '(I)' AS form_id, field_id, label || CASE WHEN seq % 5 = 0 THEN ', "so called"' ELSE '' END AS label, data_type, seq, size FROM field)"""
+
+
+def _packed(t: Tables):
+    """Form packages written from the given tables, and read again."""
+    form = F.concat(F.regexp_replace("form_id", "#", "-"), F.lit("(I)"))
+    label = F.concat("label", F.when(F.col("seq") % 5 == 0, ', "so called"').otherwise(""))
+    fields = t.field.withColumns({"form_id": form, "label": label, "risk_score": F.col("size")})
+    metadata = fields.groupBy("form_id").agg(F.concat(F.lit("The "), F.first("form_id")).alias("title"), F.count("*").cast("int").alias("n_fields"))
+    rect = F.array(*[F.col("size").cast("double") + i for i in range(4)])
+    spec = F.struct(F.lit("text").alias("type"), F.array(F.struct((F.col("seq") % 3).cast("int").alias("page"), rect.alias("rect"))).alias("widgets"))
+    geometry = fields.groupBy("form_id", "field_id").agg(F.min_by(spec, "seq").alias("s")).groupBy("form_id").agg(F.map_from_entries(F.collect_list(F.struct("field_id", "s"))).alias("fields"))
+    root = run_folder(t.spark, "packages")
+    writers.write_form_packages(metadata, fields, geometry, root).count()
+    return readers.read_form_packages(t.spark, root)
+
+
+@query(uses="field", sql=f"{PACKED} SELECT form_id, field_id, label, data_type, CAST(size AS INTEGER) AS risk_score FROM f")
+def read_form_packages(t: Tables):
+    return _packed(t).fields.select("form_id", "field_id", "label", "data_type", "risk_score")
+
+
+@query(uses="field", sql=f"{PACKED} SELECT form_id, 'The ' || form_id AS title, CAST(count(*) AS INTEGER) AS n_fields FROM f GROUP BY form_id")
+def read_form_metadata(t: Tables):
+    return _packed(t).metadata.select("form_id", "title", "n_fields")
+
+
+@query(uses="field", sql=f"{PACKED} SELECT form_id, field_id, CAST(arg_min(seq, seq) % 3 AS INTEGER) AS page, CAST(arg_min(size, seq) AS DOUBLE) AS x0 FROM f GROUP BY form_id, field_id")
+def read_form_geometry(t: Tables):
+    return readers.explode_geometry(_packed(t).geometry).select("form_id", "field_id", "page", "x0")
+
+
+@query(
+    uses="rect",
+    sql="SELECT form_id, page, rect_id, field_id, kind, round(x0, 1) AS x0, round(y0, 1) AS y0, round(x1, 1) AS x1, round(y1, 1) AS y1 FROM rect",
+)
+def write_catalog(t: Tables):
+    """The field catalogue as TSV files, one per task, read again."""
+    catalog, path = field_catalog(t.rect), run_folder(t.spark, "catalog")
+    writers.write_catalog(catalog, path, sep="\t")
+    return t.spark.read.schema(catalog.schema).option("sep", "\t").csv(path, header=True)

@@ -67,9 +67,10 @@ class Packages(NamedTuple):
 
 
 def read_form_packages(spark: SparkSession, root: str) -> Packages:
-    """Form folders ``<root>/<form_id>/``; the id comes from the path."""
+    """Form folders ``<root>/<form_id>/`` with metadata.json, fields.csv and
+    fill_geometry.json; the id comes from the path."""
     meta = spark.read.schema(contracts.METADATA).json(f"{root}/*/metadata.json", multiLine=True)
-    fields = spark.read.schema(contracts.SCHEMA_FIELD).csv(f"{root}/*/fields.csv", header=True)
+    fields = spark.read.schema(contracts.SCHEMA_FIELD).csv(f"{root}/*/fields.csv", header=True, escape='"', multiLine=True)
     geometry = spark.read.schema(contracts.GEOMETRY).json(f"{root}/*/fill_geometry.json", multiLine=True)
     return Packages(
         meta.withColumn("form_id", _form_id()),

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from formloom import contracts
 from formloom.functions import schema_rules as S
 from formloom.functions.text import present
+from formloom.session import cut_lineage
 
 # JSON-schema types of the exchange types.
 JSON_TYPES = {
@@ -22,6 +29,41 @@ def write_catalog(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
+def write_form_packages(metadata: DataFrame, fields: DataFrame, geometry: DataFrame, root: str) -> DataFrame:
+    """Write what ``read_form_packages`` reads; gives (form_id, name, n_bytes).
+
+    Each form's three files are put together by Spark and written by the task
+    that holds them, under names that do not depend on the attempt, so a
+    repeated task writes the same files again.  ``root`` is a folder that all
+    executors share; a form's fields fit one file.
+    """
+    names = [f.name for f in StructType.fromDDL(contracts.SCHEMA_FIELD)]
+    cells = [F.col(n).cast("string") if n in fields.columns else F.lit(None).cast("string") for n in names]
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", *[F.coalesce(quoted(c), F.lit("")) for c in cells])
+    rows = F.array_sort(F.collect_list(F.struct("seq", "field_id", line.alias("line"))))["line"]
+    body = F.concat_ws("\n", F.lit(",".join(names)), rows, F.lit(""))
+    parts = {
+        "metadata.json": metadata.select("form_id", F.to_json(F.struct(*[c for c in metadata.columns if c != "form_id"])).alias("body")),
+        "fields.csv": fields.groupBy("form_id").agg(body.alias("body")),
+        "fill_geometry.json": geometry.select("form_id", F.to_json(F.struct(*[c for c in geometry.columns if c != "form_id"])).alias("body")),
+    }
+    files = reduce(DataFrame.unionByName, [df.select(F.col("form_id").cast("string").alias("form_id"), F.lit(name).alias("name"), "body") for name, df in parts.items()])
+
+    def write(batches):
+        store, base = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", root) if ":" in root else "file://" + root)
+        for batch in batches:
+            sizes = []
+            for form, name, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                store.create_dir(f"{base}/{form}", recursive=True)
+                with store.open_output_stream(f"{base}/{form}/{name}") as out:
+                    out.write(body.encode())
+                sizes.append(len(body.encode()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], names=["form_id", "name", "n_bytes"])
+
+    return cut_lineage(files.mapInArrow(write, "form_id string, name string, n_bytes long"))
+
+
 def bound_fields(fields: DataFrame) -> DataFrame:
     """Schema fields with exchange type and binding."""
     b = S.binding(F.col("source"), F.col("field_id"), F.col("data_type"))
