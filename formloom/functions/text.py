@@ -38,19 +38,24 @@ def n_words(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+")))
 
 
+# Leading item numbers, and citations and blanks that no heading has.
+ITEM = r"^\d+[a-z]?\.\s*"
+STATE_CODE, FEDERAL_CODE, BLANK, SECTION_SIGN = r"\bM\.?\s*R\.?\s*S\.?\b", r"\bU\.?\s*S\.?\s*C\.?\b", "___", "§"
+
+
 def is_section_header(text: Column, roles: Sequence[str] = SECTION_WORDS) -> Column:
     """Numbered short title, capitals, or "role …:", each naming a role.
 
     Lines holding citations or blanks never count.
     """
     t = F.trim(text)
-    title = F.trim(F.regexp_replace(t, r"^\d+[a-z]?\.\s*", ""))
+    title = F.trim(F.regexp_replace(t, ITEM, ""))
     usable = (
         (F.length(t) >= 5)
-        & ~t.contains("§")
-        & ~t.contains("___")
-        & ~t.rlike(r"\bM\.?\s*R\.?\s*S\.?\b")
-        & ~t.rlike(r"\bU\.?\s*S\.?\s*C\.?\b")
+        & ~t.contains(SECTION_SIGN)
+        & ~t.contains(BLANK)
+        & ~t.rlike(STATE_CODE)
+        & ~t.rlike(FEDERAL_CODE)
     )
     numbered = t.rlike(r"^\d+[a-z]?\.\s+\S") & ~title.rlike(r"[?.]$") & n_words(title).between(2, 7)
     capitals = t.rlike("[A-Z]") & (F.upper(t) == t) & n_words(t).between(2, 6)

@@ -16,6 +16,7 @@ MONTHS = (
     "January", "February", "March", "April", "May", "June", "July",
     "August", "September", "October", "November", "December",
 )
+# How amounts are written, alone and in prose.
 MONEY = r"^-?\$?\d{1,3}(,\d{3})*(\.\d{1,2})?$|^-?\$?\d+(\.\d{1,2})?$"
 MONEY_IN_TEXT = r"\$?\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?|\$\d+(?:\.\d{1,2})?"
 
@@ -99,6 +100,13 @@ def to_amount(value: Column) -> Column:
     return F.when(s == "", F.lit(0).cast("decimal(18,2)")).otherwise(s.try_cast("decimal(18,2)"))
 
 
+def to_double(value: Column) -> Column:
+    """Like ``to_amount``, to all the places that are written, for comparisons."""
+    s = F.regexp_replace(F.coalesce(value, F.lit("")), r"[$,]", "")
+    plain = s.rlike(r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$")
+    return F.when(s == "", F.lit(0.0)).when(plain, F.trim(s).try_cast("double"))
+
+
 def is_money(value: Column) -> Column:
     return F.trim(value).rlike(MONEY)
 

@@ -50,6 +50,7 @@ class Rule(NamedTuple):
     form_id: str | None = None
 
 
+# How validators are written.
 TAGS = (
     ("date_order", r"^date_order\(([^,)]+),\s*([<>=]+)\)$"),
     ("equals_field", r"^equals_field\(([^,)]+)(?:,\s*(\w+))?\)$"),
@@ -116,7 +117,7 @@ def compile_condition(tree: Any, field: Mapping[str, Column] | Any) -> Column:
     compare = {"gt": lambda a, b: a > b, "gte": lambda a, b: a >= b, "lt": lambda a, b: a < b, "lte": lambda a, b: a <= b}
     for op, fn in compare.items():
         if op in tree:
-            number = F.when(v != "", V.to_amount(v))
+            number = F.when(v != "", V.to_double(v))
             return F.coalesce(fn(number, F.lit(float(tree[op]))), F.lit(False))
     return F.lit(False)
 
