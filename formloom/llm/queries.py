@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, decision_list, decontaminate, impact_search, merkle, phrases, prefix_counts, quality, repeats, simhash, tag_paths, token_files, warc
@@ -103,4 +102,6 @@ def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; an installed package lacks it
+
     return corpus_pipeline.run(spark, folder)

@@ -51,8 +51,9 @@ SEGMENT_IDS = 1 << 20
 #: Documents of one shard (a range of doc_id), and the most shards: beyond
 #: that shards hold more documents, since each is sorted and streamed.
 SHARD_DOCS, MOST_SHARDS = 2048, 1 << 16
-#: Grammar: rounds, rules made in a round, and occurrences that a rule needs.
-ROUNDS, RULES_A_ROUND, LEAST = 8, 1024, 8
+#: Grammar: rules made in a round, and occurrences that a rule needs; rounds go
+#: on until no pair has as many.
+RULES_A_ROUND, LEAST = 4096, 8
 
 
 #: A stop or comma that stands with another sign, where it is no word of its own.
@@ -124,9 +125,9 @@ def repair(ids: np.ndarray, first_rule: int, end_id: int = END_ID) -> tuple[np.n
     """``symbols, rules`` of a sequence: rule ``r`` stands for symbol
     ``first_rule + r`` and is a row (left, right)."""
     symbols, rules = ids.astype(np.uint32), []
-    narrow = first_rule + ROUNDS * RULES_A_ROUND <= 1 << 16
-    shift, kind = (16, np.uint32) if narrow else (32, np.uint64)
-    for _ in range(ROUNDS):
+    while True:
+        narrow = first_rule + len(rules) <= 1 << 16
+        shift, kind = (16, np.uint32) if narrow else (32, np.uint64)
         pairs = (symbols[:-1].astype(kind) << kind(shift)) | symbols[1:]
         ordered = np.sort(pairs[symbols[:-1] != end_id])
         if not len(ordered):

@@ -3,6 +3,7 @@
 import hashlib
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,6 +106,19 @@ def test_segment_round_trip_and_random_access():
     assert len(payload) < ids.nbytes  # forty symbols in sixteen bits
 
 
+@pytest.mark.parametrize("first_rule", [50, 65_530])
+def test_rules_are_made_until_no_pair_is_frequent(first_rule):
+    rng = np.random.default_rng(2)
+    copy = rng.integers(3, 50, 3000)
+    ids = np.concatenate([np.append(rng.integers(3, 50, 4000), 2), *[np.append(copy, 2)] * 9, np.append(np.full(700, 7), 2)]).astype(np.uint16)
+    symbols, rules = token_files.repair(ids, first_rule)
+    pairs = Counter((a, b) for a, b in zip(symbols.tolist(), symbols[1:].tolist()) if a != token_files.END_ID)
+    assert max(pairs.values()) < token_files.LEAST
+    assert token_files.expansion_lengths(rules, first_rule).max() > 100
+    segment = token_files.Segment(token_files.pack_segment([1], [len(ids)], ids, first_rule))
+    assert (segment.ids(0, len(ids)) == ids).all() and (segment.ids(5000, 9000) == ids[5000:9000]).all()
+
+
 def test_overlapping_pairs_are_replaced_from_the_left():
     ids = np.array([5] * 65 + [2], np.uint16)
     segment = token_files.Segment(token_files.pack_segment([1], [66], ids, 100))
