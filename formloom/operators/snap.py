@@ -445,7 +445,9 @@ def shrink_tall_in_order(
     movable = meets.select(*WIDGET).distinct()
     near = near.join(movable, list(WIDGET), "left_semi")
     # Owners of a rule: a bottom within 2 pt of the rule's, anywhere on the page.
-    bottoms = stands.select(*PAGE, "rect_id", F.col("y1").alias("y0"), "y1").distinct()
+    # Moved places count for widgets that may move; others stay where they are.
+    ends = slim.select(*WIDGET, "y1").unionByName(moved.join(movable, list(WIDGET), "left_semi").select(*WIDGET, "y1"))
+    bottoms = ends.select(*WIDGET, F.col("y1").alias("y0"), "y1").distinct()
     owners = (
         page_pairs(
             on_y_axis(near.select(*WIDGET, "rule_id", "y0", "y1")),
@@ -477,7 +479,11 @@ def shrink_tall_in_order(
     pair = together.select(*PAGE, "root", F.lit("pair").alias("kind"), "rect_id", "other_id", F.lit(None).cast("string").alias("field_id"), *[F.lit(None).cast("double").alias(c) for c in BOX])
     text = F.col("field_id").cast("string")
     fed = own.withColumn("field_id", text).unionByName(partner.withColumn("field_id", text)).unionByName(line).unionByName(pair)
-    ordered = _OrderedShrink(min_area, min_y, min_taller, height)
+    walk = _OrderedShrink(min_area, min_y, min_taller, height)
+
+    def ordered(part: pd.DataFrame) -> pd.DataFrame:
+        return walk(part)
+
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
     schema = ", ".join([*(f"{c} {kinds[c]}" for c in WIDGET), *(f"{c} double" for c in BOX)])
     return fed.groupBy(*PAGE, "root").applyInPandas(ordered, schema)
