@@ -38,6 +38,7 @@ CHUNKS = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
 
 #: Words kept by a worker, so that memory does not follow the corpus.
 REMEMBERED = 400_000
+LONGEST_KEPT = 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -49,13 +50,17 @@ def byte_letters() -> dict[str, int]:
 
 class Memo(dict):
     """A word store of bounded size: ``make`` fills in what is missing.  When
-    it is full it becomes the old generation, from which used words return."""
+    it is full it becomes the old generation, from which used words return.
+    Words of more than ``longest`` characters are not kept (0: keys have no
+    length), so the store is bounded in bytes as well."""
 
-    def __init__(self, make, limit: int = REMEMBERED):
+    def __init__(self, make, limit: int = REMEMBERED, longest: int = LONGEST_KEPT):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
     def __missing__(self, word):
+        if self.longest and len(word) > self.longest:
+            return self.make(word)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

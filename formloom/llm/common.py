@@ -43,18 +43,29 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Rows of an Arrow batch; texts may be long.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of ``BATCH_ROWS`` at most, so that neither
+    side holds thousands of texts at once; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], dict[str, object]]) -> DataFrame:
     """``mapInArrow`` for a function from columns to columns.
 
     A batch comes as a dict of Python lists.  Rows in, rows out need not match.
-    Batches are cut by bytes where the session says so, otherwise by rows.
     """
     names = [f.strip().split()[0] for f in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(lo, BATCH_ROWS)
                 out = work({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([as_array(out[n]) for n in names], names=names)
 

@@ -98,10 +98,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``leaks`` finds; a row with a null id is
     judged by its own text as well."""
-    doc, code = fresh(docs, "_id", "_crc")
-    keys = {doc: F.col(id_col).cast("long"), code: F.crc32(text_of(text_col))}
+    doc, code = fresh(docs, "_id", "_sha")
+    keys = {doc: F.col(id_col).cast("long"), code: F.sha1(text_of(text_col))}
     found = leaks(docs, benchmark, id_col, text_col, keys).select(*keys).distinct()
-    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.crc32(text_of(text_col)) == F.col(code))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.sha1(text_of(text_col)) == F.col(code))
     return docs.join(found, match, "left_anti")
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import drop_written, text_of, written
+from .common import drop_written, small_batches, text_of, written
 
 LEAST, MOST_WORDS, TOP = 10, 3, 2000
 #: A phrase is dropped if a longer one has at least this share (in percent).
@@ -538,6 +538,7 @@ def collocations(
     ``und``, null texts as empty; repeated rows count as often as they stand;
     other columns play no part; an empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     texts = texts_of(docs, text_col, lang_col)
     words = written(word_counts(texts), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))

@@ -31,7 +31,7 @@ ENDINGS = ("'re", "'ve", "'ll")
 class PrefixCounter:
     def __init__(self, bpe: ByteBPE):
         self.bpe = bpe
-        self.fits = Memo(self._fits)
+        self.fits = Memo(self._fits, longest=0)
         self.memo_words = Memo(self._word)
         self.memo = Memo(self._chunk)
 

@@ -25,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Memo
-from .common import map_batches, text_of
+from .common import map_batches, small_batches, text_of
 
 BITS = 18
 #: Bound of the training sample, its shards, passes and FTRL's parameters.
 TRAIN_ROWS, SHARDS, PASSES = 12_000, 4, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 THRESHOLD = 0.7
+#: Words whose hash a worker keeps; a missing one is quickly made.
+REMEMBERED = 1 << 16
 
 WORDS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 MASK = np.uint64((1 << BITS) - 1)
@@ -40,7 +42,7 @@ BIAS, REPEATED = 0, 1
 
 @lru_cache(maxsize=1)
 def word_hashes() -> Memo:
-    return Memo(lambda word: zlib.crc32(word.encode()))
+    return Memo(lambda word: zlib.crc32(word.encode()), limit=REMEMBERED)
 
 
 def ngram_ids(text: str) -> np.ndarray:
@@ -150,6 +152,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is predicted good, all columns as they
     are."""
+    small_batches(docs.sparkSession)
     packed = train(docs, labels, "quality", id_col, text_col).astype(np.float32).tobytes()
 
     @F.pandas_udf("double")

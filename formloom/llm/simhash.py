@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, fresh, map_batches, text_of, written
+from .common import drop_written, fresh, map_batches, small_batches, text_of, written
 from .components import components
 
 SEED = 42
@@ -156,21 +156,6 @@ COMMON, MOST_COMMON, LOOKS = 64, 1 << 20, 8
 MEETS = "9 * least({i}, {j}) >= 4 * ({m} + {n})"
 #: Nodes up to which the list of wanted sets is broadcast.
 BROADCAST_NODES = 1 << 20
-#: Hashes of a sketch: an estimate of the similarity, which the stage does not use.
-SKETCH = 512
-
-
-def sketch_of(shingles: np.ndarray) -> bytes:
-    """The least hashes of a sorted set, cut to 32 bits."""
-    return np.unique((shingles[:SKETCH] >> np.uint64(32)).astype(np.uint32)).tobytes()
-
-
-def sketch_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity from the least hashes of both sets; exact for sets
-    of up to ``SKETCH`` shingles."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    both = np.union1d(x, y)[:SKETCH]
-    return float(np.isin(both, x, assume_unique=True).astype(int) @ np.isin(both, y, assume_unique=True)) / max(1, len(both))
 
 
 def alike(a: bytes, b: bytes) -> bool:
@@ -200,39 +185,63 @@ def prefix_of(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate([shingles[~behind], shingles[behind]])[: prefix_length(len(shingles))]
 
 
-def _common_shingles(sets: DataFrame) -> np.ndarray:
+def shingle_set(text: str) -> np.ndarray:
+    """The sorted set of a text's shingles."""
+    return np.unique(shingle_hashes(words_of(text), SHINGLE))
+
+
+def node_of(shingles: np.ndarray) -> int:
+    """The number of a set; texts of equal sets are one node."""
+    node = xxhash.xxh3_64_intdigest(shingles.tobytes())
+    return node - (1 << 64) if node >= 1 << 63 else node
+
+
+def _common_shingles(rows: DataFrame, texts: DataFrame) -> np.ndarray:
     """Sorted shingles with more than ``COMMON`` postings.  Where they are put
-    back, other shingles come to the front and are looked at in turn."""
-    before, common = np.zeros(0, np.uint64), None
+    back, other shingles come to the front and are looked at in turn, in the
+    sets that the first look changes.  ``rows`` has the first prefixes."""
+
+    def keys(batch):
+        return {"key": pa.array(np.frombuffer(b"".join(batch["prefix"]), np.int64))}
+
+    def frequent(found: DataFrame, room: int) -> np.ndarray:
+        counted = found.groupBy("key").count().where(F.col("count") > COMMON).orderBy(F.desc("count"), "key").limit(room)
+        return np.sort(np.array([r.key for r in counted.collect()], np.int64).view(np.uint64))
+
+    none = np.zeros(0, np.uint64)
+    first = common = frequent(map_batches(rows.select("prefix"), "key long", keys), MOST_COMMON)
+    if not len(common):
+        return common
+
+    def changed(batch):
+        sets = [x for x in map(shingle_set, batch["text"]) if _among(prefix_of(x, none), first).any()]
+        return {"shingles": pa.array([x.tobytes() for x in sets], pa.binary())}
+
+    sets = written(map_batches(texts, "shingles binary", changed), "changed")
+    before = none
     for _ in range(LOOKS):
 
         def work(batch, before=before, common=common):
-            keys = []
+            out = [np.zeros(0, np.int64)]
             for s in batch["shingles"]:
                 x = np.frombuffer(s, np.uint64)
-                if common is None:
-                    keys.append(prefix_of(x, before).view(np.int64))
-                elif not (_among((old := prefix_of(x, before)), common) & ~_among(old, before)).any():
-                    continue
-                else:
+                if (_among((old := prefix_of(x, before)), common) & ~_among(old, before)).any():
                     new = prefix_of(x, common)
-                    keys.append(new[~_among(new, common)].view(np.int64))
-            return {"key": pa.array(np.concatenate([np.zeros(0, np.int64), *keys]), pa.int64())}
-
-        found = map_batches(sets.select("shingles"), "key long", work).groupBy("key").count().where(F.col("count") > COMMON)
-        known = np.zeros(0, np.uint64) if common is None else common
-        room = MOST_COMMON - len(known)
-        fresh_keys = [r.key for r in found.orderBy(F.desc("count"), "key").limit(room).collect()] if room > 0 else []
-        if not fresh_keys:
-            return known
-        before, common = known, np.union1d(known, np.array(fresh_keys, np.int64).view(np.uint64))
+                    out.append(new[~_among(new, common)].view(np.int64))
+            return {"key": pa.array(np.concatenate(out), pa.int64())}
+
+        room = MOST_COMMON - len(common)
+        found = frequent(map_batches(sets, "key long", work), room) if room > 0 else none
+        if not len(found):
+            break
+        before, common = common, np.union1d(common, found)
+    drop_written(sets)
     return common
 
 
-def low_part(shingles: bytes) -> bytes:
+def low_part(shingles: np.ndarray) -> np.ndarray:
     """The size of a sorted set and its shingles in the lowest quarter of hashes."""
-    x = np.frombuffer(shingles, np.uint64)
-    return np.concatenate([np.array([len(x)], np.uint64), x[: np.searchsorted(x, np.uint64(1 << 62))]]).tobytes()
+    return np.concatenate([np.array([len(shingles)], np.uint64), shingles[: np.searchsorted(shingles, np.uint64(1 << 62))]])
 
 
 def may_be_alike(a: bytes, b: bytes) -> bool:
@@ -243,18 +252,22 @@ def may_be_alike(a: bytes, b: bytes) -> bool:
     return 9 * most >= 4 * (m + n)
 
 
-def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike_pairs(pairs: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``u, v`` whose whole sets are alike.  Low parts of the sets go
-    first, so whole sets travel only with pairs that these cannot rule out."""
+    first, so whole sets travel only with pairs that these cannot rule out.
 
-    def cut(batch):
-        return {"node": pa.array(batch["node"], pa.int64()), "shingles": pa.array([low_part(x) for x in batch["shingles"]], pa.binary())}
+    Whole sets are made anew from the texts: kept, they would take more room
+    than the texts themselves.
+    """
+
+    def whole(batch):
+        sets = [shingle_set(t) for t in batch["text"]]
+        return {"node": pa.array(list(map(node_of, sets)), pa.int64()), "shingles": pa.array([x.tobytes() for x in sets], pa.binary())}
 
-    def those(pairs, test, name, change=None):
+    def those(pairs, test, name, sets):
         wanted = written(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "wanted")
         few = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-        own = sets.join(few, "node", "left_semi")
-        own = written((map_batches(own, "node long, shingles binary", change) if change else own).dropDuplicates(["node"]), "sets")
+        own = written(sets.join(few, "node", "left_semi").dropDuplicates(["node"]), "sets")
         passes = F.pandas_udf(lambda a, b: a.combine(b, test), "boolean")
         out = written(
             pairs.join(own.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
@@ -267,23 +280,27 @@ def _alike_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         drop_written(wanted)
         return out
 
-    return those(those(pairs, may_be_alike, "possible", cut), alike, "alike")
+    possible = those(pairs, may_be_alike, "possible", rows.select("node", F.col("low").alias("shingles")))
+    found = those(possible, alike, "alike", map_batches(texts, "node long, shingles binary", whole))
+    drop_written(possible)
+    return found
 
 
-def _near_roots(sets: DataFrame) -> DataFrame:
-    """``node, root`` of sets reachable over pairs at 0.8 or more.
+def _near_roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, root`` of the shingle sets of ``texts`` (column ``text``) that are
+    reachable over pairs at 0.8 or more; ``rows`` has node, first prefix and low
+    part of each.
 
     First the sets of a posting are compared with two leaders of it, which
     settles most groups.  Then all pairs of a posting that are still in different
     groups are compared, so every pair at 0.8 ends in one group.
     """
-    common = _common_shingles(sets)
+    common = _common_shingles(rows, texts)
 
     def work(batch):
         nodes, sizes, scores, keys, rest = [], [], [], [], [np.zeros(0, np.int32)]
-        for node, s in zip(batch["node"], batch["shingles"]):
-            x = np.frombuffer(s, np.uint64)
-            nodes.append(node)
+        for x in map(shingle_set, batch["text"]):
+            nodes.append(node_of(x))
             sizes.append(len(x))
             scores.append(float(_among(x, common).mean()) if len(x) else 0.0)
             keys.append(prefix_of(x, common).view(np.int64))
@@ -295,7 +312,7 @@ def _near_roots(sets: DataFrame) -> DataFrame:
             "size": pa.array(spread(sizes, np.int32)), "rest": pa.array(np.concatenate(rest), pa.int32()), "score": pa.array(spread(scores, np.float32)),
         }
 
-    posted = map_batches(sets, "key long, node long, size int, rest int, score float", work).repartition("key")
+    posted = map_batches(texts, "key long, node long, size int, rest int, score float", work).repartition("key")
     # The set with most common shingles is the likely original of its copies.
     leader = F.struct("node", "size", "rest")
     live = posted.groupBy("key").agg(
@@ -310,12 +327,13 @@ def _near_roots(sets: DataFrame) -> DataFrame:
         .distinct(),
         "led",
     )
-    roots = components(_alike_pairs(led, sets))
+    roots = components(_alike_pairs(led, rows, texts))
 
     grouped = written(postings.drop("l0", "l1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
     drop_written(postings)
     mixed = grouped.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
     left = written(grouped.join(mixed, "key"), "open")
+    drop_written(grouped)
     right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "rest", "root")])
     rest = (
         left.join(right, "key")
@@ -324,7 +342,10 @@ def _near_roots(sets: DataFrame) -> DataFrame:
         .distinct()
         .join(led, ["u", "v"], "left_anti")
     )
-    edges = _alike_pairs(written(rest, "rest"), sets)
+    rest = written(rest, "rest")
+    edges = _alike_pairs(rest, rows, texts)
+    for table in (left, led, rest):
+        drop_written(table)
     if edges.isEmpty():
         return roots
     return components(edges.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
@@ -341,23 +362,22 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
 
     def work(batch):
-        nodes, sets = [], []
-        for text in batch["text"]:
-            found = np.unique(shingle_hashes(words_of(text), SHINGLE))
-            node = xxhash.xxh3_64_intdigest(found.tobytes())
-            nodes.append(node - (1 << 64) if node >= 1 << 63 else node)
-            sets.append(found.tobytes())
-        return {"doc_id": pa.array(batch["doc_id"], pa.int64()), "crc": pa.array(batch["crc"], pa.int64()), "node": pa.array(nodes, pa.int64()), "shingles": pa.array(sets, pa.binary())}
+        sets, none = [shingle_set(t) for t in batch["text"]], np.zeros(0, np.uint64)
+        return {
+            "doc_id": pa.array(batch["doc_id"], pa.int64()), "sha": pa.array(batch["sha"], pa.string()), "node": pa.array(list(map(node_of, sets)), pa.int64()),
+            "prefix": pa.array([prefix_of(x, none).tobytes() for x in sets], pa.binary()), "low": pa.array([low_part(x).tobytes() for x in sets], pa.binary()),
+        }
 
+    small_batches(docs.sparkSession)
     text = text_of(text_col)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text).alias("crc"), text.alias("text"))
-    rows = written(map_batches(plain, "doc_id long, crc long, node long, shingles binary", work), "shingles")
-    roots = _near_roots(rows.select("node", "shingles"))
-    owned = rows.select("doc_id", "crc", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    doc, code = fresh(docs, "_id", "_crc")
-    kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "crc")).alias("d")).select(F.col("d.doc_id").alias(doc), F.col("d.crc").alias(code)), "kept")
-    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.crc32(text) == F.col(code))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha1(text).alias("sha"), text.alias("text"))
+    rows = written(map_batches(plain, "doc_id long, sha string, node long, prefix binary, low binary", work), "nodes")
+    roots = _near_roots(rows, plain.select("text"))
+    owned = rows.select("doc_id", "sha", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    doc, code = fresh(docs, "_id", "_sha")
+    kept = written(owned.groupBy("root").agg(F.min(F.struct("doc_id", "sha")).alias("d")).select(F.col("d.doc_id").alias(doc), F.col("d.sha").alias(code)), "kept")
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.sha1(text) == F.col(code))
     result = docs.join(kept, match, "left_semi")
-    if not rows.groupBy("doc_id", "crc").count().where("count > 1").isEmpty():
+    if not rows.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
         result = result.dropDuplicates([id_col, text_col])  # rows given twice
     return result

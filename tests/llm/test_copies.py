@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from edge import DOCS, docs, sorted_rows
 
 from formloom.llm import components, decontaminate, repeats, simhash
@@ -63,6 +65,27 @@ def test_components_of_a_long_chain(spark):
     assert root == {**{i: 0 for i in range(1, 201)}, 1000: 999}
 
 
+def plain_fingerprint(text):
+    """By definition, bit by bit."""
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", lower)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return f"{sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)):016x}"
+
+
+def test_fingerprints_are_the_definition(spark):
+    texts = [*varied(6, 40), *(t for _, t in DOCS if t is None or len(t) < 1000), "A b", "É É é", "one\x0btwo\x1cthree  four", "x " * 31]
+    found = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(docs(spark, list(enumerate(texts)))).collect()}
+    assert found == {i: plain_fingerprint(t) for i, t in enumerate(texts)}
+
+
+def test_equal_ids_are_judged_by_their_own_texts(spark):
+    rows = [(None, "a first text of some words that is quite unlike the other one"), (None, "and this is another text with words of its own, as one can see"), (1, "and this is another text with words of its own, as one can see")]
+    kept = sorted((repr(r.doc_id), r.text) for r in simhash.one_of_each(docs(spark, rows)).collect())
+    assert kept == [("None", rows[0][1]) if k == 0 else ("None", rows[1][1]) for k in range(2)]
+
+
 def test_near_duplicates_of_edge_rows(spark):
     found = simhash.near_duplicates(docs(spark))
     rows = found.collect()
@@ -155,7 +178,7 @@ def test_pairs_at_the_bound_meet():
         x = rng.integers(0, 1 << 63, m + n - both, dtype=np.uint64) * np.uint64(2)
         a, b = np.sort(x[:m]), np.sort(x[m - both :])
         common = np.sort(x[rng.random(len(x)) < 0.1 * (k % 10)])
-        assert simhash.alike(a.tobytes(), b.tobytes()) and simhash.may_be_alike(simhash.low_part(a.tobytes()), simhash.low_part(b.tobytes()))
+        assert simhash.alike(a.tobytes(), b.tobytes()) and simhash.may_be_alike(simhash.low_part(a).tobytes(), simhash.low_part(b).tobytes())
         left, right = ({h: len(s) - i for i, h in enumerate(simhash.prefix_of(s, common).tolist())} for s in (a, b))
         assert any(9 * min(left[h], right[h]) >= 4 * (len(a) + len(b)) for h in left.keys() & right.keys())
 
