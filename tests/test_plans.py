@@ -1,5 +1,7 @@
 """Plans hold no nested-loop or cross joins, prune columns, and spread pages."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,9 @@ def test_everything_in_one_place_stays_linear(spark):
     assert got.groupBy("label", "side", "cost").count().collect()[0]["count"] == n
     ruled = snap.nearest_rule(at("rect_id", 100.0), at("rule_id", 100.0))
     assert ruled.select("rule_id").distinct().collect()[0].rule_id == 0 and ruled.count() == n
+
+
+@pytest.mark.parametrize("name", ["resolve_fields", "apply_when", "plan_coverage"])
+def test_facts_are_not_broadcast(name, spark):
+    """A file of customers is small, the facts and fields it gives are not; only gates (by form) may be sent to all tasks."""
+    assert set(re.findall(r"BroadcastHashJoin \[(\w+)", plan_of(registry.QUERIES[name](spark, SMALL)))) <= {"form_id"}
