@@ -20,10 +20,11 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, per_batch: int = 1) -> DataFrame:
-    """A table's files as a stream."""
-    pattern = f"{name}.parquet"
-    schema = spark.read.parquet(f"{folder}/{pattern}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", per_batch).parquet(folder)
+    """A table as a stream, be it one file or a folder of files."""
+    path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    # the pattern names the table alone; a plain path must be a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(f"{folder}/{name}.parque[t]")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

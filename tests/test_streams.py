@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from formloom.operators import logs, reports
 from formloom.operators.routing import form_routes
+from formloom.plans import registry
 from formloom.plans.logs import _as_log
 from formloom.plans.routing import case_events, catalogue
 from formloom.streaming import jobs
@@ -148,3 +149,10 @@ def test_log_folds(spark):
     log = spark.createDataFrame([(i, e, e, a) for i, e, a in rows], "item bigint, ts bigint, event_id bigint, action string")
     got = {r.item: (r.status, r.attempts) for r in logs.run_state(log).collect()}
     assert got == {1: ("PENDING", 1), 2: ("DEAD", 3), 3: ("IN_PROGRESS", 1), 4: ("PENDING", 0)}
+
+
+def test_a_table_may_be_a_folder_of_files(spark, tables, tmp_path):
+    tables.raw("conversations").repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    tables.raw("events").limit(1).write.parquet(str(tmp_path / "events.parquet"))
+    query = registry.QUERIES["stream_guard"]
+    assert as_set(query(spark, str(tmp_path))) == as_set(query(spark, tables.folder)) != set()
