@@ -80,3 +80,7 @@ def test_everything_in_one_place_stays_linear(spark):
 def test_facts_are_not_broadcast(name, spark):
     """A file of customers is small, the facts and fields it gives are not; only gates (by form) may be sent to all tasks."""
     assert set(re.findall(r"BroadcastHashJoin \[(\w+)", plan_of(registry.QUERIES[name](spark, SMALL)))) <= {"form_id"}
+
+
+def test_cases_are_dealt_out_before_their_fields_come(spark):
+    assert "REPARTITION_BY_NUM" in plan_of(registry.QUERIES["synthesize_cases"](spark, SMALL))
