@@ -82,5 +82,6 @@ def test_facts_are_not_broadcast(name, spark):
     assert set(re.findall(r"BroadcastHashJoin \[(\w+)", plan_of(registry.QUERIES[name](spark, SMALL)))) <= {"form_id"}
 
 
-def test_cases_are_dealt_out_before_their_fields_come(spark):
-    assert "REPARTITION_BY_NUM" in plan_of(registry.QUERIES["synthesize_cases"](spark, SMALL))
+@pytest.mark.parametrize("name", ["synthesize_cases", "expand_lifecycle"])
+def test_cases_are_dealt_out_before_they_grow(name, spark):
+    assert "REPARTITION_BY_NUM" in plan_of(registry.QUERIES[name](spark, SMALL))
