@@ -400,22 +400,32 @@ def authority_usage(uses: DataFrame, authorities: DataFrame) -> DataFrame:
     )
 
 
-# How numbered field names are built.
-SLOT_MIDDLE = r"^([a-z]+(?:_[a-z0-9]+)*?)_(\d+)_([a-z]+(?:_[a-z]+)*)$"
-SLOT_END = r"^([a-z]+(?:_[a-z0-9]+)*?)_([a-z]+)_(\d+)$"
-SLOT_BARE = r"^([a-z]+(?:_[a-z]+)*?)_(\d+)$"
+# How numbered field names are built: ``heir_2_name``,
+# ``heir_name_2`` or ``heir_2``, before one line end at most.
+SLOT_NAME = (
+    r"^(?:([a-z]+(?:_[a-z0-9]+)*?)_(\d+)_([a-z]+(?:_[a-z]+)*)"
+    r"|([a-z]+(?:_[a-z0-9]+)*?)_([a-z]+)_(\d+)"
+    r"|([a-z]+(?:_[a-z]+)*?)_(\d+))(?:\r\n|[\n\r\u0085\u2028\u2029])?\z"
+)
+SLOT_MARK = "\x01"
 
 
 def slot_parts(name: Column) -> Column:
     """(entity, idx, attr) of a numbered name: ``heir_2_name``, ``heir_name_2``
     or bare ``heir_2``; null when it is none of these."""
-    part = lambda pattern, i: F.regexp_extract(name, pattern, i)
-    make = lambda e, i, a: F.struct(e.alias("entity"), i.cast("int").alias("idx"), a.alias("attr"))
-    return (
-        F.when(name.rlike(SLOT_MIDDLE), make(part(SLOT_MIDDLE, 1), part(SLOT_MIDDLE, 2).try_cast("int"), part(SLOT_MIDDLE, 3)))
-        .when(name.rlike(SLOT_END), make(part(SLOT_END, 1), part(SLOT_END, 3).try_cast("int"), part(SLOT_END, 2)))
-        .when(name.rlike(SLOT_BARE), make(part(SLOT_BARE, 1), part(SLOT_BARE, 2).try_cast("int"), F.lit("value")))
-    )
+    return slot_of(slot_text(name), name)
+
+
+def slot_text(name: Column) -> Column:
+    """A numbered name rewritten to its parts by one match; other names stay."""
+    return F.regexp_replace(name, SLOT_NAME, f"$1$4$7{SLOT_MARK}$2$6$8{SLOT_MARK}$3$5")
+
+
+def slot_of(text: Column, name: Column) -> Column:
+    """The parts in ``slot_text`` of a name; null when it is the name itself."""
+    part = lambda i: F.substring_index(F.substring_index(text, SLOT_MARK, i + 1), SLOT_MARK, -1)
+    attr = F.when(part(2) == "", "value").otherwise(part(2))
+    return F.when(text != name, F.struct(part(0).alias("entity"), part(1).try_cast("int").alias("idx"), attr.alias("attr")))
 
 
 def repeating_groups(fields: DataFrame, min_capacity: int = 2) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import values as V
 from formloom.functions.text import present
-from formloom.operators.reports import slot_parts
+from formloom.operators.reports import slot_of, slot_parts, slot_text
 
 # What the declared types accept.
 EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
@@ -405,14 +405,21 @@ def present_text(value: str | None) -> bool:
 # ---- rules on numbered rows, long form -------------------------------------
 
 
+def numbered(answers: DataFrame, *columns: Column | str) -> DataFrame:
+    """Numbered fields with ``columns`` and their entity, index and attribute.
+
+    The parts come out of a generator, so that conditions on them neither read
+    the name again nor move below it, to rows before they are aggregated.
+    """
+    keys = ["record_id", "form_id", "field_id"]
+    read = answers.select(*keys, *columns, slot_text(F.col("field_id")).alias("_slot"))
+    parts = F.inline(F.array_compact(F.array(slot_of(F.col("_slot"), F.col("field_id")))))
+    return read.select("*", parts).drop("_slot")
+
+
 def slot_values(answers: DataFrame) -> DataFrame:
     """Filled numbered fields with their entity, index and attribute."""
-    return (
-        answers.where(present(F.col("value")))
-        .select("record_id", "form_id", "field_id", V.norm(F.col("value")).alias("norm"), slot_parts(F.col("field_id")).alias("s"))
-        .where("s IS NOT NULL")
-        .select("record_id", "form_id", "field_id", "norm", "s.entity", "s.idx", "s.attr")
-    )
+    return numbered(answers.where(present(F.col("value"))), V.norm(F.col("value")).alias("norm"))
 
 
 def dedupe_within(answers: DataFrame, groups: Sequence[tuple[str, str]]) -> DataFrame:
@@ -446,11 +453,7 @@ def cross_section_dedupe(answers: DataFrame, attr: str, pairs: Sequence[tuple[st
 
 def nonempty_if_desc(answers: DataFrame, desc: Sequence[str] = ("desc", "description")) -> DataFrame:
     """Row values whose description is blank though the form has one."""
-    all_slots = (
-        answers.select("record_id", "form_id", "field_id", "value", slot_parts(F.col("field_id")).alias("s"))
-        .where("s IS NOT NULL")
-        .select("record_id", "form_id", "field_id", "value", "s.entity", "s.idx", "s.attr")
-    )
+    all_slots = numbered(answers, "value")
     is_desc = F.col("attr").isin(list(desc))
     by = ["record_id", "form_id", "entity", "idx"]
     blank = all_slots.where(is_desc).groupBy(*by).agg(F.max(present(F.coalesce("value", F.lit("")))).alias("described")).where("NOT described")
