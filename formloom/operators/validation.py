@@ -8,6 +8,7 @@ reads, so any number of rules costs one aggregation.  Rules over numbered rows
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
@@ -144,15 +145,15 @@ def formula_inputs(tree: Any) -> list[str]:
     return list(dict.fromkeys(found))
 
 
-def compile_formula(tree: Mapping, field: Any) -> Column:
+def compile_formula(tree: Mapping, field: Any, number: Any = None) -> Column:
     """A formula tree as a double Column.
 
     Blank inputs count as 0; text that is no number, or a zero divisor, gives
-    null.
+    null.  ``number`` gives the fields as numbers where they are known.
     """
     op = tree["op"]
-    num = lambda f: V.to_amount(field(f)).cast("double")
-    sub = lambda t: compile_formula(t, field)
+    num = number or (lambda f: V.to_amount(field(f)).cast("double"))
+    sub = lambda t: compile_formula(t, field, number)
     if op == "const":
         return F.lit(float(tree["value"]))
     if op == "field":
@@ -304,8 +305,7 @@ def _violations(rule: Rule) -> list[tuple[Column, str, str]]:
         return [(filled & ~v.rlike(PATTERNS[args[0]]), "error", "regex_match_failed")]
     if kind == "recompute":
         mode = args[1] if len(args) > 1 else "exact"
-        expected = compile_formula(args[0], col)
-        got = V.to_amount(v).cast("double")
+        expected, got = F.col(expected_name(args[0])), F.col("n_" + rule.field_id)
         slack = F.greatest(F.lit(5.0), F.abs(expected) * 0.005)
         known = expected.isNotNull()
         off = (got < expected - slack) if mode == "at_least" else (F.abs(got - expected) > slack)
@@ -357,7 +357,25 @@ def validate(answers: DataFrame, rules: Sequence[Rule], records: DataFrame | Non
     return out
 
 
+def expected_name(formula: Mapping) -> str:
+    return "e_" + hashlib.md5(json.dumps(formula, sort_keys=True).encode()).hexdigest()
+
+
+def _computed(wide: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The wide row with the numbers of the fields and the results of the
+    formulas that ``recompute`` rules look at, each worked out once a row."""
+    recomputed = [r for r in rules if r.kind == "recompute"]
+    if not recomputed:
+        return wide
+    formulas = {expected_name(r.args[0]): r.args[0] for r in recomputed}
+    fields = sorted({f for tree in formulas.values() for f in formula_inputs(tree)} | {r.field_id for r in recomputed})
+    numbers = wide.select("*", *[V.to_amount(F.col("v_" + f)).cast("double").alias("n_" + f) for f in fields])
+    known = lambda f: F.col("n_" + f)
+    return numbers.select("*", *[compile_formula(tree, known, known).alias(name) for name, tree in formulas.items()])
+
+
 def _violated(wide: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    wide = _computed(wide, rules)
     own = lambda r: F.lit(True) if r.form_id is None else F.col("form_id").cast("string") == r.form_id
     checks = [
         F.when(

@@ -46,3 +46,9 @@ def test_names_are_matched_once_and_not_below_the_sums(spark, name):
     matched = [line for line in plan if r"_(\d+)_([a-z]" in line]
     assert sides and len(matched) == sides and all(line.count(r"_(\d+)_([a-z]") == 1 for line in matched)
     assert not any("Filter" in line for line in matched)
+
+
+def test_amounts_of_a_recompute_are_read_once_a_record(spark):
+    plan = optimized(spark, "validate_recompute")
+    assert 0 < sum(line.count("regexp_replace") for line in plan) <= 16
+    assert not any("regexp_replace" in line for line in plan if "Generate explode" in line)
