@@ -141,9 +141,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 
 # Near copies at a similarity of word shingles.
 #
-# One fingerprint of a whole text is too blunt for a similarity of 0.8 (a pair
-# differs in some ten of 64 bits), so this stage uses a prefix filter on whole
-# shingle sets.  In any one order of all shingles, two sets at 0.8 or more
+# The byte-position index goes first: fingerprints that it links at two or fewer
+# bits are candidates, checked on whole shingle sets.  One fingerprint of a whole
+# text is too blunt for all pairs at a similarity of 0.8 (such a pair differs in
+# some ten of 64 bits), so a prefix filter on whole shingle sets finds the pairs
+# that are left.  In any one order of all shingles, two sets at 0.8 or more
 # share one of the first ``prefix_length`` shingles of each.  The order (cold
 # shingles first, then by hash) decides the cost, never the result.
 
@@ -286,15 +288,31 @@ def _alike_pairs(pairs: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFra
     return found
 
 
+def index_pairs(rows: DataFrame) -> DataFrame:
+    """``u, v``: nodes whose fingerprints the byte-position index links, each
+    fingerprint standing for the least of its nodes, and the other nodes of a
+    fingerprint with that least one.  ``rows`` has node and fp."""
+    owned = written(rows.select("node", "fp").distinct(), "owned")
+    least = owned.groupBy("fp").agg(F.min("node").alias("least"))
+    found = written(links(least.select("fp")), "links").distinct()
+    of = lambda fp, node: least.select(F.col("fp").alias(fp), F.col("least").alias(node))
+    across = found.withColumnsRenamed({"u": "fu", "v": "fv"}).join(of("fu", "u"), "fu").join(of("fv", "v"), "fv").select("u", "v")
+    within = owned.join(least, "fp").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    return across.union(within).where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def _near_roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, root`` of the shingle sets of ``texts`` (column ``text``) that are
-    reachable over pairs at 0.8 or more; ``rows`` has node, first prefix and low
-    part of each.
-
-    First the sets of a posting are compared with two leaders of it, which
-    settles most groups.  Then all pairs of a posting that are still in different
-    groups are compared, so every pair at 0.8 ends in one group.
+    reachable over pairs at 0.8 or more; ``rows`` has node, fingerprint, first
+    prefix and low part of each.
+
+    First the pairs that the byte-position index links are compared.  Then the
+    sets of a posting of the prefix filter are compared with two leaders of it
+    that are in other groups, which settles most groups.  Then all pairs of a
+    posting that are still in different groups are compared, so every pair at 0.8
+    ends in one group.
     """
+    indexed = components(_alike_pairs(written(index_pairs(rows), "indexed"), rows, texts))
     common = _common_shingles(rows, texts)
 
     def work(batch):
@@ -320,14 +338,20 @@ def _near_roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
         F.max_by(leader, F.struct("score", "node")).alias("l0"), F.min_by(leader, F.xxhash64("node")).alias("l1"),
     ).where("lo != hi")
     postings = written(posted.join(live, "key").select("key", "node", "size", "rest", "l0", "l1").distinct(), "postings")
+    root_of = lambda end, root: indexed.select(F.col("node").alias(end), F.col("root").alias(root))
     led = written(
         postings.select("node", "size", "rest", F.explode(F.array("l0", "l1")).alias("o"))
         .where(f"node != o.node AND {MEETS.format(m='size', n='o.size', i='rest', j='o.rest')}")
         .select(F.least("node", "o.node").alias("u"), F.greatest("node", "o.node").alias("v"))
-        .distinct(),
+        .distinct()
+        .join(root_of("u", "ru"), "u", "left")
+        .join(root_of("v", "rv"), "v", "left")
+        .where("coalesce(ru, u) != coalesce(rv, v)")
+        .select("u", "v"),
         "led",
     )
-    roots = components(_alike_pairs(led, rows, texts))
+    grouped_by_index = indexed.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    roots = components(_alike_pairs(led, rows, texts).union(grouped_by_index))
 
     grouped = written(postings.drop("l0", "l1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "grouped")
     drop_written(postings)
@@ -362,16 +386,18 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
 
     def work(batch):
-        sets, none = [shingle_set(t) for t in batch["text"]], np.zeros(0, np.uint64)
+        words, none = [words_of(t) for t in batch["text"]], np.zeros(0, np.uint64)
+        sets = [np.unique(shingle_hashes(w, SHINGLE)) for w in words]
         return {
             "doc_id": pa.array(batch["doc_id"], pa.int64()), "sha": pa.array(batch["sha"], pa.string()), "node": pa.array(list(map(node_of, sets)), pa.int64()),
+            "fp": pa.array([fingerprint(shingle_hashes(w, 3)) for w in words], pa.int64()),
             "prefix": pa.array([prefix_of(x, none).tobytes() for x in sets], pa.binary()), "low": pa.array([low_part(x).tobytes() for x in sets], pa.binary()),
         }
 
     small_batches(docs.sparkSession)
     text = text_of(text_col)
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha1(text).alias("sha"), text.alias("text"))
-    rows = written(map_batches(plain, "doc_id long, sha string, node long, prefix binary, low binary", work), "nodes")
+    rows = written(map_batches(plain, "doc_id long, sha string, node long, fp long, prefix binary, low binary", work), "nodes")
     roots = _near_roots(rows, plain.select("text"))
     owned = rows.select("doc_id", "sha", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     doc, code = fresh(docs, "_id", "_sha")

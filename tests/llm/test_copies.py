@@ -273,3 +273,33 @@ def test_every_two_substitutions_leave_a_mask():
         for b in range(13):
             blocks = {k for k, block in enumerate(decontaminate.BLOCKS) if a in block or b in block}
             assert any(blocks.isdisjoint(mask) for mask in decontaminate.MASKS)
+
+
+def test_the_byte_index_gives_the_first_pairs(spark, monkeypatch):
+    """Near copies are looked for by the byte-position index first; pairs in one
+    group by it are not compared by the prefix filter again."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(3000)]
+    texts = [" ".join(base), " ".join([*base[:1500], "other", *base[1501:]]), " ".join(base[::-1]), "", "one two"]
+    compared = []
+    whole = simhash._alike_pairs
+
+    def seen(pairs, rows, own):
+        compared.append(pairs.count())
+        return whole(pairs, rows, own)
+
+    monkeypatch.setattr(simhash, "_alike_pairs", seen)
+    kept = {r.doc_id for r in simhash.one_of_each(docs(spark, list(enumerate(texts)))).collect()}
+    assert kept == {0, 2, 3, 4} and compared == [1, 0, 0]
+
+
+def test_indexed_pairs_are_all_links(spark):
+    rng = random.Random(6)
+    prints = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(40)]
+    prints += [p ^ (1 << rng.randrange(63)) for p in prints[:20]] + prints[:10]
+    rows = spark.createDataFrame(list(enumerate(prints)), "node long, fp long")
+    found = reach_of = list(range(len(prints)))
+    for r in simhash.index_pairs(rows).collect():
+        reach_of = [min(reach_of[r.u], reach_of[r.v]) if x in (reach_of[r.u], reach_of[r.v]) else x for x in reach_of]
+    want = reach(len(prints), lambda i, j: bin((prints[i] ^ prints[j]) & ((1 << 64) - 1)).count("1") <= 2)
+    assert reach_of == want and want != found
