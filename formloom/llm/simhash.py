@@ -292,13 +292,14 @@ def index_pairs(rows: DataFrame) -> DataFrame:
     """``u, v``: nodes whose fingerprints the byte-position index links, each
     fingerprint standing for the least of its nodes, and the other nodes of a
     fingerprint with that least one.  ``rows`` has node and fp."""
-    owned = written(rows.select("node", "fp").distinct(), "owned")
+    owned = rows.select("node", "fp").distinct()
     least = owned.groupBy("fp").agg(F.min("node").alias("least"))
-    found = written(links(least.select("fp")), "links").distinct()
+    found = links(least.select("fp")).distinct()
     of = lambda fp, node: least.select(F.col("fp").alias(fp), F.col("least").alias(node))
     across = found.withColumnsRenamed({"u": "fu", "v": "fv"}).join(of("fu", "u"), "fu").join(of("fv", "v"), "fv").select("u", "v")
     within = owned.join(least, "fp").select(F.col("least").alias("u"), F.col("node").alias("v"))
-    return across.union(within).where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    pairs = across.union(within).where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    return pairs.distinct()
 
 
 def _near_roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -312,7 +313,9 @@ def _near_roots(rows: DataFrame, texts: DataFrame) -> DataFrame:
     posting that are still in different groups are compared, so every pair at 0.8
     ends in one group.
     """
-    indexed = components(_alike_pairs(written(index_pairs(rows), "indexed"), rows, texts))
+    first = written(index_pairs(rows), "first")
+    indexed = components(_alike_pairs(first, rows, texts))
+    drop_written(first)
     common = _common_shingles(rows, texts)
 
     def work(batch):
@@ -386,11 +389,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
 
     def work(batch):
-        words, none = [words_of(t) for t in batch["text"]], np.zeros(0, np.uint64)
-        sets = [np.unique(shingle_hashes(w, SHINGLE)) for w in words]
+        sets, prints, none = [], [], np.zeros(0, np.uint64)
+        for words in map(words_of, batch["text"]):
+            sets.append(np.unique(shingle_hashes(words, SHINGLE)))
+            prints.append(fingerprint(shingle_hashes(words, 3)))
         return {
             "doc_id": pa.array(batch["doc_id"], pa.int64()), "sha": pa.array(batch["sha"], pa.string()), "node": pa.array(list(map(node_of, sets)), pa.int64()),
-            "fp": pa.array([fingerprint(shingle_hashes(w, 3)) for w in words], pa.int64()),
+            "fp": pa.array(prints, pa.int64()),
             "prefix": pa.array([prefix_of(x, none).tobytes() for x in sets], pa.binary()), "low": pa.array([low_part(x).tobytes() for x in sets], pa.binary()),
         }
 
