@@ -22,8 +22,8 @@ from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.functions import text as X
-from formloom.operators.pairs import BOX, PAGE, Reach, page_pairs
-from formloom.session import cut_lineage
+from formloom.operators.pairs import BOX, PAGE, Reach, page_pairs, page_pairs_within
+from formloom.session import cut_lineage, stored
 
 
 #: Edges of a component that one task walks; rounds cut larger ones apart.
@@ -92,14 +92,19 @@ def _by_component(rows: DataFrame, at: Column, u: Column, v: Column) -> tuple[Da
 
 
 def _conflicts(
-    df: DataFrame, id_col: str, order: Sequence[str], conflict: Column, reach: Reach = Reach()
+    df: DataFrame, id_col: str, order: Sequence[str], conflict: Column, reach: Reach = Reach(), corners: bool = False
 ) -> DataFrame:
-    """Conflicting pairs as (hi, lo) nodes; ``order`` columns sort ascending."""
+    """Conflicting pairs as (hi, lo) nodes; ``order`` columns sort ascending.
+    With ``corners`` only boxes whose top left corners are within reach conflict."""
     cols = list(dict.fromkeys([*PAGE, id_col, "x0", "y0", "x1", "y1", *order]))
     slim = df.select(*cols)
     first = F.struct(*[F.col(c) for c in order], F.col(id_col))
     second = F.struct(*[F.col("r_" + c).alias(c) for c in order], F.col("r_" + id_col).alias(id_col))
-    return page_pairs(slim, slim, (first < second) & conflict, reach=reach).select(
+    if len(set(reach)) == 1 and reach.left is not None:
+        pairs = page_pairs_within(slim, (first < second) & conflict, reach.left, corners=corners)
+    else:
+        pairs = page_pairs(slim, slim, (first < second) & conflict, reach=reach)
+    return pairs.select(
         F.struct(*PAGE, F.col(id_col).alias("id")).alias("hi"),
         F.struct(*PAGE, F.col("r_" + id_col).alias("id")).alias("lo"),
     )
@@ -114,10 +119,11 @@ def _first_of_box(df: DataFrame, id_col: str, order: Sequence[str], apart: Colum
     """The first row of each distinct box.  Equal boxes conflict and share all
     other conflicts, so the rows after the first are dropped whatever happens
     to it; k boxes on one spot then need no pairs.  Rows with ``apart`` (boxes
-    that do not conflict with their equals) stay by themselves."""
+    that do not conflict with their equals) stay by themselves.  Both sides of
+    the pairs and the survivors read them, so they are worked out once."""
     alone = F.when(apart, F.col(id_col)) if apart is not None else F.lit(None)
     first = F.min(F.struct(*order, id_col)).alias("_f")
-    return (
+    return stored(
         df.groupBy(*PAGE, *BOX, alone.alias("_alone"))
         .agg(first)
         .select(*PAGE, *BOX, *[F.col(f"_f.{c}").alias(c) for c in (*order, id_col)])
@@ -150,7 +156,7 @@ def dedupe_fields(fields: DataFrame, tolerance: float = 5.0, id_col: str = "rect
         & (F.abs(F.col("y1") - F.col("r_y1")) < tolerance)
     )
     firsts = _first_of_box(ranked, id_col, ("doubt",), F.lit(tolerance <= 0))
-    edges = _conflicts(firsts, id_col, ("doubt",), same, Reach.all_round(tolerance))
+    edges = _conflicts(firsts, id_col, ("doubt",), same, Reach.all_round(tolerance), corners=True)
     return _survivors(fields, firsts, id_col, edges)
 
 
@@ -316,7 +322,19 @@ def mutual_best(pairs: DataFrame) -> DataFrame:
 
 
 def iou_match(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
-    """Greedy one-to-one matching by (IoU descending, a_id, b_id).
+    """Greedy one-to-one matching by (IoU descending, a_id, b_id)."""
+    return match_pairs(candidate_matches(a, b, threshold))
+
+
+def iou_matches(a: DataFrame, b: DataFrame, thresholds: Sequence[float]) -> dict[float, DataFrame]:
+    """``iou_match`` at several thresholds; candidates are looked for once, at
+    the least, and serve all others."""
+    pairs = stored(candidate_matches(a, b, min(thresholds)))
+    return {t: match_pairs(pairs.where(F.col("iou") >= t)) for t in thresholds}
+
+
+def match_pairs(open_pairs: DataFrame) -> DataFrame:
+    """Greedy one-to-one choice among candidate pairs, best first.
 
     A pair that is best for both its ends is taken by the greedy walk whatever
     the other pairs are.  A round takes those, the rest falls into components of
@@ -325,15 +343,14 @@ def iou_match(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
     """
     wa = Window.partitionBy(*PAGE, "a_id")
     wb = Window.partitionBy(*PAGE, "b_id")
-    open_pairs = candidate_matches(a, b, threshold)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in open_pairs.schema)
     ends = [F.struct(*PAGE, F.lit(side).alias("side"), F.col(c).alias("id")) for side, c in enumerate(("a_id", "b_id"))]
     done: DataFrame | None = None
     while True:
         state = (
             mutual_best(open_pairs)
+            .withColumn("_tb", F.max("chosen").over(wb))  # rows are dealt by b_id already
             .withColumn("_ta", F.max("chosen").over(wa))
-            .withColumn("_tb", F.max("chosen").over(wb))
             .where(F.col("chosen") | ~(F.col("_ta") | F.col("_tb")))
             .drop("_ta", "_tb")
         )

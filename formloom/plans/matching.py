@@ -33,7 +33,7 @@ def iou_match(t: Tables):
 
 @query()
 def precision_recall(t: Tables):
-    matches = {thr: greedy.iou_match(t.rect, t.rect_b, thr) for thr in (0.3, 0.5)}
+    matches = greedy.iou_matches(t.rect, t.rect_b, (0.3, 0.5))
     return greedy.precision_recall(t.rect, t.rect_b, matches)
 
 
