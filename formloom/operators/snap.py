@@ -7,7 +7,10 @@ change their input while scanning, so results do not depend on visiting order;
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,8 +18,8 @@ from pyspark.sql.window import Window
 from formloom.functions import geometry as G
 from formloom.operators.detect import clustered_positions
 from formloom.operators.greedy import connected_components
-from formloom.operators.pairs import PAGE, Reach, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
-from formloom.session import cut_lineage
+from formloom.operators.pairs import PAGE, Reach, dealt, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
+from formloom.session import cut_lineage, stored
 
 WIDGET = (*PAGE, "rect_id")
 BOX = ("x0", "y0", "x1", "y1")
@@ -384,8 +387,9 @@ def shrink_tall(
     )
 
 
-def _short_rules(tall: DataFrame, rules: DataFrame, max_share: float) -> DataFrame:
-    """Short rules near the bottom or top of a widget, with their boxes."""
+def _short_rules(tall: DataFrame, rules: DataFrame, max_share: float, *extra: Column) -> DataFrame:
+    """Short rules near the bottom or top of a widget, with their boxes; ``extra``
+    columns of the widget come along."""
     a, b = G.box(), G.box("r_")
     ov = F.greatest(F.lit(0.0), G.overlap_x(a, b))
     return page_pairs(
@@ -395,7 +399,7 @@ def _short_rules(tall: DataFrame, rules: DataFrame, max_share: float) -> DataFra
         & ((ov >= 0.05 * G.width(a)) | (ov >= 0.5 * G.width(b)))
         & (G.width(b) <= max_share * G.width(a)),
         reach=Reach(0, 20, 0, 5),
-    ).select(*WIDGET, F.col("r_rule_id").alias("rule_id"), *[F.col("r_" + c).alias(c) for c in BOX])
+    ).select(*WIDGET, *extra, F.col("r_rule_id").alias("rule_id"), *[F.col("r_" + c).alias(c) for c in BOX])
 
 
 def shrink_tall_in_order(
@@ -422,14 +426,14 @@ def shrink_tall_in_order(
     a, b = G.box(), G.box("r_")
     slim = _widgets(widgets, "field_id")
     high = slim.where(F.col("y1") - F.col("y0") >= min_taller)
-    near = cut_lineage(_short_rules(high, rules, max_share))
-    moved = near.join(slim.select(*WIDGET, "field_id"), list(WIDGET)).select(
-        *WIDGET, "field_id", "x0", (F.col("y1") - height).alias("y0"), "x1", "y1"
-    )
-    stands = slim.select(*WIDGET, "field_id", *BOX).unionByName(moved).distinct()
+    near = stored(_short_rules(high, rules, max_share, F.col("field_id"), F.struct(*BOX).alias("own")))
+    movers = near.select(*WIDGET, "field_id", "own.*").distinct()
+    moved = near.select(*WIDGET, "field_id", "x0", (F.col("y1") - height).alias("y0"), "x1", "y1").distinct()
+    stands = slim.select(*WIDGET, "field_id", *BOX).unionByName(moved)
+    near = near.drop("field_id", "own")
     meets = (
         page_pairs(
-            high.join(near.select(*WIDGET).distinct(), list(WIDGET), "left_semi").select(*WIDGET, "field_id", *BOX),
+            movers,
             stands,
             (F.col("field_id") != F.col("r_field_id"))
             & (F.col("rect_id") != F.col("r_rect_id"))
@@ -446,9 +450,10 @@ def shrink_tall_in_order(
     near = near.join(movable, list(WIDGET), "left_semi")
     # Owners of a rule: a bottom within 2 pt of the rule's, anywhere on the page.
     # Moved places count for widgets that may move; others stay where they are.
-    ends = slim.select(*WIDGET, "y1").unionByName(moved.join(movable, list(WIDGET), "left_semi").select(*WIDGET, "y1"))
-    bottoms = ends.select(*WIDGET, F.col("y1").alias("y0"), "y1").distinct()
-    owners = (
+    ends = slim.select(*WIDGET, "y1").unionByName(moved.join(movable, list(WIDGET), "left_semi").select(*WIDGET, "y1").distinct())
+    bottoms = ends.select(*WIDGET, F.col("y1").alias("y0"), "y1")
+    # read twice below
+    owners = stored(
         page_pairs(
             on_y_axis(near.select(*WIDGET, "rule_id", "y0", "y1")),
             on_y_axis(bottoms),
@@ -470,7 +475,7 @@ def shrink_tall_in_order(
     # One table for the pass: movable widgets, partners that stay, rules.
     boxes = slim.select(*WIDGET, "field_id", *BOX)
     asked = F.col("rect_id")  # never null, so ids stay whole numbers
-    own = home.join(boxes, list(WIDGET)).select(*PAGE, "root", F.lit("movable").alias("kind"), "rect_id", asked.alias("other_id"), "field_id", *BOX)
+    own = home.join(movers, list(WIDGET)).select(*PAGE, "root", F.lit("movable").alias("kind"), "rect_id", asked.alias("other_id"), "field_id", *BOX)
     partner = meets.join(others, [*PAGE, "other_id"], "left_anti").join(home, list(WIDGET))
     partner = partner.join(boxes.select(*PAGE, F.col("rect_id").alias("other_id"), "field_id", *BOX), [*PAGE, "other_id"])
     partner = partner.select(*PAGE, "root", F.lit("partner").alias("kind"), "rect_id", "other_id", "field_id", *BOX)
@@ -481,16 +486,27 @@ def shrink_tall_in_order(
     fed = own.withColumn("field_id", text).unionByName(partner.withColumn("field_id", text)).unionByName(line).unionByName(pair)
     walk = _OrderedShrink(min_area, min_y, min_taller, height)
 
-    def ordered(part: pd.DataFrame) -> pd.DataFrame:
-        return walk(part)
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [*(batch.schema.field(c).type for c in PAGE), batch.schema.field("members").type.value_type.field("rect_id").type]
+            out = [[] for _ in (*WIDGET, *BOX)]
+            for form, page, members in zip(*(batch.column(c).to_pylist() for c in (*PAGE, "members"))):
+                for rect_id, moved_to in walk(members).items():
+                    for column, value in zip(out, (form, page, rect_id, *moved_to)):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (*kinds, *[pa.float64()] * 4))], names=[*WIDGET, *BOX])
 
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
     schema = ", ".join([*(f"{c} {kinds[c]}" for c in WIDGET), *(f"{c} double" for c in BOX)])
-    return fed.groupBy(*PAGE, "root").applyInPandas(ordered, schema)
+    # Most components hold a few widgets, so one call walks many of them.
+    member = F.struct("kind", "rect_id", "other_id", "field_id", *BOX)
+    parts = dealt(fed, *PAGE, "root").groupBy(*PAGE, "root").agg(F.collect_list(member).alias("members"))
+    return parts.select(*PAGE, "members").mapInArrow(ordered, schema)
 
 
 class _OrderedShrink:
-    """The pass over one component of ``shrink_tall_in_order``."""
+    """The pass over one component of ``shrink_tall_in_order``: its rows in, the
+    places of those that move out."""
 
     def __init__(self, min_area: float, min_y: float, min_taller: float, height: float):
         self.min_area, self.min_y, self.min_taller, self.height = min_area, min_y, min_taller, height
@@ -501,18 +517,28 @@ class _OrderedShrink:
         taller = abs((one[3] - one[1]) - (two[3] - two[1]))
         return down >= self.min_y and across > 0 and down * across >= self.min_area and taller >= self.min_taller
 
-    def __call__(self, part: pd.DataFrame) -> pd.DataFrame:
-        rows = {kind: list(own.itertuples(index=False)) for kind, own in part.groupby("kind")}
-        box = lambda r: (r.x0, r.y0, r.x1, r.y1)
-        now = {r.rect_id: box(r) for r in rows.get("movable", ())}
-        names = {r.rect_id: r.field_id for r in rows.get("movable", ())}
-        for r in rows.get("partner", ()):
-            now[r.other_id], names[r.other_id] = box(r), r.field_id
-        lines: dict = {}
-        for r in rows.get("rule", ()):
-            lines.setdefault(r.rect_id, []).append(box(r))
-        movable = {r.rect_id for r in rows.get("movable", ())}
-        visits = {tuple(sorted((r.rect_id, r.other_id))) for kind in ("partner", "pair") for r in rows.get(kind, ())}
+    def __call__(self, members: list[dict]) -> dict:
+        box = lambda r: tuple(r[c] for c in BOX)
+        rows = defaultdict(list)
+        for r in members:
+            rows[r["kind"]].append(r)
+        now = {r["rect_id"]: box(r) for r in rows["movable"]}
+        names = {r["rect_id"]: r["field_id"] for r in rows["movable"]}
+        for r in rows["partner"]:
+            now[r["other_id"]], names[r["other_id"]] = box(r), r["field_id"]
+        lines = defaultdict(list)
+        for r in rows["rule"]:
+            lines[r["rect_id"]].append(box(r))
+        movable = {r["rect_id"] for r in rows["movable"]}
+        # bottoms by bands of 2 pt: those within 2 pt lie in the same band or the next
+        bands = defaultdict(set)
+        for k in movable:
+            bands[now[k][3] // 2].add(k)
+
+        def owned(y: float, tall) -> bool:
+            return any(k != tall and abs(y - now[k][3]) < 2 for band in (y // 2 - 1, y // 2, y // 2 + 1) for k in bands.get(band, ()))
+
+        visits = {tuple(sorted((r["rect_id"], r["other_id"]))) for kind in ("partner", "pair") for r in rows[kind]}
         out = {}
         for i, j in sorted(visits):
             if names[i] == names[j] or not self._crash(now[i], now[j]):
@@ -520,13 +546,13 @@ class _OrderedShrink:
             tall = i if now[i][3] - now[i][1] > now[j][3] - now[j][1] else j
             if tall not in movable or tall in out:
                 continue
-            free = [x for x in lines.get(tall, ()) if not any(k != tall and abs(x[3] - now[k][3]) < 2 for k in movable)]
+            free = [x for x in lines[tall] if not owned(x[3], tall)]
             if len(free) == 1:
                 x0, _, x1, y1 = free[0]
+                bands[now[tall][3] // 2].discard(tall)
                 out[tall] = now[tall] = (x0, y1 - self.height, x1, y1)
-        page = part.iloc[0]
-        made = pd.DataFrame([(page["form_id"], page["page"], k, *v) for k, v in out.items()], columns=[*WIDGET, *BOX])
-        return made
+                bands[y1 // 2].add(tall)
+        return out
 
 
 def modal_value(df: DataFrame, keys, value: Column, name: str = "mode") -> DataFrame:

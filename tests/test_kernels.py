@@ -154,6 +154,14 @@ def test_later_pairs_see_moved_rectangles(spark):
     assert [x.rect_id for x in snap.shrink_tall(df, lines).collect()] == [1]
 
 
+def test_ordered_shrink_walks_many_components_a_call(spark):
+    """A call per component costs more than the walk: pages mostly hold small ones."""
+    rects = spark.createDataFrame([(0, 0, 1, "a", 0.0, 0.0, 200.0, 50.0)], "form_id int, page int, rect_id bigint, field_id string, x0 double, y0 double, x1 double, y1 double")
+    lines = spark.createDataFrame([(0, 0, 1, 20.0, 40.0, 60.0, 41.0)], "form_id int, page int, rule_id bigint, x0 double, y0 double, x1 double, y1 double")
+    plan = snap.shrink_tall_in_order(rects, lines)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
 def test_dedupe_keeps_the_most_confident(spark):
     rows = [(0, 0, 1, 0.0, 0.0, 10.0, 10.0, 0.5), (0, 0, 2, 3.0, 0.0, 13.0, 10.0, 0.9), (0, 0, 3, 6.0, 0.0, 16.0, 10.0, 0.7), (0, 0, 4, 9.0, 0.0, 19.0, 10.0, 0.6)]
     df = spark.createDataFrame(rows, BOXES + ", confidence double")
