@@ -471,13 +471,14 @@ def cross_section_dedupe(answers: DataFrame, attr: str, pairs: Sequence[tuple[st
 
 def nonempty_if_desc(answers: DataFrame, desc: Sequence[str] = ("desc", "description")) -> DataFrame:
     """Row values whose description is blank though the form has one."""
-    all_slots = numbered(answers, "value")
     is_desc = F.col("attr").isin(list(desc))
     by = ["record_id", "form_id", "entity", "idx"]
-    blank = all_slots.where(is_desc).groupBy(*by).agg(F.max(present(F.coalesce("value", F.lit("")))).alias("described")).where("NOT described")
+    # one row's few fields; names are read once for values and descriptions
+    filled = numbered(answers, F.coalesce(present(F.col("value")), F.lit(False)).alias("filled")).dropna(subset=by)
+    described = F.max(F.when(is_desc, F.col("filled"))).over(Window.partitionBy(*by))
     return (
-        all_slots.where(~is_desc & present(F.col("value")))
-        .join(blank, by, "left_semi")
+        filled.withColumns({"is_desc": is_desc, "described": described})
+        .where("NOT described AND NOT is_desc AND filled")
         .select("record_id", "form_id", "field_id")
     )
 
