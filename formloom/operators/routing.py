@@ -317,11 +317,19 @@ TEMPLATE_TYPE = (
 )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _merge(base: Column, over: Column) -> Column:
     """Map merge, the right side winning; null values remove their key."""
-    over = F.coalesce(over, F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(over, k))
-    return F.map_concat(kept, F.map_filter(over, lambda k, v: v.isNotNull()))
+
+    def merged(over: Column) -> Column:
+        kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(over, k))
+        return F.map_concat(kept, F.map_filter(over, lambda k, v: v.isNotNull()))
+
+    return _once(F.coalesce(over, F.create_map().cast("map<string,string>")), merged)
 
 
 def _falsy(v: Column) -> Column:
@@ -348,7 +356,9 @@ def expand_lifecycle(cases: DataFrame, templates: DataFrame) -> DataFrame:
     def step(acc: Column, s: Column) -> Column:
         skip = s["requires_fact"].isNotNull() & _falsy(F.try_element_at(acc["facts"], s["requires_fact"]))
         day = F.date_add(F.col("anchor_date"), s["offset_days"])
-        now = _merge(acc["facts"], s["override"])
+        return F.when(skip, acc).otherwise(_once(_merge(acc["facts"], s["override"]), lambda now: held(acc, s, day, now)))
+
+    def held(acc: Column, s: Column, day: Column, now: Column) -> Column:
         sets = F.transform_values(
             F.coalesce(s["sets"], F.create_map().cast("map<string,string>")),
             lambda k, v: F.replace(v, F.lit("{event_date}"), F.date_format(day, "yyyy-MM-dd")),
@@ -362,8 +372,7 @@ def expand_lifecycle(cases: DataFrame, templates: DataFrame) -> DataFrame:
         )
         after = _merge(_merge(_merge(now, copies), sets), defaults)
         event = F.struct(s["seq"].alias("seq"), s["type"].alias("type"), day.alias("event_date"), now.alias("facts"))
-        made = F.struct(after.alias("facts"), F.array_append(acc["events"], event).alias("events"))
-        return F.when(skip, acc).otherwise(made)
+        return F.struct(after.alias("facts"), F.array_append(acc["events"], event).alias("events"))
 
     return (
         cases.join(ordered, "case_type")
