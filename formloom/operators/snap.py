@@ -29,6 +29,8 @@ RULE_Y_TOL, RULE_X_SLOP, BELOW_BIAS = 15.0, 12.0, 4.0
 NARROW_PENALTY, NARROWEST_SHARE = 0.05, 0.3
 X_CLAMP = 8.0
 TEXT_HEIGHT = 12.0
+# Rules are long and looked for 15 pt around, so small cells copy them often.
+RULE_CELL = (512.0, 128.0)
 
 
 def _widgets(df: DataFrame, *extra: str) -> DataFrame:
@@ -50,12 +52,13 @@ def nearest_rule(widgets: DataFrame, rules: DataFrame, tolerance: float = RULE_Y
         places(rules, rule_id=F.min("rule_id")),
         (F.abs(dy) <= tolerance) & (b.x1 >= a.x0 - RULE_X_SLOP) & (b.x0 <= a.x1 + RULE_X_SLOP),
         reach=Reach(RULE_X_SLOP, tolerance, RULE_X_SLOP, tolerance),
+        cell=RULE_CELL,
     )
     return nearest(
         pairs,
         (*WIDGET, *BOX),
         {"rule_id": F.col("r_rule_id"), "rule_x0": b.x0, "rule_x1": b.x1, "rule_y": b.y0, "cost": cost},
-        [cost, b.y0, b.x0, F.col("r_rule_id")],
+        ["cost", "rule_y", "rule_x0", "rule_id"],
     )
 
 
@@ -79,7 +82,7 @@ def snap_to_rule(matches: DataFrame, widgets: DataFrame, sibling_tol: float = 3.
         *PAGE, "rule_id", F.col("rule_x0").alias("x0"), F.col("rule_y").alias("y0"), F.col("rule_x1").alias("x1"), F.col("rule_y").alias("y1")
     ).distinct()
     owners = (
-        page_pairs(ruled, _widgets(widgets), F.abs(b.y1 - F.col("y0")) <= sibling_tol, reach=Reach(0, sibling_tol, 0, sibling_tol))
+        page_pairs(ruled, _widgets(widgets), F.abs(b.y1 - F.col("y0")) <= sibling_tol, reach=Reach(0, sibling_tol, 0, sibling_tol), cell=RULE_CELL)
         .groupBy(*PAGE, "rule_id")
         .agg(F.count("*").alias("n_near"), F.max("r_rect_id").alias("one_owner"))
     )
