@@ -194,6 +194,7 @@ def blank_snap(widgets: DataFrame, blanks: DataFrame, words: DataFrame, drop: fl
             blanks.where(F.col("x1") - F.col("x0") >= 20).select(*PAGE, *BOX),
             fits | same_row,
             reach=Reach(0, 0, 0, 9),
+            cell=RULE_CELL,
         )
         .groupBy(*WIDGET, "field_id", *BOX)
         .agg(
@@ -204,6 +205,7 @@ def blank_snap(widgets: DataFrame, blanks: DataFrame, words: DataFrame, drop: fl
         .select(*WIDGET, "field_id", *BOX, "s.bx0", "s.bx1", "s.by")
         .where(F.col("bx1") - F.col("bx0") >= 0.75 * (F.col("x1") - F.col("x0")))
     )
+    best = stored(best)  # read twice below
     # room for the label word the blank starts at
     start = best.select(
         *WIDGET,
@@ -242,15 +244,22 @@ def blank_snap(widgets: DataFrame, blanks: DataFrame, words: DataFrame, drop: fl
             | (F.abs(F.col("n_y1") - F.col("y1")) >= 1)
         )
     )
-    # the targets are read four times below; written once, they are not recomputed
-    targets = cut_lineage(targets)
+    # the targets are read several times below; written once, they are not recomputed
+    targets = stored(targets)
     new = targets.select(*WIDGET, "field_id", *[F.col("n_" + c).alias(c) for c in BOX])
-    old = _widgets(widgets, "field_id")
-    effective = new.unionByName(old.join(new.select(*WIDGET), list(WIDGET), "left_anti"))
-    clash = (F.col("field_id") != F.col("r_field_id")) & (G.overlap_x(a, b) > 2) & (G.overlap_y(a, b) > 2)
-    bumps = page_semi(new, effective, clash, id_cols=WIDGET, reads=("field_id",)).select(*WIDGET)
-    was_free = page_anti(targets.select(*WIDGET, "field_id", *BOX), old, clash, id_cols=WIDGET, reads=("field_id",)).select(*WIDGET)
-    dropped = bumps.join(was_free, list(WIDGET), "left_semi")
+    old = targets.select(*WIDGET, "field_id", *BOX)
+    # Places that widgets stood on, and those taken in the end: who moved leaves
+    # one place and takes another, so counts tell them without a join by widget.
+    counted = lambda df, stood, taken: df.select(*PAGE, "field_id", *BOX, F.lit(stood).alias("stood"), F.lit(taken).alias("taken"))
+    ends = counted(widgets, 1, 1).unionByName(counted(old, 0, -1)).unionByName(counted(new, 0, 1))
+    stands = places(ends, (*PAGE, "field_id"), stood=F.sum("stood") > 0, taken=F.sum("taken") > 0)
+    # one row a target, around its old and its new place
+    around = [f("n_" + c, c).alias(c) for c, f in zip(BOX, (F.least, F.least, F.greatest, F.greatest))]
+    both = targets.select(*WIDGET, "field_id", *["n_" + c for c in BOX], *[F.col(c).alias("o_" + c) for c in BOX], *around)
+    clash = lambda x, there: F.col(there) & (G.overlap_x(x, b) > 2) & (G.overlap_y(x, b) > 2)
+    bumps, held = clash(G.box("n_"), "r_taken"), clash(G.box("o_"), "r_stood")
+    hits = page_pairs(both, stands, (F.col("field_id") != F.col("r_field_id")) & (bumps | held), cell=RULE_CELL)
+    dropped = hits.groupBy(*WIDGET).agg(F.max(bumps).alias("bumps"), F.max(held).alias("held")).where("bumps AND NOT held")
     return new.join(dropped, list(WIDGET), "left_anti")
 
 
