@@ -667,13 +667,14 @@ def equal_columns(widgets: DataFrame, margins: DataFrame, gutter: float = 14.0,
     # widgets stacked in one column: counted over distinct places
     cy = (F.col("y0") + F.col("y1")) / 2
     places = slim.groupBy(*PAGE, "x0", "x1", cy.alias("cy")).agg(F.count("*").alias("n"))
-    flat = lambda df: df.withColumn("y0", F.lit(0.0)).withColumn("y1", F.lit(0.0))
+    # left edges meet as points: whole boxes would lie in several cells each
+    edge = lambda df: df.withColumns({"right": F.col("x1"), "x1": F.col("x0"), "y0": F.lit(0.0), "y1": F.lit(0.0)})
     aligned = (
         page_pairs(
-            flat(slim.withColumns({"cy": cy, "h": F.col("y1") - F.col("y0")})),
-            flat(places),
+            edge(slim.withColumns({"cy": cy, "h": F.col("y1") - F.col("y0")})),
+            edge(places),
             (F.abs(b.x0 - a.x0) < 8)
-            & (F.abs(b.x1 - a.x1) < 8)
+            & (F.abs(F.col("r_right") - F.col("right")) < 8)
             & (F.abs(F.col("r_cy") - F.col("cy")) > F.col("h")),
             reach=Reach(8, 0, 8, 0),
             cell=(64.0, 64.0),
