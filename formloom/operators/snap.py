@@ -376,7 +376,7 @@ def shrink_tall(
         id_cols=WIDGET,
         reads=("field_id",),
     )
-    near = _short_rules(tall, rules, max_share)
+    near = stored(_short_rules(tall, rules, max_share))  # read twice below
     # a rule within 2 pt of another widget's bottom is that widget's own,
     # wherever it stands across the page
     bottoms = on_y_axis(slim.select(*PAGE, "rect_id", F.col("y1").alias("y0"), "y1"))
