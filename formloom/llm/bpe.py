@@ -13,7 +13,6 @@ import heapq
 import json
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, text_of
+from .common import WorkerStore, map_batches, text_of
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -160,13 +159,13 @@ class ByteBPE:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=4)
+@WorkerStore
 def vocabulary(path: str) -> ByteBPE:
     """One per worker process and file."""
     return ByteBPE(path)
 
 
-@lru_cache(maxsize=4)
+@WorkerStore
 def packed_words(path: str) -> Memo:
     return Memo(vocabulary(path).pack)
 

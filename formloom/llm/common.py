@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache, update_wrapper
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,39 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+_STORES: list[WorkerStore] = []
+#: Tasks that a store outlives without being asked for.
+IDLE_TASKS = 1
+
+
+class WorkerStore:
+    """``lru_cache`` for what a worker process keeps between tasks.
+
+    Workers are used again by later steps, which would carry the vocabularies and
+    word stores of all steps before; ``drop_idle_stores`` lets go of those.
+    """
+
+    def __init__(self, make: Callable):
+        update_wrapper(self, make)
+        self.kept, self.idle = lru_cache(maxsize=4)(make), 0
+        _STORES.append(self)
+
+    def __reduce__(self):
+        return self.__qualname__  # tasks take the store of their own process
+
+    def __call__(self, *args):
+        self.idle = 0
+        return self.kept(*args)
+
+
+def drop_idle_stores() -> None:
+    """Call at the start of a task: stores go that no task lately asked for."""
+    for store in _STORES:
+        store.idle += 1
+        if store.idle > IDLE_TASKS + 1:
+            store.kept.cache_clear()
+
+
 def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], dict[str, object]]) -> DataFrame:
     """``mapInArrow`` for a function from columns to columns.
 
@@ -63,6 +97,7 @@ def map_batches(df: DataFrame, schema: str, work: Callable[[dict[str, list]], di
     names = [f.strip().split()[0] for f in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_idle_stores()
         for batch in batches:
             for lo in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(lo, BATCH_ROWS)

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import struct
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ByteBPE, Memo, vocabulary
-from .common import map_batches, text_of
+from .common import WorkerStore, map_batches, text_of
 
 SPACES = regex.compile(r"\s{2,}(?=\S)")
 SIZES, LAST = struct.Struct("=qq"), struct.Struct("=i")
@@ -105,7 +104,7 @@ class PrefixCounter:
         return np.concatenate(parts)
 
 
-@lru_cache(maxsize=4)
+@WorkerStore
 def counter(path: str) -> PrefixCounter:
     return PrefixCounter(vocabulary(path))
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Memo
-from .common import map_batches, small_batches, text_of
+from .common import WorkerStore, drop_idle_stores, map_batches, small_batches, text_of
 
 BITS = 18
 #: Bound of the training sample, its shards, passes and FTRL's parameters.
@@ -40,7 +39,7 @@ MASK = np.uint64((1 << BITS) - 1)
 BIAS, REPEATED = 0, 1
 
 
-@lru_cache(maxsize=1)
+@WorkerStore
 def word_hashes() -> Memo:
     return Memo(lambda word: zlib.crc32(word.encode()), limit=REMEMBERED)
 
@@ -157,6 +156,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
+        drop_idle_stores()
         w = np.frombuffer(packed, np.float32).astype(np.float64)
         found = (features(t) for t in texts)
         return pd.Series([_sigmoid(float(w[s] @ v)) for s, v in found], dtype=float)

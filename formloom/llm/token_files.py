@@ -27,7 +27,6 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +38,7 @@ from pyspark.sql.window import Window
 from formloom.operators.ranking import running
 
 from .bpe import Memo
-from .common import map_batches, shared_path, text_of
+from .common import WorkerStore, map_batches, shared_path, text_of
 
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
@@ -116,7 +115,7 @@ def _gaps(found: list) -> list[int]:
         return out
 
 
-@lru_cache(maxsize=4)
+@WorkerStore
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
