@@ -57,6 +57,12 @@ RULES_A_ROUND, LEAST = 4096, 8
 
 #: A stop or comma that stands with another sign, where it is no word of its own.
 SIGN_RUN = re.compile(r"(?:[^\w \n]|_)[.,]|[.,](?:[^\w \n]|_)")
+#: The same for Latin-1 text, of which each byte is put in lower case and told
+#: apart: stop or comma ("."), other sign ("!"), letter, digit or gap ("a").
+LATIN = bytes(range(256)).decode("latin-1")
+LOWER = LATIN.lower().encode("latin-1")
+KINDS = "".join("." if c in ".," else "!" if re.match(r"[^\w \n]|_", c) else "a" for c in LATIN).encode()
+SIGN_RUNS = (b"..", b".!", b"!.")
 
 
 def pieces_of(text: str) -> list[str]:
@@ -66,13 +72,14 @@ def pieces_of(text: str) -> list[str]:
     and a stop or comma after a word, which it takes as a word, is cut off."""
     if "<|" not in text:  # special tokens are taken as written
         try:
-            text.encode("latin-1")
-            text = seen = text.lower()
+            latin = text.encode("latin-1").translate(LOWER)
+            text, kinds = latin.decode("latin-1"), latin.translate(KINDS)
+            run = any(r in kinds for r in SIGN_RUNS)
         except UnicodeEncodeError:
             # Some letters become a letter and a mark when they are normalised or
             # put in lower case, and the mark joins a stop that follows.
-            seen = unicodedata.normalize("NFC", text).lower()
-        if not SIGN_RUN.search(seen):
+            run = SIGN_RUN.search(unicodedata.normalize("NFC", text).lower())
+        if not run:
             text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
     return text.replace("\n", " ").split(" ")
 
@@ -97,6 +104,9 @@ class WordEncoder:
         gaps = list(map(_gaps, known))
         new = {pieces[i] for pieces, gap in zip(split, gaps) for i in gap}
         new = [p for p in new if p not in self.memo.old]
+        if len(self.memo) + len(new) > self.memo.limit:  # as the store does piece by piece
+            self.memo.old = dict(self.memo)
+            self.memo.clear()
         for piece, ids in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False)):
             self.memo[piece] = array("I", ids.ids).tobytes()
         for pieces, found, gap in zip(split, known, gaps):
@@ -124,11 +134,20 @@ def repair(ids: np.ndarray, first_rule: int, end_id: int = END_ID) -> tuple[np.n
     """``symbols, rules`` of a sequence: rule ``r`` stands for symbol
     ``first_rule + r`` and is a row (left, right)."""
     symbols, rules = ids.astype(np.uint32), []
+    # A pair's count only falls, so after the first round those with a symbol of
+    # the round before are counted, and the frequent ones that were left over.
+    last, over = 0, None
     while True:
         narrow = first_rule + len(rules) <= 1 << 16
         shift, kind = (16, np.uint32) if narrow else (32, np.uint64)
-        pairs = (symbols[:-1].astype(kind) << kind(shift)) | symbols[1:]
-        ordered = np.sort(pairs[symbols[:-1] != end_id])
+        fresh = symbols >= last
+        asked = fresh[:-1] | fresh[1:]
+        if over is not None:
+            asked |= over[0][symbols[:-1]] & over[1][symbols[1:]]
+        asked = np.flatnonzero(asked & (symbols[:-1] != end_id))
+        first, second = symbols[asked], symbols[asked + 1]
+        pairs = (first.astype(kind) << kind(shift)) | second
+        ordered = np.sort(pairs)
         if not len(ordered):
             break
         starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -136,15 +155,23 @@ def repair(ids: np.ndarray, first_rule: int, end_id: int = END_ID) -> tuple[np.n
         often = np.flatnonzero(counts >= LEAST)
         if not len(often):
             break
-        best = often[np.argsort(-counts[often], kind="stable")[:RULES_A_ROUND]]
+        order = often[np.argsort(-counts[often], kind="stable")]
+        best, others = order[:RULES_A_ROUND], ordered[starts[order[RULES_A_ROUND:]]]
         chosen = np.sort(ordered[starts[best]])
-        left, right = (chosen >> kind(shift)).astype(np.int64), (chosen & kind((1 << shift) - 1)).astype(np.int64)
+        sides = lambda p: ((p >> kind(shift)).astype(np.int64), (p & kind((1 << shift) - 1)).astype(np.int64))
+        left, right = sides(chosen)
+        last, over = first_rule + len(rules), None
+        if len(others):
+            over = np.zeros((2, last + len(chosen)), bool)
+            for side, of_others in zip(over, sides(others)):
+                side[of_others] = True
         is_left, is_right = (np.zeros(first_rule + len(rules) + 1, bool) for _ in range(2))
         is_left[left], is_right[right] = True, True
-        where = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
-        at = np.searchsorted(chosen, pairs[where])
+        may = np.flatnonzero(is_left[first] & is_right[second])
+        where, pairs = asked[may], pairs[may]
+        at = np.searchsorted(chosen, pairs)
         at[at == len(chosen)] = 0
-        hit = chosen[at] == pairs[where]
+        hit = chosen[at] == pairs
         where, at = where[hit], at[hit]
         # Of overlapping occurrences the first, third, ... of each run are taken.
         new_run = np.concatenate([[True], np.diff(where) > 1])
@@ -216,30 +243,27 @@ class Segment:
             return np.zeros(0, np.uint32)
         a = np.searchsorted(self.offsets, lo, "right") - 1
         b = np.searchsorted(self.offsets, hi, "left")
-        out = self.symbols[a:b].astype(np.int64)
-        made = np.flatnonzero(out >= self.first_rule)
-        base, size = np.zeros(len(out), np.int64), np.ones(len(out), np.int64)
-        rule = out[made] - self.first_rule
-        flat, places = self.expansions()
-        base[made], size[made] = places[rule], self.length[rule]
-        single = np.repeat(size == 1, size)  # a rule stands for two ids at least
+        out = self.symbols[a:b]
+        flat, base, sizes = self.expansions()
+        size = sizes[out]
         place = np.cumsum(size) - size
-        grown = np.empty(int(size.sum()), np.int64)
-        grown[single] = out[size == 1]
-        many = ~single
-        grown[many] = flat[(np.repeat(base - place, size) + np.arange(len(grown)))[many]]
+        grown = flat[np.repeat(base[out] - place, size) + np.arange(int(size.sum()))]
         skip = lo - int(self.offsets[a])
-        return grown[skip : skip + hi - lo].astype(np.uint32)
+        return grown[skip : skip + hi - lo]
 
-    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all rules one after the other, and where each begins."""
+    def expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all symbols one after the other, where each symbol's begin,
+        and how many they are."""
         if self._flat is None:
-            whole: list[np.ndarray] = []
-            ends = lambda s: whole[s - self.first_rule] if s >= self.first_rule else np.array([s], np.int64)
-            for left, right in zip(self.left.tolist(), self.right.tolist()):
-                whole.append(np.concatenate([ends(left), ends(right)]))
-            lengths = self.length.astype(np.int64)
-            self._flat = np.concatenate([np.zeros(0, np.int64), *whole]), np.cumsum(lengths) - lengths
+            flat = np.stack([self.left, self.right], axis=1).reshape(-1)
+            while len(at := np.flatnonzero(flat >= self.first_rule)):
+                rule, size = flat[at] - self.first_rule, np.ones(len(flat), np.int64)
+                size[at] = 2
+                start = (np.cumsum(size) - size)[at]
+                flat = np.repeat(flat, size)
+                flat[start], flat[start + 1] = self.left[rule], self.right[rule]
+            sizes = np.concatenate([np.ones(self.first_rule, np.int64), self.length.astype(np.int64)])
+            self._flat = np.concatenate([np.arange(self.first_rule, dtype=np.uint32), flat]), np.cumsum(sizes) - sizes, sizes
         return self._flat
 
     def document(self, k: int) -> np.ndarray:
