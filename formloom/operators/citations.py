@@ -180,10 +180,13 @@ def substitute_refs(docs: DataFrame, vocabulary: DataFrame, authorities: DataFra
         .otherwise("unresolved")
     )
     auth = authorities.select("key", "cite", "title", F.col("text").alias("auth_text"), "dead_link")
+    # Text between placeholders has no key to look up; joined by it, all text
+    # would go to one task.
     marked = (
-        cut.join(allowed, ["form_id", "key"], "left")
+        cut.where("key IS NOT NULL")
+        .join(allowed, ["form_id", "key"], "left")
         .join(auth, "key", "left")
-        .withColumn("status", F.when(F.col("key").isNotNull(), status))
+        .withColumn("status", status)
     )
     name = F.coalesce("cite", "key")
     block = F.concat(
@@ -193,16 +196,16 @@ def substitute_refs(docs: DataFrame, vocabulary: DataFrame, authorities: DataFra
     )
     tag = lambda word: F.concat(F.lit(f"[[{word}: "), "key", F.lit("]]"))
     shown = (
-        F.when(F.col("key").isNull(), F.col("piece"))
-        .when(F.col("status") == "resolved", block)
+        F.when(F.col("status") == "resolved", block)
         .when(F.col("status") == "dead_link", tag("DEAD LINK"))
         .when(F.col("status") == "unresolved", tag("UNRESOLVED"))
         .otherwise(tag("INVENTED"))
     )
-    text = marked.groupBy("doc_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", shown.alias("s")))), lambda p: p["s"]), "").alias("text")
+    between = cut.where("key IS NULL").select("doc_id", "pos", F.col("piece").alias("s"))
+    text = between.unionByName(marked.select("doc_id", "pos", shown.alias("s"))).groupBy("doc_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda p: p["s"]), "").alias("text")
     )
-    statuses = marked.where("key IS NOT NULL").groupBy("doc_id", "key").agg(F.max("status").alias("status"), F.count("*").alias("n"))
+    statuses = marked.groupBy("doc_id", "key").agg(F.max("status").alias("status"), F.count("*").alias("n"))
     return text, statuses
 
 
