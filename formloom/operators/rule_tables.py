@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from formloom.functions import values as V
 from formloom.functions.text import present
+from formloom.operators.pairs import dealt
 from formloom.operators.validation import CAPTION, DATE_SHAPE, EMAIL, PHONE, TAGS
 
 ANY = "*"
+#: Rules up to which they are sent to all tasks.
+BROADCAST_RULES = 1 << 14
 RULES = "form_id string, field_id string, kind string, args array<string>"
 PATTERNS = "name string, pattern string"
 FILLS = "form_id string, field_pattern string, text string, confidence double, method string, priority int"
@@ -46,8 +49,15 @@ def tag_rows(fields: DataFrame) -> DataFrame:
     return tags.select("form_id", "field_id", kind.alias("kind"), args.alias("args")).where("kind IS NOT NULL")
 
 
-def _with_rules(answers: DataFrame, rules: DataFrame) -> DataFrame:
-    """Answers with the rules of their form and of all forms."""
+def _with_rules(answers: DataFrame, rules: DataFrame, few: bool) -> DataFrame:
+    """Answers with the rules of their form and of all forms.
+
+    There may be a handful of fields, so answers are not dealt by field where the
+    rules are ``few`` and can go to every task."""
+    if few:
+        rule = rules.withColumnsRenamed({"form_id": "_form", "field_id": "_field"})
+        asked = (F.col("field_id") == F.col("_field")) & (F.col("_form").isNull() | (F.col("_form") == F.col("form_id")))
+        return answers.join(F.broadcast(rule), asked).drop("_form", "_field")
     own = answers.join(rules.where("form_id IS NOT NULL"), ["form_id", "field_id"])
     every = answers.join(rules.where("form_id IS NULL").drop("form_id"), "field_id")
     return own.unionByName(every.select(own.columns))
@@ -65,15 +75,20 @@ def validate_rows(answers: DataFrame, rules: DataFrame, patterns: DataFrame) ->
     said.
     """
     arg = lambda i: F.get("args", F.lit(i))
-    asked = _with_rules(answers.select("record_id", "form_id", "field_id", "value"), rules)
+    answers = answers.select("record_id", "form_id", "field_id", "value")
     placed = F.col("kind").isin("docket_number", "bar_number")
     name = F.when(F.col("kind") == "regex_match", arg(0)).when(placed, F.concat_ws(":", "kind", arg(0)))
-    asked = asked.withColumn("name", name).join(patterns, "name", "left")
+    rules = rules.withColumn("name", name).join(patterns, "name", "left")
+    few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
     paired = F.col("kind").isin("equals_field", "date_order")
+    two_sided = rules.where(paired).withColumn("_other", arg(0))
+    named = two_sided.select("_other").distinct()
     others = answers.select("record_id", "form_id", F.col("field_id").alias("_other"), F.col("value").alias("_value"))
-    two = asked.where(paired).withColumn("_other", arg(0)).join(others, ["record_id", "form_id", "_other"], "left")
-    one = asked.where(~paired).withColumns({"_other": F.lit(None).cast("string"), "_value": F.lit(None).cast("string")})
-    held = one.unionByName(two.select(one.columns))
+    others = others.join(F.broadcast(named) if few else named, "_other", "left_semi")
+    two = _with_rules(answers, two_sided, few).join(others, ["record_id", "form_id", "_other"], "left")
+    one = _with_rules(answers, rules.where(~paired), few).withColumns({"_other": F.lit(None).cast("string"), "_value": F.lit(None).cast("string")})
+    # The checks cost far more than reading, so rows go to all tasks, whatever the files.
+    held = dealt(one.unionByName(two.select(one.columns)), "record_id")
 
     v, w = F.col("value"), F.col("_value")
     s, filled = F.trim(v), present(F.coalesce(v, F.lit("")))
