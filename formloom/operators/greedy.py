@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
 from formloom.functions import text as X
+from formloom.operators import page_walks as W
 from formloom.operators.pairs import BOX, PAGE, Reach, page_pairs, page_pairs_within
 from formloom.session import cut_lineage, stored
 
@@ -138,6 +139,15 @@ def _survivors(df: DataFrame, firsts: DataFrame, id_col: str, edges: DataFrame)
 def nms(rects: DataFrame, threshold: float = 0.5, id_col: str = "rect_id") -> DataFrame:
     """Best first by source rank, then by area: drop what overlaps a kept one
     by ``threshold``.  Ties go to the smaller id."""
+    if threshold <= 0:  # boxes apart from one another would conflict
+        return _nms_by_pairs(rects, threshold, id_col)
+    (pages,), (crowded,), any_crowded = W.by_crowd([rects], id_col, "source_rank")
+    order = ["source_rank", -G.rect_area(G.box())]
+    kept = W.kept_on_pages(pages, id_col, order, lambda a, b: W.iou(a, b) >= threshold)
+    return kept.unionByName(_nms_by_pairs(crowded, threshold, id_col)) if any_crowded else kept
+
+
+def _nms_by_pairs(rects: DataFrame, threshold: float, id_col: str) -> DataFrame:
     order = ("source_rank", "neg_area")
     ranked = rects.withColumn("neg_area", -G.rect_area(G.box()))
     firsts = _first_of_box(ranked, id_col, order, ~(G.rect_iou(G.box(), G.box()) >= threshold))
@@ -148,6 +158,12 @@ def nms(rects: DataFrame, threshold: float = 0.5, id_col: str = "rect_id") -> Da
 def dedupe_fields(fields: DataFrame, tolerance: float = 5.0, id_col: str = "rect_id") -> DataFrame:
     """Of fields whose four edges agree within ``tolerance`` the most
     confident stays (then the smaller id)."""
+    (pages,), (crowded,), any_crowded = W.by_crowd([fields], id_col, "confidence")
+    kept = W.kept_on_pages(pages, id_col, [-F.col("confidence")], lambda a, b: (abs(a - b) < tolerance).all(axis=0))
+    return kept.unionByName(_dedupe_by_pairs(crowded, tolerance, id_col)) if any_crowded else kept
+
+
+def _dedupe_by_pairs(fields: DataFrame, tolerance: float, id_col: str) -> DataFrame:
     ranked = fields.withColumn("doubt", -F.col("confidence"))
     same = (
         (F.abs(F.col("x0") - F.col("r_x0")) < tolerance)
