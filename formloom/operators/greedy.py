@@ -339,14 +339,33 @@ def mutual_best(pairs: DataFrame) -> DataFrame:
 
 def iou_match(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
     """Greedy one-to-one matching by (IoU descending, a_id, b_id)."""
-    return match_pairs(candidate_matches(a, b, threshold))
+    return iou_matches(a, b, (threshold,))[threshold]
 
 
 def iou_matches(a: DataFrame, b: DataFrame, thresholds: Sequence[float]) -> dict[float, DataFrame]:
     """``iou_match`` at several thresholds; candidates are looked for once, at
     the least, and serve all others."""
-    pairs = stored(candidate_matches(a, b, min(thresholds)))
-    return {t: match_pairs(pairs.where(F.col("iou") >= t)) for t in thresholds}
+    cols = [*PAGE, "rect_id", *BOX]
+    pages, crowded, any_crowded = W.by_crowd([a.select(*cols), b.select(*cols)], "rect_id")
+    if min(thresholds) <= 0:  # pairs would need to touch only
+        pages, crowded, any_crowded = [], [a, b], True
+    pairs = candidate_matches(*crowded, min(thresholds))
+    pairs = stored(pairs) if any_crowded else pairs
+    by_pairs = {t: match_pairs(pairs.where(F.col("iou") >= t)) for t in thresholds if any_crowded}
+    if not pages:
+        return by_pairs
+    found = W.matches_on_pages(*pages, thresholds)
+    taken = {}
+    for i, t in enumerate(thresholds):
+        at = found.where(F.col("at").bitwiseAND(1 << i) != 0)
+        taken[t] = at.select(
+            *PAGE,
+            F.col("rect_id").cast(a.schema["rect_id"].dataType).alias("a_id"),
+            F.col("r_rect_id").cast(b.schema["rect_id"].dataType).alias("b_id"),
+            G.rect_iou(G.box(), G.box("r_")).alias("iou"),
+            G.center_dist(G.box(), G.box("r_")).alias("center_dist"),
+        )
+    return {t: taken[t].unionByName(by_pairs[t]) if any_crowded else taken[t] for t in thresholds}
 
 
 def match_pairs(open_pairs: DataFrame) -> DataFrame:
