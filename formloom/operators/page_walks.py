@@ -91,7 +91,8 @@ def boxes_of(table: pa.Table) -> np.ndarray:
 
 def same_id(table: pa.Table, page: np.ndarray, *ids: str) -> np.ndarray:
     """For each row the first one of its page with the same ids."""
-    frame = pd.DataFrame({"page": page, **{c: table.column(c).to_pandas() for c in ids}})
+    codes = {c: table.column(c).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy() for c in ids}
+    frame = pd.DataFrame({"page": page, **codes})
     rows = np.arange(len(frame))
     if not frame.duplicated().any():
         return rows

@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from formloom.functions import geometry as G
+from formloom.operators import page_walks as W
 from formloom.operators.detect import clustered_positions
 from formloom.operators.greedy import connected_components
 from formloom.operators.pairs import PAGE, Reach, dealt, nearest, on_y_axis, page_anti, page_pairs, page_semi, places
@@ -138,6 +140,57 @@ def currency_glyph_overlap(widgets: DataFrame, glyphs: DataFrame, rules: DataFra
 def lone_segment_snap(widgets: DataFrame, rules: DataFrame, words: DataFrame, page_width: float, gap: float = 1.5) -> DataFrame:
     """Widgets over exactly one rule take its extent, stopping at words on
     either side."""
+    tables = [_widgets(widgets), rules.select(*PAGE, *BOX), words.select(*PAGE, *BOX)]
+    pages, crowded, any_crowded = W.by_crowd(tables)
+    snapped = _lone_on_pages(*pages, page_width, gap)
+    return snapped.unionByName(_lone_by_pairs(*crowded, page_width, gap)) if any_crowded else snapped
+
+
+def _lone_on_pages(widgets: DataFrame, rules: DataFrame, words: DataFrame, page_width: float, gap: float) -> DataFrame:
+    ids = widgets.schema["rect_id"].dataType
+    blank = F.lit(None).cast(ids).alias("rect_id")  # rules and words need no id
+    stacked = widgets.withColumn("what", F.lit(0))
+    for what, other in ((1, rules), (2, words)):
+        stacked = stacked.unionByName(other.select(*PAGE, blank, *BOX, F.lit(what).alias("what")))
+
+    def work(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        page, boxes, what = W.page_of_row(table, starts), W.boxes_of(table), table.column("what").to_numpy()
+        ends = np.append(starts[1:], table.num_rows)
+        rule_at = starts + np.add.reduceat((what == 0).astype(int), starts)
+        word_at = rule_at + np.add.reduceat((what == 1).astype(int), starts)
+        first, n, n_strong = W.same_id(table, page, "what", "rect_id", *BOX), *np.zeros((2, table.num_rows), int)
+        rule = np.zeros(table.num_rows, int)
+        own = np.flatnonzero(what == 0)
+        for i, j in W.ranges(own, rule_at[page[own]], word_at[page[own]]):
+            a, b = boxes[:, i], boxes[:, j]
+            ov = W.overlap(a, b, 0)
+            hit = (b[1] >= a[1] - 3) & (b[1] <= a[3] + 9) & (ov > 8)
+            np.add.at(n, first[i[hit]], 1)
+            np.add.at(n_strong, first[i[hit & (ov > 0.40 * (a[2] - a[0]))]], 1)
+            rule[first[i[hit]]] = j[hit]
+        lone = np.flatnonzero((n == 1) & (n_strong == 1))
+        (x0, _, x1, _), (sx0, sy, sx1, _) = boxes[:, lone], boxes[:, rule[lone]]
+        fits = (sx1 - sx0 >= 25.0) & (sx1 - sx0 <= 0.8 * page_width) & (sx0 - x0 <= 30) & (x1 - sx1 <= 30)
+        lone, sx0, sx1, sy = lone[fits], sx0[fits], sx1[fits], sy[fits]
+        nx0, nx1 = sx0.copy(), sx1.copy()
+        at = np.arange(len(lone))
+        for i, j in W.ranges(at, word_at[page[lone]], ends[page[lone]]):
+            a, b = boxes[:, lone[i]], boxes[:, j]
+            on_row = W.overlap(a, b, 1) > 0.4 * (b[3] - b[1])
+            i, a, b = i[on_row], a[:, on_row], b[:, on_row]
+            is_left = (b[2] >= sx0[i] - 2) & (b[2] <= a[0] + 0.5 * (a[2] - a[0]))
+            np.maximum.at(nx0, i[is_left], b[2][is_left] + gap)
+            is_right = (b[0] > nx0[i] + 6) & (b[0] <= sx1[i] + 4)
+            np.minimum.at(nx1, i[is_right], b[0][is_right] - gap)
+        keys = table.select(list(WIDGET)).take(pa.array(lone))
+        seat = {"x0": nx0, "y0": boxes[1, lone], "x1": nx1, "y1": boxes[3, lone], "sy": sy}
+        return pa.table({**{c: keys.column(c) for c in WIDGET}, **{c: pa.array(v) for c, v in seat.items()}})
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in widgets.schema) + ", sy double"
+    return W.each_page(stacked, ["what"], work, schema)
+
+
+def _lone_by_pairs(widgets: DataFrame, rules: DataFrame, words: DataFrame, page_width: float, gap: float) -> DataFrame:
     a, b = G.box(), G.box("r_")
     ov = G.overlap_x(a, b)
     lone = (
