@@ -84,7 +84,8 @@ def validate_rows(answers: DataFrame, rules: DataFrame, patterns: DataFrame) ->
     two_sided = rules.where(paired).withColumn("_other", arg(0))
     named = two_sided.select("_other").distinct()
     others = answers.select("record_id", "form_id", F.col("field_id").alias("_other"), F.col("value").alias("_value"))
-    others = others.join(F.broadcast(named) if few else named, "_other", "left_semi")
+    # names are distinct, so this filters; a semi join would sink to parts of the answers with a fixed field, as a nested loop
+    others = others.join(F.broadcast(named) if few else named, "_other")
     two = _with_rules(answers, two_sided, few).join(others, ["record_id", "form_id", "_other"], "left")
     one = _with_rules(answers, rules.where(~paired), few).withColumns({"_other": F.lit(None).cast("string"), "_value": F.lit(None).cast("string")})
     # The checks cost far more than reading, so rows go to all tasks, whatever the files.
