@@ -354,17 +354,16 @@ def iou_matches(a: DataFrame, b: DataFrame, thresholds: Sequence[float]) -> dict
     by_pairs = {t: match_pairs(pairs.where(F.col("iou") >= t)) for t in thresholds if any_crowded}
     if not pages:
         return by_pairs
-    found = W.matches_on_pages(*pages, thresholds)
-    taken = {}
-    for i, t in enumerate(thresholds):
-        at = found.where(F.col("at").bitwiseAND(1 << i) != 0)
-        taken[t] = at.select(
-            *PAGE,
-            F.col("rect_id").cast(a.schema["rect_id"].dataType).alias("a_id"),
-            F.col("r_rect_id").cast(b.schema["rect_id"].dataType).alias("b_id"),
-            G.rect_iou(G.box(), G.box("r_")).alias("iou"),
-            G.center_dist(G.box(), G.box("r_")).alias("center_dist"),
-        )
+    found = W.matches_on_pages(*pages, thresholds).select(
+        *PAGE,
+        F.col("rect_id").cast(a.schema["rect_id"].dataType).alias("a_id"),
+        F.col("r_rect_id").cast(b.schema["rect_id"].dataType).alias("b_id"),
+        G.rect_iou(G.box(), G.box("r_")).alias("iou"),
+        G.center_dist(G.box(), G.box("r_")).alias("center_dist"),
+        "at",
+    )
+    found = stored(found) if len(thresholds) > 1 else found
+    taken = {t: found.where(F.col("at").bitwiseAND(1 << i) != 0).drop("at") for i, t in enumerate(thresholds)}
     return {t: taken[t].unionByName(by_pairs[t]) if any_crowded else taken[t] for t in thresholds}
 
 
